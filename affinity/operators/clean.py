@@ -148,8 +148,9 @@ def normalize_categories(items: DataFrame, mapping: DataFrame, id_col: str = "it
     m = (mapping.select(F.trim("raw").alias("_piece"), F.col("canonical").alias("_canon"))
          .dropDuplicates(["_piece"]))
     other = [c for c in items.columns if c not in (id_col, col)]
-    pieces = items.select(id_col, *other, col,
-                          F.trim(F.explode(F.split(F.col(col), pattern))).alias("_piece"))
+    pieces = (items.select(id_col, *other, col,
+                           F.explode(F.split(F.col(col), pattern)).alias("_piece"))
+              .withColumn("_piece", F.trim("_piece")))
     mapped = (pieces.join(m, "_piece", "left")
               .withColumn("_v", F.coalesce("_canon", "_piece")))
     joined = F.array_join(F.array_sort(F.collect_set("_v")), sep)

@@ -204,15 +204,18 @@ def q_rating_distribution(spark, sf):
     return profile.rating_distribution(clean_interactions(spark, sf))
 
 
-def _quality(spark, sf):
-    return profile.item_quality(_binary(spark, sf), src.items(spark, sf),
-                                min_ratings=P["quality_min_ratings"])
+def _quality(spark, sf, min_ratings=0):
+    return profile.item_quality(_binary(spark, sf), src.items(spark, sf), min_ratings=min_ratings)
 
 
 def q_item_quality(spark, sf):
     return _quality(spark, sf)
 
 
+def q_item_quality_min50(spark, sf):
+    return _quality(spark, sf, P["quality_min_ratings"])
+
+
 def q_genre_supply(spark, sf):
     return profile.category_supply(src.items(spark, sf))
 

@@ -53,15 +53,15 @@ CTE = {
       SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id, event_type AS tag,
              {EPOCH.format(c='ts')} AS ts
       FROM events""",
-    "binary": "SELECT *, CASE WHEN rating >= 3.5 THEN 1 ELSE 0 END AS binary_rating FROM clean",
+    "bin_r": "SELECT *, CASE WHEN rating >= 3.5 THEN 1 ELSE 0 END AS binary_rating FROM clean",
     "ua": "SELECT user_id, count(*) AS num_ratings FROM clean GROUP BY user_id",
     "ia": """
       SELECT c.item_id, count(*) AS num_ratings, round(avg(c.rating), 6) AS avg_rating, i.title
       FROM clean c JOIN items i ON c.item_id = i.item_id GROUP BY c.item_id, i.title""",
-    "quality": f"""
+    "quality": """
       SELECT q.item_id, q.total_ratings, round(q.approval_pct, 6) AS approval_pct, i.title
       FROM (SELECT item_id, count(*) AS total_ratings, avg(binary_rating) * 100.0 AS approval_pct
-            FROM binary GROUP BY item_id HAVING count(*) >= {P['quality_min_ratings']}) q
+            FROM bin_r GROUP BY item_id) q
       JOIN items i ON q.item_id = i.item_id""",
     "genres_x": "SELECT item_id, unnest(string_split(genres, '|')) AS genre FROM items",
     "supply": "SELECT genre, count(*) AS num_items FROM genres_x GROUP BY genre",
@@ -79,7 +79,7 @@ CTE = {
         CASE WHEN raw IS NULL OR trim(raw) IN ('', '(no genres listed)') THEN 'unknown'
         ELSE array_to_string(list_transform(
                string_split(trim(regexp_replace(regexp_replace(lower(trim(raw)), '[!-/:-@\\[-`{-~]', '', 'g'), '\\s+', ' ', 'g')), ' '),
-               w -> CASE WHEN length(w) > 3 THEN
+               lambda w: CASE WHEN length(w) > 3 THEN
                       regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
                         w, 'sses$', 'ss'), 'ies$', 'i'), '([^su])s$', '\\1'), 'y$', 'i'), '([a-z]{3})e$', '\\1')
                     ELSE w END), ' ')
@@ -262,10 +262,10 @@ BODY = {
                         (SELECT count(*) FROM (SELECT DISTINCT user_id, item_id FROM nn)) AS n2)
       SELECT 'nulls' AS step, n0 AS rows_before, n1 AS rows_after, n0 - n1 AS removed FROM c
       UNION ALL SELECT 'duplicates', n1, n2, n1 - n2 FROM c""",
-    "binarize": "SELECT * FROM binary",
+    "binarize": "SELECT * FROM bin_r",
     "binary_distribution": """SELECT binary_rating, count(*) AS count,
                                      round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS pct
-                              FROM binary GROUP BY binary_rating""",
+                              FROM bin_r GROUP BY binary_rating""",
     "like_summary": """
       SELECT total, likes, dislikes, round(lp, 6) AS like_pct, round(dp, 6) AS dislike_pct,
              printf('%d (%.2f%%)', likes, round(lp, 2)) AS likes_label,
@@ -273,7 +273,7 @@ BODY = {
       FROM (SELECT total, likes, total - likes AS dislikes,
                    CASE WHEN total > 0 THEN 100.0 * likes / total ELSE 0 END AS lp,
                    CASE WHEN total > 0 THEN 100.0 * (total - likes) / total ELSE 0 END AS dp
-            FROM (SELECT count(*) AS total, CAST(coalesce(sum(binary_rating), 0) AS BIGINT) AS likes FROM binary))""",
+            FROM (SELECT count(*) AS total, CAST(coalesce(sum(binary_rating), 0) AS BIGINT) AS likes FROM bin_r))""",
     "liked": "SELECT * FROM clean WHERE rating >= 3.5",
     "explode_genres": "SELECT item_id, genre FROM genres_x",
     "canonical_map": "SELECT * FROM cmap",
@@ -301,6 +301,7 @@ BODY = {
              round(100.0 * sum(count) OVER (ORDER BY rating ROWS UNBOUNDED PRECEDING) / sum(count) OVER (), 6) AS cum_pct
       FROM (SELECT rating, count(*) AS count FROM clean GROUP BY rating)""",
     "item_quality": "SELECT * FROM quality",
+    "item_quality_min50": f"SELECT * FROM quality WHERE total_ratings >= {P['quality_min_ratings']}",
     "genre_supply": "SELECT * FROM supply",
     "genre_activity": "SELECT * FROM gact",
     "sparsity": """
