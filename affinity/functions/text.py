@@ -40,10 +40,15 @@ def category_key(c: Column) -> Column:
     return F.when(c.isNull() | t.isin(*UNKNOWN_SPELLINGS), F.lit(UNKNOWN_KEY)).otherwise(key)
 
 
-def shingles(text: Column, n: int = 3) -> Column:
-    """array of n-word shingles of the whole lower-cased text split on one
-    space (empty array when the text has fewer than n words)."""
-    words = F.split(F.lower(text), " ")
+def words_of(text: Column) -> Column:
+    """Lower-cased text split on one space (empty words kept)."""
+    return F.split(F.lower(text), " ")
+
+
+def shingles(words: Column, n: int = 3) -> Column:
+    """array of n-word shingles of a word array (empty when fewer than n
+    words).  ``words`` must be a column reference (see ``words_of``), so the
+    split is done once per text and not once per shingle."""
     starts = F.sequence(F.lit(0), F.size(words) - n)
     arr = F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, n), " "))
     return F.when(F.size(words) >= n, arr).otherwise(F.array().cast("array<string>"))

@@ -36,7 +36,7 @@ def liked_members(spark, sf):
 
 
 def doc_members(spark, sf):
-    return src.doc_members(spark, sf)
+    return src.doc_members(spark, sf).withColumnRenamed("doc_id", "entity")
 
 
 def _n_entities(members: DataFrame):

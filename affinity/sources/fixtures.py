@@ -116,8 +116,8 @@ def doc_members(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
     words joined by one space; element = 28-bit md5 prefix of the shingle
     (an int below 2^31, as MinHash needs).
     """
-    from ..functions.text import shingles
-    docs = documents_table(spark, sf_dir)
-    return (docs.select("doc_id", F.explode(shingles(F.col("text"), n)).alias("shingle"))
+    from ..functions.text import shingles, words_of
+    docs = documents_table(spark, sf_dir).select("doc_id", words_of(F.col("text")).alias("words"))
+    return (docs.select("doc_id", F.explode(shingles(F.col("words"), n)).alias("shingle"))
             .select("doc_id", element_hash(F.col("shingle")).alias("element"))
             .distinct())
