@@ -6,7 +6,6 @@ hash values (a generator over an inlined coefficient array, no join), then
 per task before the shuffle, so a huge set costs no more than its rows.
 """
 
-from __future__ import annotations
 
 from collections.abc import Sequence
 
@@ -16,6 +15,15 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_family
 from ..params import MERSENNE_P
 
+#: positional code of a signature value: h * 2^31 + v (v < 2^31), so that two
+#: signatures agree at position h exactly when they share the code; a
+#: signature array is the k codes sorted (= ordered by h).
+CODE_SHIFT = 1 << 31
+
+#: elements hashed per numpy step for one set (bounds task memory to
+#: k x CHUNK x 8 bytes whatever the set size)
+CHUNK = 16384
+
 
 def signatures_long(members: DataFrame, k: int = 200, seed: int = 42,
                     family: Sequence[tuple[int, int]] | None = None) -> DataFrame:
@@ -36,9 +44,51 @@ def signatures_long(members: DataFrame, k: int = 200, seed: int = 42,
             .groupBy("entity", "h").agg(F.min(v).alias("v")))
 
 
-#: positional code of a signature value: h * 2^31 + v (v < 2^31), so that two
-#: signatures agree at position h exactly when they share the code.
-CODE_SHIFT = 1 << 31
+def signatures_from_arrays(df: DataFrame, entity: str, elements: str, k: int = 200,
+                           seed: int = 42,
+                           family: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+    """(entity, sig) for sets held inside one row (a document's shingle ids).
+
+    The set never leaves its row: an Arrow-batched pandas UDF hashes the
+    elements with numpy (k x chunk matrix, min over the chunk), so there is
+    no shuffle and no per-element row.  Empty sets get no signature and are
+    dropped.  Same values and codes as ``signatures_long`` +
+    ``signature_arrays``.
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    fam = list(family) if family is not None else hash_family(k, seed)
+    kk = len(fam)
+    a = np.array([x for x, _ in fam], dtype=np.uint64)[:, None]
+    b = np.array([y for _, y in fam], dtype=np.uint64)[:, None]
+    p = np.uint64(MERSENNE_P)
+    offsets = np.arange(kk, dtype=np.int64) * CODE_SHIFT
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def minhash_codes(sets: pd.Series) -> pd.Series:
+        out = []
+        for arr in sets:
+            if arr is None or len(arr) == 0:
+                out.append(None)
+                continue
+            x = np.asarray(arr, dtype=np.uint64)
+            best = np.full(kk, MERSENNE_P, dtype=np.uint64)
+            for start in range(0, len(x), CHUNK):
+                chunk = x[start:start + CHUNK][None, :]
+                best = np.minimum(best, ((a * chunk + b) % p).min(axis=1))
+            out.append(offsets + best.astype(np.int64))
+        return pd.Series(out, dtype=object)
+
+    return (df.select(F.col(entity).alias("entity"), minhash_codes(F.col(elements)).alias("sig"))
+            .filter(F.col("sig").isNotNull()))
+
+
+def signatures_to_long(sigs: DataFrame) -> DataFrame:
+    """(entity, h, v) from positional-code arrays."""
+    return (sigs.select("entity", F.posexplode("sig").alias("h", "code"))
+            .select("entity", "h", (F.col("code") - F.col("h").cast("bigint") * F.lit(CODE_SHIFT)).alias("v")))
 
 
 def signature_arrays(sig_long: DataFrame) -> DataFrame:

@@ -28,11 +28,11 @@ def set_sizes(members: DataFrame) -> DataFrame:
 
 
 def set_arrays(members: DataFrame) -> DataFrame:
-    """(entity, elements sorted array, set_size).  Only for sets of bounded
+    """(entity, elements array, set_size).  Only for sets of bounded
     size (a document's shingles, a guarded basket): the array of one set is
     built in one task."""
-    return (members.groupBy("entity").agg(F.array_sort(F.collect_list("element")).alias("elements"))
-            .withColumn("set_size", F.size("elements")))
+    return members.groupBy("entity").agg(F.collect_list("element").alias("elements"),
+                                         F.count(F.lit(1)).alias("set_size"))
 
 
 def overlap_counts(members: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:

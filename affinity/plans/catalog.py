@@ -340,6 +340,11 @@ def q_minhash_signatures(spark, sf):
     return _item_sigs(spark, sf)
 
 
+def q_item_lsh_candidates(spark, sf):
+    """banded candidates of the item x customer sets (long-form signatures)."""
+    return lsh.lsh_candidates(minhash.signature_arrays(_item_sigs(spark, sf)), LSH_B, LSH_R)
+
+
 def _item_estimates(spark, sf):
     m = liked_members(spark, sf)
     sig = minhash.signature_arrays(minhash.signatures_long(m, K, P["hash_seed"]))
@@ -383,17 +388,24 @@ def q_doc_similar_pairs(spark, sf):
     return _jaccard_out(_doc_truth(doc_members(spark, sf)))
 
 
-def _doc_sig(m):
-    return minhash.signatures_long(m, K, P["hash_seed"])
+def doc_sigs(spark, sf):
+    """document signatures: each document's shingle ids gathered into one
+    row (a set bounded by the text length), hashed there by numpy."""
+    arrays = sets.set_arrays(doc_members(spark, sf))
+    return minhash.signatures_from_arrays(arrays, "entity", "elements", K, P["hash_seed"])
+
+
+def q_doc_signatures(spark, sf):
+    return minhash.signatures_to_long(doc_sigs(spark, sf))
 
 
 def q_lsh_candidates(spark, sf):
-    return lsh.lsh_candidates(_doc_sig(doc_members(spark, sf)), LSH_B, LSH_R)
+    return lsh.lsh_candidates(doc_sigs(spark, sf), LSH_B, LSH_R)
 
 
 def _sweep(spark, sf):
     m = doc_members(spark, sf)
-    return lsh.lsh_sweep(_doc_sig(m), _doc_truth(m), _n_entities(m), K, P["lsh_configs"])
+    return lsh.lsh_sweep(doc_sigs(spark, sf), _doc_truth(m), _n_entities(m), K, P["lsh_configs"])
 
 
 def q_lsh_sweep(spark, sf):
@@ -404,25 +416,21 @@ def q_lsh_best(spark, sf):
     return lsh.best_config(_sweep(spark, sf))
 
 
-def _predicted(m):
-    sig_long = _doc_sig(m)
-    return lsh.predicted_pairs(sig_long, minhash.signature_arrays(sig_long), LSH_B, LSH_R, K,
-                               DOC_THRESHOLD)
+def _predicted(spark, sf):
+    return lsh.predicted_pairs(doc_sigs(spark, sf), LSH_B, LSH_R, K, DOC_THRESHOLD)
 
 
 def q_lsh_confusion(spark, sf):
-    m = doc_members(spark, sf)
-    return lsh.confusion(_predicted(m), _doc_truth(m))
+    return lsh.confusion(_predicted(spark, sf), _doc_truth(doc_members(spark, sf)))
 
 
 def q_similarity_error(spark, sf):
-    m = doc_members(spark, sf)
-    return lsh.similarity_error(_predicted(m), _doc_truth(m))
+    return lsh.similarity_error(_predicted(spark, sf), _doc_truth(doc_members(spark, sf)))
 
 
 def q_similar_items(spark, sf):
     m = doc_members(spark, sf)
-    return _jaccard_out(lsh.similar_pairs(_doc_sig(m), m, LSH_B, LSH_R, DOC_THRESHOLD))
+    return _jaccard_out(lsh.similar_pairs(doc_sigs(spark, sf), m, LSH_B, LSH_R, DOC_THRESHOLD))
 
 
 def q_mllib_similar_pairs(spark, sf):

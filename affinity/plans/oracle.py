@@ -409,6 +409,12 @@ BODY = {
     "doc_sets": "SELECT entity AS doc_id, count(*) AS set_size FROM doc_m GROUP BY entity",
     "doc_similar_pairs": 'SELECT id1, id2, inter, "union", round(jaccard, 6) AS jaccard FROM dc_jp',
     "lsh_candidates": "SELECT * FROM dc_cand",
+    "doc_signatures": "SELECT entity, CAST(h AS INTEGER) AS h, v FROM dc_sig",
+    "item_lsh_candidates": """
+      WITH b AS (SELECT entity, h // 4 AS band, array_to_string(list(v ORDER BY h), ',') AS vals
+                 FROM it_sig WHERE h < 200 GROUP BY entity, h // 4)
+      SELECT DISTINCT x.entity AS id1, y.entity AS id2 FROM b x JOIN b y
+      ON x.band = y.band AND x.vals = y.vals AND x.entity < y.entity""",
     "lsh_sweep": "SELECT * FROM sweep",
     "lsh_best": "SELECT * FROM sweep ORDER BY f1 DESC, pos ASC LIMIT 1",
     "lsh_confusion": """

@@ -110,12 +110,15 @@ def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_members(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
-    """(doc_id, element): distinct n-word shingles of every whole document.
+    """(doc_id, element): distinct n-word shingle ids of every whole document.
 
     Text is lower-cased and split on one space; a shingle is n consecutive
-    words joined by one space; element = 28-bit md5 prefix of the shingle
-    (an int below 2^31, as MinHash needs).
-    """
+    words joined by one space; its id is the 28-bit md5 prefix (an int below
+    2^31, as MinHash needs).
+
+    The shingle strings are exploded and hashed per row (exploding an array
+    built by a nested lambda re-evaluates it per element in Spark 4.1, which
+    is quadratic in the text length)."""
     from ..functions.text import shingles, words_of
     docs = documents_table(spark, sf_dir).select("doc_id", words_of(F.col("text")).alias("words"))
     return (docs.select("doc_id", F.explode(shingles(F.col("words"), n)).alias("shingle"))
