@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The analysed project reads batch CSV files only (no readStream, watermark,
+window or state anywhere), so nothing is built here.  Every operator of the
+package works unchanged on a micro-batch inside ``foreachBatch`` if a caller
+wants incremental refreshes.
+"""
