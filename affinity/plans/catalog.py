@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import sources as src
 from ..operators import clean, distributions as dist, lsh, minhash, profile, rules, sets
 from ..params import DEFAULTS
+from ..session import ensure_checkpoint_dir
 
 P = DEFAULTS
 K = P["k_values"][-1]                 # 200 hashes
@@ -39,6 +40,14 @@ def doc_members(spark, sf):
     return src.doc_members(spark, sf).withColumnRenamed("doc_id", "entity")
 
 
+def saved_doc_members(spark, sf):
+    """doc members written once to the session's reliable checkpoint folder:
+    the shingling runs once and every branch (signatures, exact truth,
+    counts) reads the saved table instead of re-shingling the texts."""
+    ensure_checkpoint_dir(spark)
+    return doc_members(spark, sf).checkpoint(eager=True)
+
+
 def _n_entities(members: DataFrame):
     return members.select(F.count_distinct("entity")).scalar()
 
@@ -388,24 +397,24 @@ def q_doc_similar_pairs(spark, sf):
     return _jaccard_out(_doc_truth(doc_members(spark, sf)))
 
 
-def doc_sigs(spark, sf):
+def doc_sigs(m):
     """document signatures: each document's shingle ids gathered into one
     row (a set bounded by the text length), hashed there by numpy."""
-    arrays = sets.set_arrays(doc_members(spark, sf))
+    arrays = sets.set_arrays(m)
     return minhash.signatures_from_arrays(arrays, "entity", "elements", K, P["hash_seed"])
 
 
 def q_doc_signatures(spark, sf):
-    return minhash.signatures_to_long(doc_sigs(spark, sf))
+    return minhash.signatures_to_long(doc_sigs(doc_members(spark, sf)))
 
 
 def q_lsh_candidates(spark, sf):
-    return lsh.lsh_candidates(doc_sigs(spark, sf), LSH_B, LSH_R)
+    return lsh.lsh_candidates(doc_sigs(doc_members(spark, sf)), LSH_B, LSH_R)
 
 
 def _sweep(spark, sf):
-    m = doc_members(spark, sf)
-    return lsh.lsh_sweep(doc_sigs(spark, sf), _doc_truth(m), _n_entities(m), K, P["lsh_configs"])
+    m = saved_doc_members(spark, sf)
+    return lsh.lsh_sweep(doc_sigs(m), _doc_truth(m), _n_entities(m), K, P["lsh_configs"])
 
 
 def q_lsh_sweep(spark, sf):
@@ -416,21 +425,23 @@ def q_lsh_best(spark, sf):
     return lsh.best_config(_sweep(spark, sf))
 
 
-def _predicted(spark, sf):
-    return lsh.predicted_pairs(doc_sigs(spark, sf), LSH_B, LSH_R, K, DOC_THRESHOLD)
+def _predicted(m):
+    return lsh.predicted_pairs(doc_sigs(m), LSH_B, LSH_R, K, DOC_THRESHOLD)
 
 
 def q_lsh_confusion(spark, sf):
-    return lsh.confusion(_predicted(spark, sf), _doc_truth(doc_members(spark, sf)))
+    m = saved_doc_members(spark, sf)
+    return lsh.confusion(_predicted(m), _doc_truth(m))
 
 
 def q_similarity_error(spark, sf):
-    return lsh.similarity_error(_predicted(spark, sf), _doc_truth(doc_members(spark, sf)))
+    m = saved_doc_members(spark, sf)
+    return lsh.similarity_error(_predicted(m), _doc_truth(m))
 
 
 def q_similar_items(spark, sf):
-    m = doc_members(spark, sf)
-    return _jaccard_out(lsh.similar_pairs(doc_sigs(spark, sf), m, LSH_B, LSH_R, DOC_THRESHOLD))
+    m = saved_doc_members(spark, sf)
+    return _jaccard_out(lsh.similar_pairs(doc_sigs(m), m, LSH_B, LSH_R, DOC_THRESHOLD))
 
 
 def q_mllib_similar_pairs(spark, sf):
