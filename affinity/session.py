@@ -7,10 +7,12 @@ convenience for tests, the bench and notebooks.
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job wants.  AQE re-plans joins and partition counts from
 #: runtime sizes, so no shuffle-partition count is hard-coded for the cluster.
@@ -42,19 +44,42 @@ def get_session(master: str | None = None, app: str = "affinity",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder of the session.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder for tables that cut lineage.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a private folder is created.
+    ``spark.checkpoint.dir`` names it on a cluster and is used as is.  Where it
+    is unset, a private folder is made for a ``local[...]`` master only; any
+    other master raises, because its executors would not share such a folder.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="affinity-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        return configured.rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    path = tempfile.mkdtemp(prefix="affinity-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
     return path
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``checkpoint_root`` the folder of ``DataFrame.checkpoint()``."""
+    path = checkpoint_root(spark)
+    spark.sparkContext.setCheckpointDir(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    The table survives lost executors, cuts lineage, and gives Spark measured
+    file sizes to choose joins by.  One folder per application holds the
+    tables, so it can be removed when the application has ended.
+    """
+    spark = df.sparkSession
+    path = (f"{checkpoint_root(spark)}/affinity-{spark.sparkContext.applicationId}/"
+            f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
