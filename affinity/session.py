@@ -8,12 +8,15 @@ convenience for tests, the bench and notebooks.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 #: Settings every job wants.  AQE re-plans joins and partition counts from
 #: runtime sizes, so no shuffle-partition count is hard-coded for the cluster.
 DEFAULT_CONF = {
@@ -71,6 +74,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def with_package(df: DataFrame) -> DataFrame:
+    """``df``, after making this package importable in the Python workers of
+    its application (as ``--py-files`` would), for functions run on it."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        folder = tempfile.mkdtemp(prefix="affinity-py-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        here = os.path.dirname(os.path.abspath(__file__))
+        sc.addPyFile(shutil.make_archive(os.path.join(folder, "affinity"), "zip",
+                                         os.path.dirname(here), os.path.basename(here)))
+        _SHIPPED.add(sc.applicationId)
+    return df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
