@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm.common import documents
+from affinity.llm import language, quality
+from affinity.llm.common import documents, labels
 from affinity.llm.exact_dedup import dedup_exact
 from affinity.llm.line_dedup import line_dedup_digest
 from affinity.llm.mixing import mix_digest
+from affinity.llm.near_dedup import near_components
 from affinity.llm.packing import pack_documents
 from affinity.llm.token_output import round_trip
 
@@ -18,6 +20,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact(documents(spark, sf_dir))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.classify(docs, quality.fit(docs, labels(spark, sf_dir)))
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir))
 
@@ -26,14 +33,25 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.fit(docs))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(documents(spark, sf_dir))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_token_output, op4_packing, op8_line_dedup, op10_mixing)
+    f.__name__: f for f in (
+        op1_exact_dedup, op2_quality, op3_token_output, op4_packing, op6_language, op8_line_dedup, op9_near_dedup,
+        op10_mixing)
 }
