@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import language, quality
+from affinity.llm import language, quality, quality_rules, secrets
 from affinity.llm.common import documents, labels
 from affinity.llm.exact_dedup import dedup_exact
 from affinity.llm.line_dedup import line_dedup_digest
@@ -33,11 +33,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(documents(spark, sf_dir))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return language.identify(docs, language.fit(docs))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rules_digest(documents(spark, sf_dir))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(documents(spark, sf_dir))
 
@@ -52,6 +60,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_quality, op3_token_output, op4_packing, op6_language, op8_line_dedup, op9_near_dedup,
-        op10_mixing)
+        op1_exact_dedup, op2_quality, op3_token_output, op4_packing, op5_secrets, op6_language, op7_quality_rules,
+        op8_line_dedup, op9_near_dedup, op10_mixing)
 }

@@ -68,9 +68,7 @@ class Words:
 
 
 def words_of(texts: pa.Array) -> Words:
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    parts = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    parts = pc.ascii_split_whitespace(pc.utf8_lower(tokens.whole(texts)))
     offsets = parts.offsets.to_numpy().astype(np.int64)
     coded = parts.flatten().dictionary_encode()
     letters = pc.match_substring_regex(coded.dictionary, r"\p{L}").to_numpy(zero_copy_only=False)

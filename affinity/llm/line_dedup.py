@@ -64,25 +64,31 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
             .groupBy("doc_id", "_rid").agg(F.collect_set("pos").alias("drop")))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
-                salts: int = SALTS) -> DataFrame:
-    """``docs`` with the kept text, and n_lines and n_dropped beside it."""
+def _with_drops(docs: DataFrame, min_chars: int, min_docs: int, salts: int) -> tuple[DataFrame, Column, Column]:
+    """``docs`` joined with their dropped positions; these, and the kept text."""
     drops = dropped_lines(docs, min_chars, min_docs, salts).withColumnsRenamed(
         {"doc_id": "_drop_id", "_rid": "_drop_rid", "drop": "_drop"})
-    joined = docs.withColumn("_rid", F.xxhash64("text")).join(
-        drops, F.col("doc_id").eqNullSafe(F.col("_drop_id")) & (F.col("_rid") == F.col("_drop_rid")),
-        "left")
-    rest = let(lines_of(text_or_empty()), lambda lines: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop")),
-        lambda i: F.get(lines, i)), "\n"))
-    return joined.select(
-        *[docs[c] for c in docs.columns if c != "text"],
-        F.when(F.col("_drop").isNull(), text_or_empty()).otherwise(rest).alias("text"),
-        F.size(lines_of(text_or_empty())).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["_drop_id"])
+                       & (F.xxhash64(docs["text"]) == drops["_drop_rid"]), "left")
+    text, drop = F.coalesce(docs["text"], F.lit("")), drops["_drop"]
+    rest = let(lines_of(text), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop), lambda i: F.get(lines, i)), "\n"))
+    return joined, drop, F.when(drop.isNull(), text).otherwise(rest)
+
 
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+                salts: int = SALTS) -> DataFrame:
+    """``docs`` with the kept texts; a column n_chars is counted anew."""
+    joined, _, kept = _with_drops(docs, min_chars, min_docs, salts)
+    new = {"text": kept, "n_chars": F.length(kept).cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
 
-def line_dedup_digest(docs: DataFrame) -> DataFrame:
+
+def line_dedup_digest(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+                      salts: int = SALTS) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) per document."""
-    return dedup_lines(docs.select("doc_id", "text")).select(
-        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    docs = docs.select("doc_id", "text")
+    joined, drop, kept = _with_drops(docs, min_chars, min_docs, salts)
+    return joined.select(
+        docs["doc_id"], F.size(lines_of(F.coalesce(docs["text"], F.lit("")))).cast("long").alias("n_lines"),
+        F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped"), F.sha2(kept, 256).alias("kept_sha256"))

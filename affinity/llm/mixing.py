@@ -19,7 +19,8 @@ Defined results: a null text has size 0; a null source is a source of its own,
 last in order; a source without words has target 0 and its documents are taken
 as a whole floor(0) times, that is never; equal doc_ids are ordered by size,
 equal rows take part each for itself; an empty table gives an empty result;
-further columns stay as they are.
+further columns stay as they are,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -69,14 +70,15 @@ def water_filling(sizes: DataFrame, weights: Sequence[int] = WEIGHTS,
         F.least(F.col("cap").cast("double"), F.col("w") * F.col("level"))).alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
-        seed: str = SEED, bucket_digits: int = BUCKET_DIGITS) -> DataFrame:
-    """``docs`` with size, source_size, target and reps (times to take each)."""
+def planned(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
+            seed: str = SEED, bucket_digits: int = BUCKET_DIGITS) -> DataFrame:
+    """Rows (doc_id, source, size and any others) with source_size, target and
+    reps, the times to take each."""
     # "0..." before "1": sources by code point, null last
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     place = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = (docs.withColumn("size", word_count(text_or_empty()))
-            .withColumn("source_key", key).withColumn("place", place)
+    carried = [c for c in rows.columns if c != "source"]
+    rows = (rows.select(*carried, key.alias("source_key"), place.alias("place"))
             .withColumn("bucket", F.substring("place", 1, bucket_digits)))
     buckets = rows.groupBy("source_key", "bucket").agg(F.sum("size").alias("words"))
     targets = water_filling(buckets.groupBy("source_key").agg(F.sum("words").alias("source_size")),
@@ -96,10 +98,20 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
     return (rows.join(plan, ["source_key", "bucket"])
             .withColumn("upto", F.sum("size").over(inside))
             .withColumn("reps", F.col("whole") + F.when(middle < F.col("more"), 1).otherwise(0))
-            .drop("source_key", "bucket", "place", "before", "whole", "more", "upto"))
+            .select(*carried, "source_size", "target", "reps"))
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as many times as the mix takes it."""
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "source",
+                       word_count(text_or_empty()).alias("size"))
+    return (planned(rows, **options).filter("reps > 0")
+            .select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "reps"))).select("doc.*"))
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) per document."""
-    return mix(docs.select("doc_id", "text", "source")).select(
+    # the texts are only counted, so they stay out of the rows that move
+    slim = docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"))
+    return planned(slim).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))

@@ -79,8 +79,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all texts in turn, and each set's size."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(tokens.whole(texts)))
     words, offsets = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
     real = pc.greater(pc.binary_length(words), 0)
     counts = tokens._sums(real.to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0])
@@ -415,4 +414,4 @@ def dedup_near(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the smallest doc_id;
     documents without a doc_id stay if they resemble none that has one."""
     gone = near_components(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")

@@ -63,9 +63,7 @@ def _distinct(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def statistics(texts: pa.Array) -> np.ndarray:
     """One row of STATISTICS per text."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = tokens.whole(texts)
     n_bytes = pc.binary_length(texts).to_numpy().astype(np.int64)
     ends = np.cumsum(n_bytes)
     flat = _TABLE[np.frombuffer("".join(texts.to_pylist()).encode(), np.uint8)] if len(texts) else np.empty(0, np.uint8)

@@ -141,11 +141,19 @@ def _split(texts: pa.Array, splitter) -> tuple[np.ndarray, np.ndarray, pa.Array]
     return offsets - offsets[0], coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """All ids in order, and the number of ids of each text (null: none)."""
+def whole(texts: pa.Array) -> pa.Array:
+    """The texts in buffers of their own, null as empty.  Arrow's functions
+    that split text go wrong on slices of an array (seen in version 23)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if texts.offset:
+        texts = texts.take(pa.array(np.arange(len(texts))))
+    return pc.fill_null(texts.cast(pa.large_string()), "")
+
+
+def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in order, and the number of ids of each text (null: none)."""
+    texts = whole(texts)
     special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
     simple = pc.if_else(pa.array(special), pa.scalar("", pa.large_string()), texts) if special.any() else texts
     in_text, words, distinct = _split(simple, lambda a: pc.ascii_split_whitespace(pc.ascii_lower(a)))
@@ -157,12 +165,12 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     out = ragged(word_ids, starts_of(word_size)[words], word_size[words])
     lengths = _sums(word_size[words], in_text)
     if special.any():
-        whole, whole_size = _one_by_one(load(path)[0], texts.filter(pa.array(special)).to_pylist())
+        apart, apart_size = _one_by_one(load(path)[0], texts.filter(pa.array(special)).to_pylist())
         starts = starts_of(lengths)
-        starts[special] = len(out) + starts_of(whole_size)
+        starts[special] = len(out) + starts_of(apart_size)
         lengths = lengths.copy()
-        lengths[special] = whole_size
-        out = ragged(np.concatenate([out, whole]), starts, lengths)
+        lengths[special] = apart_size
+        out = ragged(np.concatenate([out, apart]), starts, lengths)
     return out, lengths
 
 
