@@ -18,9 +18,13 @@ The work is done in two rounds, each confirmed on full sets:
    member and node, and resolves groups of copies, however large.
 2. With the components of round 1 known, only pairs of different components can
    matter.  Nodes that lie in one component are done.  Small nodes compare all
-   pairs of different components; large ones branch, level by level; those still
-   large at ``depth`` compare every member outside the node's main component
-   with all members, in tiles.  So no pair is left out by a cap.
+   pairs of different components.  In large nodes with few members outside the
+   main component, and in all that are left at the last level, these outsiders
+   are compared with every member, so many at a time; other large nodes branch
+   to the next of ``LEVELS``.  So no pair is left out by a cap.
+
+A document's way down a tree depends on its own MinHash values only, so it
+carries its paths at all levels from the start and branching moves no rows.
 
 Equal sets are one representative (the smallest doc_id) before all this, by a
 128-bit digest.  Sketch estimates lose a pair at exactly the threshold about
@@ -59,8 +63,13 @@ THRESHOLD = 0.85
 COORDINATES = 128
 TREES = 10
 SMALL = 256
-DEPTH = 6
+#: Depths at which nodes are looked at.
+LEVELS = (1, 2, 4, 7)
+#: Members outside a node's main component that are compared with all at once.
+OUTSIDERS = 64
 SALTS = 16
+#: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 4_000_000
 #: Pairs whose sketches agree less aren't confirmed: 3.2 standard deviations
 #: below the threshold.
 LEAST_AGREEMENT = THRESHOLD - 0.1
@@ -183,33 +192,48 @@ def _coordinates(path: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
             (more, (second % U(COORDINATES)).astype(np.int64)[more])]
 
 
-NODE_DDL = "path long, id long, n long, sketch binary"
-
-
-def branched(rows: DataFrame, trees: int = 0) -> DataFrame:
-    """The children of rows (path, id, n, signature); with ``trees``, of that
-    many roots, and path isn't read."""
+def branched(reps: DataFrame, trees: int) -> DataFrame:
+    """(path, id, tail): each document's nodes at the first of LEVELS, and its
+    paths at the others."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches, 4 << 20):
-            values = _matrix(b.column(3), np.uint32, COORDINATES)
-            sketch = _binary(values.astype(np.uint8))
-            for tree in range(max(trees, 1)):
-                path = np.full(len(values), tree + 1, np.uint64) if trees else b.column(0).to_numpy().view(np.uint64)
-                for at, where in _coordinates(path):
-                    child = mixed(mixed(path[at] * MIX[3] + where.astype(np.uint64)) + values[at, where])
-                    pick = pa.array(at)
+        for b in tokens.small_batches(batches, 8 << 20):
+            values = _matrix(b.column(1), np.uint32, COORDINATES)
+
+            def child(path: np.ndarray, at: np.ndarray, where: np.ndarray) -> np.ndarray:
+                return mixed(mixed(path * MIX[3] + where.astype(np.uint64)) + values[at, where])
+
+            for tree in range(trees):
+                root = np.full(len(values), tree + 1, np.uint64)
+                for at, where in _coordinates(root):
+                    way = [child(root[at], at, where)]
+                    while len(way) < LEVELS[-1]:
+                        way.append(child(way[-1], at, _coordinates(way[-1])[0][1]))
+                    tail = np.stack([way[k - 1] for k in LEVELS[1:]], 1).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(child.view(np.int64)), b.column(1).take(pick), b.column(2).take(pick), sketch.take(pick)],
-                        names=["path", "id", "n", "sketch"])
+                        [pa.array(way[0].view(np.int64)), b.column(0).take(pa.array(at)),
+                         pa.FixedSizeListArray.from_arrays(pa.array(tail.ravel()), tail.shape[1]).cast(pa.list_(pa.int64()))],
+                        names=["path", "id", "tail"])
 
-    return with_package(rows).select("path", "id", "n", "signature").mapInArrow(branch, NODE_DDL)
+    return with_package(reps).select("id", "signature").mapInArrow(branch, "path long, id long, tail array<long>")
+
+
+def sketches(reps: DataFrame) -> DataFrame:
+    """(id, n, sketch): the last byte of each MinHash value."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = _matrix(b.column(2), np.uint32, COORDINATES)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _binary(values.astype(np.uint8))],
+                                             names=["id", "n", "sketch"])
 
+    return with_package(reps).select("id", "n", "signature").mapInArrow(cut, "id long, n long, sketch binary")
 
-def nodes_of(rows: DataFrame, name: str) -> DataFrame:
-    """Rows of nodes with two members or more, with the node's size; stored."""
+
+def shared_nodes(rows: DataFrame) -> DataFrame:
+    """Rows of nodes with two members or more, with the node's size."""
     sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    return materialize(rows.join(sizes, "path"), name)
+    return rows.join(sizes, "path")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,7 +337,7 @@ def pivot_pairs(nodes: DataFrame) -> DataFrame:
     chosen = F.pmod(F.xxhash64("path", "id"), F.col("size")) < PIVOT_SAMPLE
     few = large.filter(chosen).groupBy("path").agg(F.collect_list("sketch").alias("few"))
     scored = (with_package(large).join(salted(few, SALTS), ["path", "_salt"])
-              .select("path", "id", "n", "sketch", "few").mapInArrow(score, NODE_DDL + ", alike double"))
+              .select("path", "id", "n", "sketch", "few").mapInArrow(score, "path long, id long, n long, sketch binary, alike double"))
     pivots = (scored.groupBy("path").agg(F.max(F.struct("alike", "id", "n", "sketch")).alias("p"))
               .select("path", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.sketch").alias("p_sketch")))
     return (large.join(salted(pivots, SALTS), ["path", "_salt"]).filter("id <> p_id")
@@ -322,24 +346,32 @@ def pivot_pairs(nodes: DataFrame) -> DataFrame:
 
 def outsider_pairs(nodes: DataFrame) -> DataFrame:
     """Candidate pairs of members outside a node's main component with all
-    members of other components, in tiles of the node."""
+    members of other components.  The outsiders are dealt into lists of about
+    OUTSIDERS, and every member meets every list of its node."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches):
-            one, other = (_matrix(b.column(k), np.uint8, COORDINATES) for k in (2, 5))
-            keep = _alike(b.column(1).to_numpy(), b.column(4).to_numpy(), _agreement(one, other))
-            yield _pairs([b.column(0).to_numpy()[keep]], [b.column(3).to_numpy()[keep]])
+        for b in tokens.small_batches(batches, 4 << 20):
+            ids, n, comp = (b.column(k).to_numpy() for k in (0, 1, 2))
+            sketch = _matrix(b.column(3), np.uint8, COORDINATES)
+            lists = b.column(4)
+            cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            flat = lists.flatten()
+            o_ids, o_n, o_comp = (flat.field(k).to_numpy() for k in range(3))
+            o_sketch = _matrix(flat.field(3), np.uint8, COORDINATES)
+            a, c = [], []
+            for r, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+                few = slice(lo, hi)
+                hit = np.flatnonzero(_alike(o_n[few], n[r], _agreement(o_sketch[few], sketch[r])) & (o_comp[few] != comp[r]))
+                if len(hit):
+                    a.append(np.full(len(hit), ids[r]))
+                    c.append(o_ids[few][hit])
+            yield _pairs(a, c)
 
-    main = (nodes.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy("path").agg(F.max(F.struct("k", "comp"))["comp"].alias("main")))
-    members = nodes.withColumn("_salt", salt_of("id", SALTS))
-    outside = (nodes.join(main, "path").filter("comp <> main")
-               .select("path", F.col("id").alias("o_id"), F.col("n").alias("o_n"),
-                       F.col("sketch").alias("o_sketch"), F.col("comp").alias("o_comp")))
-    return (with_package(members).join(salted(outside, SALTS), ["path", "_salt"])
-            .filter((F.col("comp") != F.col("o_comp")) & (F.col("n") >= THRESHOLD * F.col("o_n") - 1e-9)
-                    & (F.col("o_n") >= THRESHOLD * F.col("n") - 1e-9))
-            .select("id", "n", "sketch", "o_id", "o_n", "o_sketch").mapInArrow(near, PAIR_DDL))
+    lists = (nodes.filter("comp <> main")
+             .withColumn("_list", F.pmod(F.xxhash64("id"), F.ceil(F.col("outsiders") / OUTSIDERS)))
+             .groupBy("path", "_list").agg(F.collect_list(F.struct("id", "n", "comp", "sketch")).alias("few")))
+    return (with_package(nodes).withColumn("_salt", salt_of("id", SALTS)).join(salted(lists, SALTS), ["path", "_salt"])
+            .select("id", "n", "comp", "sketch", "few").mapInArrow(near, PAIR_DDL))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH) -> DataFrame:
@@ -361,6 +393,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH)
 
     pairs = materialize(pairs.distinct(), f"{name}-pairs")
     ids = pairs.select(F.col("id1").alias("doc_id")).unionByName(pairs.select(F.col("id2").alias("doc_id"))).distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     sets = full_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width)
     one = sets.select(F.col("id").alias("id1"), F.col("items").alias("items1"))
     other = sets.select(F.col("id").alias("id2"), F.col("items").alias("items2"))
@@ -368,7 +402,34 @@ def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH)
     return materialize(checked.mapInArrow(check, PAIR_DDL).distinct(), f"{name}-links")
 
 
-def near_components(docs: DataFrame, width: int = WIDTH, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+def cross_pairs(level: DataFrame, parts: DataFrame) -> DataFrame:
+    """Candidate pairs of different components, from all levels."""
+    placed = level.join(parts.withColumnRenamed("component", "comp"), "id", "left").withColumn(
+        "comp", F.coalesce("comp", "id"))
+    found = None
+    for step in range(len(LEVELS)):
+        pairs = small_node_pairs(placed, different=True)
+        found = pairs if found is None else found.unionByName(pairs)
+        large = placed.filter(F.col("size") > SMALL)
+        parted = (large.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
+                  .groupBy("path").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("total"))
+                  .select("path", F.col("m.comp").alias("main"), (F.col("total") - F.col("m.k")).alias("outsiders"))
+                  .filter("outsiders > 0"))
+        large = materialize(large.join(parted, "path"), "large")
+        if large.isEmpty():
+            break
+        last = step == len(LEVELS) - 1
+        few = F.lit(last) | (F.col("outsiders") <= OUTSIDERS)
+        found = found.unionByName(outsider_pairs(large.filter(few)))
+        deeper = large.filter(~few).select(F.col("tail")[0].alias("path"), "id", "n", "sketch", "comp",
+                                           F.slice("tail", 2, len(LEVELS)).alias("tail"))
+        if last or deeper.isEmpty():
+            break
+        placed = materialize(shared_nodes(deeper), "nodes")
+    return found
+
+
+def near_components(docs: DataFrame, width: int = WIDTH, trees: int = TREES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     rows = materialize(described(docs, width), "described")
     reps = materialize(
@@ -376,27 +437,10 @@ def near_components(docs: DataFrame, width: int = WIDTH, trees: int = TREES, dep
         .agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"),
              F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
         .filter("id is not null"), "representatives")
-    level = nodes_of(branched(reps.select(F.lit(0).cast("long").alias("path"), "id", "n", "signature"), trees), "nodes")
+    level = materialize(shared_nodes(branched(reps, trees)).join(sketches(reps), "id"), "nodes")
     links = confirmed(docs, small_node_pairs(level, different=False).unionByName(pivot_pairs(level)), "pivot", width)
     parts = materialize(connected_components(links), "parts")
-
-    found = None
-    for step in range(depth):
-        placed = level.join(parts.withColumnRenamed("component", "comp"), "id", "left").withColumn(
-            "comp", F.coalesce("comp", "id")).select("path", "id", "n", "sketch", "size", "comp")
-        pairs = small_node_pairs(placed, different=True)
-        large = placed.filter(F.col("size") > SMALL)
-        mixed_paths = (large.groupBy("path").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
-                       .filter("a <> b").select("path"))
-        large = materialize(large.join(mixed_paths, "path"), "large")
-        found = pairs if found is None else found.unionByName(pairs)
-        if large.isEmpty():
-            break
-        if step == depth - 1:
-            found = found.unionByName(outsider_pairs(large))
-            break
-        level = nodes_of(branched(large.select("path", "id").join(reps.select("id", "n", "signature"), "id")), "nodes")
-    more = confirmed(docs, found, "cross", width)
+    more = confirmed(docs, cross_pairs(level, parts), "cross", width)
     if not more.isEmpty():
         parts = materialize(connected_components(links.unionByName(more)), "parts")
 
