@@ -11,14 +11,15 @@ MinHash value there, so similar documents share a child with a chance of at
 least the threshold.  Nodes of up to ``small`` documents are compared
 exhaustively on sketches of one byte per coordinate; larger ones branch on.
 
-The work is done in two rounds, each confirmed on full sets:
+The work is done in rounds, each confirmed on full sets:
 
 1. In every node of the first level the member most like the others is the
    pivot, and members that resemble it make pairs with it.  That is one pair per
    member and node, and resolves groups of copies, however large.
 2. With the components of round 1 known, only pairs of different components can
    matter.  Nodes that lie in one component are done.  Small nodes compare all
-   pairs of different components.  In large nodes with few members outside the
+   pairs of different components: first each member keeps its nearest one, and
+   with the components that these give, all pairs that are left are candidates.  In large nodes with few members outside the
    main component, and in all that are left at the last level, these outsiders
    are compared with every member, so many at a time; other large nodes branch
    to the next of ``LEVELS``.  So no pair is left out by a cap.
@@ -278,9 +279,12 @@ def _pairs(a: list, b: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["id1", "id2"])
 
 
-def small_node_pairs(nodes: DataFrame, different: bool) -> DataFrame:
-    """Candidate pairs of nodes of up to SMALL members: with the pivot, or all
-    pairs of different components."""
+PIVOT, NEAREST, ALL = range(3)
+
+
+def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
+    """Candidate pairs of nodes of up to SMALL members: with the pivot; or of
+    different components, of each member with the nearest, or all."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _runs(batches):
@@ -295,11 +299,16 @@ def small_node_pairs(nodes: DataFrame, different: bool) -> DataFrame:
             for lo, m in zip(first[size > 2].tolist(), size[size > 2].tolist()):
                 rows = slice(lo, lo + m)
                 s, own_n, own_ids, own_comp = sketch[rows], n[rows], ids[rows], comp[rows]
-                if different and (own_comp == own_comp[0]).all():
+                if pick != PIVOT and (own_comp == own_comp[0]).all():
                     continue
                 same = np.stack([_agreement(s, one) for one in s])
-                if different:
-                    i, j = np.nonzero(np.triu(_alike(own_n[:, None], own_n[None], same) & (own_comp[:, None] != own_comp[None]), 1))
+                if pick != PIVOT:
+                    good = _alike(own_n[:, None], own_n[None], same) & (own_comp[:, None] != own_comp[None])
+                    if pick == NEAREST:
+                        i = np.flatnonzero(good.any(1))
+                        j = np.where(good, same, -1)[i].argmax(1)
+                    else:
+                        i, j = np.nonzero(np.triu(good, 1))
                 else:
                     pivot = int(same.sum(0).argmax())
                     j = np.flatnonzero(_alike(own_n, own_n[pivot], same[pivot]))
@@ -309,7 +318,7 @@ def small_node_pairs(nodes: DataFrame, different: bool) -> DataFrame:
                 c.append(own_ids[j])
             yield _pairs(a, c)
 
-    comp = F.col("comp") if different else F.col("id")
+    comp = F.col("id") if pick == PIVOT else F.col("comp")
     ordered = (nodes.filter(F.col("size") <= SMALL).select("path", "id", "n", "sketch", comp.alias("comp"))
                .repartition("path").sortWithinPartitions("path", "id"))
     return with_package(ordered).mapInArrow(compare, PAIR_DDL)
@@ -344,9 +353,9 @@ def pivot_pairs(nodes: DataFrame) -> DataFrame:
             .select("id", "n", "sketch", "p_id", "p_n", "p_sketch").mapInArrow(near, PAIR_DDL))
 
 
-def outsider_pairs(nodes: DataFrame) -> DataFrame:
+def outsider_pairs(nodes: DataFrame, pick: int) -> DataFrame:
     """Candidate pairs of members outside a node's main component with all
-    members of other components.  The outsiders are dealt into lists of about
+    members of other components, or with the nearest.  The outsiders are dealt into lists of about
     OUTSIDERS, and every member meets every list of its node."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,8 +370,10 @@ def outsider_pairs(nodes: DataFrame) -> DataFrame:
             a, c = [], []
             for r, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
                 few = slice(lo, hi)
-                hit = np.flatnonzero(_alike(o_n[few], n[r], _agreement(o_sketch[few], sketch[r])) & (o_comp[few] != comp[r]))
+                same = _agreement(o_sketch[few], sketch[r])
+                hit = np.flatnonzero(_alike(o_n[few], n[r], same) & (o_comp[few] != comp[r]))
                 if len(hit):
+                    hit = hit[same[hit].argmax():][:1] if pick == NEAREST else hit
                     a.append(np.full(len(hit), ids[r]))
                     c.append(o_ids[few][hit])
             yield _pairs(a, c)
@@ -402,13 +413,14 @@ def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH)
     return materialize(checked.mapInArrow(check, PAIR_DDL).distinct(), f"{name}-links")
 
 
-def cross_pairs(level: DataFrame, parts: DataFrame) -> DataFrame:
-    """Candidate pairs of different components, from all levels."""
+def cross_pairs(level: DataFrame, parts: DataFrame, pick: int) -> DataFrame:
+    """Candidate pairs of different components, from all levels: of each
+    member with the nearest in a node, or all."""
     placed = level.join(parts.withColumnRenamed("component", "comp"), "id", "left").withColumn(
         "comp", F.coalesce("comp", "id"))
     found = None
     for step in range(len(LEVELS)):
-        pairs = small_node_pairs(placed, different=True)
+        pairs = small_node_pairs(placed, pick)
         found = pairs if found is None else found.unionByName(pairs)
         large = placed.filter(F.col("size") > SMALL)
         parted = (large.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
@@ -420,7 +432,7 @@ def cross_pairs(level: DataFrame, parts: DataFrame) -> DataFrame:
             break
         last = step == len(LEVELS) - 1
         few = F.lit(last) | (F.col("outsiders") <= OUTSIDERS)
-        found = found.unionByName(outsider_pairs(large.filter(few)))
+        found = found.unionByName(outsider_pairs(large.filter(few), pick))
         deeper = large.filter(~few).select(F.col("tail")[0].alias("path"), "id", "n", "sketch", "comp",
                                            F.slice("tail", 2, len(LEVELS)).alias("tail"))
         if last or deeper.isEmpty():
@@ -438,11 +450,13 @@ def near_components(docs: DataFrame, width: int = WIDTH, trees: int = TREES) ->
              F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
         .filter("id is not null"), "representatives")
     level = materialize(shared_nodes(branched(reps, trees)).join(sketches(reps), "id"), "nodes")
-    links = confirmed(docs, small_node_pairs(level, different=False).unionByName(pivot_pairs(level)), "pivot", width)
+    links = confirmed(docs, small_node_pairs(level, PIVOT).unionByName(pivot_pairs(level)), "pivot", width)
     parts = materialize(connected_components(links), "parts")
-    more = confirmed(docs, cross_pairs(level, parts), "cross", width)
-    if not more.isEmpty():
-        parts = materialize(connected_components(links.unionByName(more)), "parts")
+    for name, pick in (("nearest", NEAREST), ("cross", ALL)):
+        more = confirmed(docs, cross_pairs(level, parts, pick), name, width)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            parts = materialize(connected_components(links), "parts")
 
     # where a set's documents go, if not each to itself
     known = (reps.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
