@@ -50,7 +50,8 @@ def words_of(text: Column) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """How many words lie in a 3-word window that occurs more than once."""
+    """How many words lie in a 3-word window that occurs more than once.
+    ``words`` must be bound (a column or lambda variable)."""
 
     def covered(hashes: Column) -> Column:
         placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -61,11 +62,11 @@ def repeated_words(words: Column) -> Column:
             F.lit(0), lambda total, n: total + n)))
 
     def hashed(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(w) - 3),
-                           lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        return F.transform(F.slice(w, F.lit(1), F.size(w) - 2),
+                           lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
 
-    return let(words, lambda w: F.when(F.size(w) < 3, 0).otherwise(let(hashed(w), lambda h: F.when(
-        F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h))))).cast("long")
+    return F.when(F.size(words) < 3, 0).otherwise(let(hashed(words), lambda h: F.when(
+        F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h)))).cast("long")
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -74,14 +75,18 @@ def duplicate_lines(text: Column) -> Column:
                lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
+def without_classes(text: Column) -> list[Column]:
+    """The text, and what is left of it after each class is taken out."""
+    left = [text]
+    for pattern in CLASSES:
+        left.append(F.regexp_replace(left[-1], pattern, ""))
+    return left
+
+
 def class_counts(text: Column) -> list[Column]:
     """Characters of each class, and of none."""
-    counts, left = [], text
-    for pattern in CLASSES:
-        rest = F.regexp_replace(left, pattern, "")
-        counts.append(F.length(left) - F.length(rest))
-        left = rest
-    return [*counts, F.length(left)]
+    left = without_classes(text)
+    return [*[F.length(a) - F.length(b) for a, b in zip(left, left[1:])], F.length(left[-1])]
 
 
 def references(docs: DataFrame) -> DataFrame:
@@ -128,20 +133,24 @@ def judged(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang_key"), text_or_empty().alias("text")).join(
         refs, "lang_key", "left")
-    # white space doubled, so that neighbouring words don't share a blank
-    spaced = F.concat(F.lit(" "), F.regexp_replace(ascii_lower(text), SPACE, "  "), F.lit(" "))
-
     def found(t: Column) -> Column:
         return F.transform("r_words", lambda w: (
             (F.length(t) - F.length(F.replace(t, F.concat(F.lit(" "), w, F.lit(" "))))) / (F.length(w) + 2)).cast("double"))
 
+    def of_words(w: Column) -> Column:
+        # two blanks between words, so that neighbours don't share one
+        spaced = F.concat(F.lit(" "), ascii_lower(F.array_join(w, "  ")), F.lit(" "))
+        return F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"),
+                        let(spaced, found).alias("common"))
+
+    # symbols and white space are read off what the classes leave, not searched for again
+    classes = class_counts(text)
     counted = rows.select(
-        "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"),
-        F.length(F.regexp_replace(text, SPACE, "")).cast("long").alias("word_chars"),
-        F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        duplicate_lines(text).alias("n_dup_lines"), repeated_words(words_of(text)).alias("n_repeat_words"),
-        F.array(*[c.cast("double") for c in class_counts(text)]).alias("chars"), "r_chars",
-        let(spaced, found).alias("common"), "r_counts", "r_all")
+        "doc_id", let(words_of(text), of_words).alias("w"), duplicate_lines(text).alias("n_dup_lines"),
+        (F.length(text) - classes[1]).cast("long").alias("word_chars"),
+        F.regexp_count(without_classes(text)[-1], F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.array(*[c.cast("double") for c in classes]).alias("chars"), "r_chars", "r_counts", "r_all",
+    ).select("doc_id", "w.*", "n_dup_lines", "word_chars", "n_symbols", "chars", "r_chars", "r_counts", "r_all")
 
     def with_rest(a: Column, every: Column) -> Column:
         return F.concat(a, F.array(F.greatest(F.lit(0.0), every - F.aggregate(a, F.lit(0.0), lambda s, x: s + x))))
