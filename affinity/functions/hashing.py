@@ -11,9 +11,10 @@ from ..params import MERSENNE_P
 
 
 def element_hash(c: Column) -> Column:
-    """28-bit md5 prefix of a string as bigint: stable across engines and runs,
-    below 2^31 so (a*x + b) never overflows a long."""
-    return F.conv(F.substring(F.md5(c), 1, 7), 16, 10).cast("bigint")
+    """The first 60 bits of a string's md5 as bigint, stable across engines and
+    runs.  It is the identity of an element in exact sets; hash functions
+    reduce it modulo p themselves."""
+    return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint")
 
 
 def hash_family(k: int, seed: int = 42) -> list[tuple[int, int]]:
@@ -40,5 +41,7 @@ def hash_sample_predicate(c: Column, fraction: float, seed: int = 42) -> Column:
     ``DataFrame.sample`` on a re-computed input).
     """
     a, b = hash_family(1, seed)[0]
-    h = F.pmod(c.cast("bigint") * F.lit(a) + F.lit(b), F.lit(MERSENNE_P))
+    # reduced first, so ids of any size neither overflow nor raise
+    x = F.pmod(c.cast("bigint"), F.lit(MERSENNE_P))
+    h = F.pmod(x * F.lit(a) + F.lit(b), F.lit(MERSENNE_P))
     return h < F.lit(int(fraction * MERSENNE_P))

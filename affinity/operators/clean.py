@@ -148,14 +148,17 @@ def normalize_categories(items: DataFrame, mapping: DataFrame, id_col: str = "it
     m = (mapping.select(F.trim("raw").alias("_piece"), F.col("canonical").alias("_canon"))
          .dropDuplicates(["_piece"]))
     other = [c for c in items.columns if c not in (id_col, col)]
-    pieces = (items.select(id_col, *other, col,
+    blank = F.col(col).isNull() | (F.trim(F.col(col)) == "")
+    # repeated rows are worked on once and given back as often as they came
+    distinct = items.filter(~blank).groupBy(id_col, *other, col).agg(F.count(F.lit(1)).alias("_times"))
+    pieces = (distinct.select(id_col, *other, col, "_times",
                            F.explode(F.split(F.col(col), pattern)).alias("_piece"))
               .withColumn("_piece", F.trim("_piece")))
     mapped = (pieces.join(m, "_piece", "left")
               .withColumn("_v", F.coalesce("_canon", "_piece")))
     joined = F.array_join(F.array_sort(F.collect_set("_v")), sep)
-    out = mapped.groupBy(id_col, *other, col).agg(joined.alias("_new"))
-    blank = F.col(col).isNull() | (F.trim(F.col(col)) == "")
+    out = (mapped.groupBy(id_col, *other, col, "_times").agg(joined.alias("_new"))
+           .withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))))
     kept = items.filter(blank)
     norm = out.select(id_col, *other, F.col("_new").alias(col))
     return norm.unionByName(kept.select(id_col, *other, col))

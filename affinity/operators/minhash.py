@@ -37,7 +37,7 @@ def signatures_long(members: DataFrame, k: int = 200, seed: int = 42,
     a = F.array(*[F.lit(int(x)) for x, _ in fam])
     b = F.array(*[F.lit(int(y)) for _, y in fam])
     h = F.col("h")
-    x = F.col("element").cast("bigint")
+    x = F.pmod(F.col("element").cast("bigint"), F.lit(MERSENNE_P))
     v = (F.get(a, h) * x + F.get(b, h)) % F.lit(MERSENNE_P)
     return (members.select("entity", "element",
                            F.explode(F.sequence(F.lit(0), F.lit(len(fam) - 1))).alias("h"))
@@ -73,7 +73,7 @@ def signatures_from_arrays(df: DataFrame, entity: str, elements: str, k: int = 2
             if arr is None or len(arr) == 0:
                 out.append(None)
                 continue
-            x = np.asarray(arr, dtype=np.uint64)
+            x = np.mod(np.asarray(arr, dtype=np.int64), MERSENNE_P).astype(np.uint64)
             best = np.full(kk, MERSENNE_P, dtype=np.uint64)
             for start in range(0, len(x), CHUNK):
                 chunk = x[start:start + CHUNK][None, :]

@@ -16,15 +16,18 @@ from ..functions.text import title_similarity
 
 def baskets(df: DataFrame, user: str = "user_id", item: str = "item_id",
             rating: str | None = "rating", threshold: float | None = 3.5,
-            min_size: int = 2, max_size: int = 220) -> DataFrame:
-    """(basket_id, items array, n_items) of positive interactions per user,
-    only baskets with min_size <= n_items <= max_size."""
+            min_size: int = 2, max_size: int | None = None) -> DataFrame:
+    """(basket_id, items array, n_items) of positive interactions per user, of
+    min_size items or more.  ``max_size`` is a guard that drops larger baskets;
+    without it none is dropped."""
     if rating is not None and threshold is not None:
         df = df.filter(F.col(rating) >= threshold)
     pairs = df.select(F.col(user).alias("basket_id"), F.col(item).alias("item")).filter(
         F.col("item").isNotNull()).distinct()
     sizes = (pairs.groupBy("basket_id").agg(F.count(F.lit(1)).alias("n_items"))
-             .filter(F.col("n_items").between(min_size, max_size)))
+             .filter(F.col("n_items") >= min_size))
+    if max_size is not None:
+        sizes = sizes.filter(F.col("n_items") <= max_size)
     kept = pairs.join(sizes.select("basket_id"), "basket_id", "left_semi")
     return kept.groupBy("basket_id").agg(F.array_sort(F.collect_list("item")).alias("items")).withColumn(
         "n_items", F.size("items"))
@@ -127,7 +130,7 @@ def attach_titles(rules: DataFrame, titles: DataFrame, id_col: str = "item_id",
     driver dictionary."""
     t = titles.select(F.col(id_col).cast("string").alias("_item"), F.col(title).alias("_title"))
     # a rule is identified by its item lists (rules are unique by them)
-    r = rules.withColumn("_rid", F.concat_ws("=>", _key(F.col("antecedent")), _key(F.col("consequent"))))
+    r = rules.withColumn("_rid", F.struct("antecedent", "consequent"))
     out = r
     for side in ("antecedent", "consequent"):
         ex = (r.select("_rid", F.posexplode(side).alias("_pos", "_item"))

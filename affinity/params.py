@@ -20,6 +20,8 @@ DEFAULTS = MappingProxyType({
     "fpgrowth_partitions": 4,
     "basket_min": 2,
     "basket_max": 220,
+    # our own: a limit that the fixtures reach
+    "basket_guard": 15,
     "relevant_confidence": 0.2,
     "relevant_lift": 1.0,
     "graph_lift": 1.2,

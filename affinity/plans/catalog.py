@@ -52,10 +52,10 @@ def _n_entities(members: DataFrame):
     return members.select(F.count_distinct("entity")).scalar()
 
 
-def brand_baskets(spark, sf):
+def brand_baskets(spark, sf, max_size=None):
     bi = src.brand_interactions(spark, sf)
     return rules.baskets(bi, "user_id", "brand", "rating", P["rating_threshold"],
-                         P["basket_min"], P["basket_max"])
+                         P["basket_min"], max_size)
 
 
 def _model(spark, sf):
@@ -454,6 +454,11 @@ def q_baskets(spark, sf):
     return brand_baskets(spark, sf).select("basket_id", _join("items").alias("items"), "n_items")
 
 
+def q_baskets_guarded(spark, sf):
+    return (brand_baskets(spark, sf, P["basket_guard"])
+            .select("basket_id", _join("items").alias("items"), "n_items"))
+
+
 def q_user_funnel(spark, sf):
     return rules.user_funnel(src.brand_interactions(spark, sf), "user_id", "brand", "rating",
                              P["rating_threshold"], P["basket_min"], P["basket_max"])

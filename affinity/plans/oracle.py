@@ -101,7 +101,7 @@ CTE = {
                   WHERE rating >= 3.5 AND item_id IS NOT NULL AND user_id IS NOT NULL""",
     "doc_m": """
       SELECT DISTINCT doc_id AS entity,
-             CAST(('0x' || substr(md5(array_to_string(ws[i:i + 2], ' ')), 1, 7)) AS BIGINT) AS element
+             CAST(('0x' || substr(md5(array_to_string(ws[i:i + 2], ' ')), 1, 15)) AS BIGINT) AS element
       FROM (SELECT doc_id, string_split(lower(text), ' ') AS ws FROM documents) d,
            range(1, CAST(len(ws) - 1 AS BIGINT)) t(i)""",
     "item_sizes": "SELECT entity, count(*) AS set_size FROM liked_m GROUP BY entity",
@@ -121,7 +121,7 @@ def _jaccard_ctes(m: str, prefix: str, min_j: float = 0.0) -> dict[str, str]:
                             FROM {prefix}_ov JOIN {prefix}_sz s1 ON s1.entity = id1
                             JOIN {prefix}_sz s2 ON s2.entity = id2 {where}""",
         f"{prefix}_sig": f"""SELECT m.entity, hf.col0 AS h,
-                                    min((hf.col1 * m.element + hf.col2) % {MERSENNE_P}) AS v
+                                    min((hf.col1 * (m.element % {MERSENNE_P}) + hf.col2) % {MERSENNE_P}) AS v
                              FROM {m} m, hf GROUP BY 1, 2""",
     }
 
@@ -172,7 +172,7 @@ CTE["sweep"] = """
 CTE["bi"] = """SELECT DISTINCT i.user_id AS basket_id, p.p_brand AS item
                FROM interactions i JOIN part p ON i.item_id = p.p_partkey WHERE i.rating >= 3.5"""
 CTE["bs"] = f"""SELECT basket_id, count(*) AS n_items FROM bi GROUP BY basket_id
-                HAVING count(*) BETWEEN {P['basket_min']} AND {P['basket_max']}"""
+                HAVING count(*) >= {P['basket_min']}"""
 CTE["bk"] = "SELECT bi.basket_id, bi.item FROM bi JOIN bs ON bi.basket_id = bs.basket_id"
 CTE["nb"] = "SELECT count(*) AS n FROM bs"
 CTE["f1s"] = f"""SELECT item, count(*) AS freq FROM bk GROUP BY item
@@ -431,6 +431,8 @@ BODY = {
              round(sqrt(avg((p.estimate - t.jaccard) * (p.estimate - t.jaccard))), 6) AS rmse
       FROM dc_pred p JOIN dc_jp t ON p.id1 = t.id1 AND p.id2 = t.id2""",
     "similar_items": 'SELECT t.id1, t.id2, t.inter, t."union", round(t.jaccard, 6) AS jaccard FROM dc_jp t JOIN dc_cand c ON c.id1 = t.id1 AND c.id2 = t.id2',
+    "baskets_guarded": f"""SELECT basket_id, string_agg(item, '|' ORDER BY item) AS items, count(*) AS n_items FROM bk
+                        GROUP BY basket_id HAVING count(*) <= {P['basket_guard']}""",
     "baskets": "SELECT basket_id, string_agg(item, '|' ORDER BY item) AS items, count(*) AS n_items FROM bk GROUP BY basket_id",
     "user_funnel": f"""
       WITH pu AS (SELECT i.user_id, count(DISTINCT CASE WHEN i.rating >= 3.5 THEN p.p_brand END) AS pos

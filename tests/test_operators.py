@@ -177,3 +177,49 @@ def test_sparsity(spark):
     r = profile.sparsity(df).collect()[0]
     assert (r.num_users, r.num_items, r.possible) == (2, 2, 4)
     assert r.density_pct == 75.0 and math.isclose(r.sparsity_pct, 25.0)
+
+
+def test_normalize_categories_keeps_blank_and_repeated_rows(spark):
+    from affinity.operators import clean
+
+    items = spark.createDataFrame([(1, "a", "X|x"), (1, "a", "X|x"), (2, "b", ""), (3, "c", None)],
+                                  "item_id long, title string, genres string")
+    mapping = spark.createDataFrame([("X", "X"), ("x", "X")], "raw string, canonical string")
+    rows = sorted(clean.normalize_categories(items, mapping).collect(), key=lambda r: (r.item_id, r.title))
+    assert [(r.item_id, r.genres) for r in rows] == [(1, "X"), (1, "X"), (2, ""), (3, None)]
+
+
+def test_titles_of_ids_that_hold_the_separator(spark):
+    from affinity.operators import rules
+
+    r = spark.createDataFrame([(["a|b"], ["c"]), (["a", "b"], ["c"])],
+                              "antecedent array<string>, consequent array<string>")
+    titles = spark.createDataFrame([("a", "A"), ("b", "B"), ("a|b", "AB"), ("c", "C")], "item_id string, title string")
+    got = {tuple(x.antecedent): x.antecedent_titles for x in rules.attach_titles(r, titles).collect()}
+    assert got == {("a|b",): ["AB"], ("a", "b"): ["A", "B"]}
+
+
+def test_minhash_of_ids_above_32_bits(spark):
+    from affinity.functions.hashing import hash_family, hash_sample_predicate
+    from affinity.operators import minhash
+    from affinity.params import MERSENNE_P
+    from pyspark.sql import functions as F
+
+    ids = [5_000_000_007, 10**12, 7, 2**60 - 1]
+    want = [min((a * x + b) % MERSENNE_P for x in ids) for a, b in hash_family(8)]
+    members = spark.createDataFrame([(1, x) for x in ids], "entity long, element long")
+    got = minhash.signatures_long(members, k=8).orderBy("h").collect()
+    assert [r.v for r in got] == want
+    arrays = members.groupBy("entity").agg(F.collect_list("element").alias("elements"))
+    flat = minhash.signatures_to_long(minhash.signatures_from_arrays(arrays, "entity", "elements", k=8))
+    assert [r.v for r in flat.orderBy("h").collect()] == want
+    members.filter(hash_sample_predicate(F.col("element"), 0.5)).count()
+
+
+def test_components(spark):
+    from affinity.operators.components import connected_components
+
+    edges = spark.createDataFrame([(5, 4), (4, 3), (3, 5), (9, 8), (8, 7), (7, 6), (1, 1), (None, 2)], "id1 long, id2 long")
+    got = {r.id: r.component for r in connected_components(edges).collect()}
+    assert got == {3: 3, 4: 3, 5: 3, 6: 6, 7: 6, 8: 6, 9: 6}
+    assert connected_components(edges.limit(0)).count() == 0
