@@ -160,7 +160,7 @@ class Model:
 def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model:
     """A model from the documents that aren't held out and have a lang."""
     usable = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & ~F.coalesce(held_out(), F.lit(False)))
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pylist()}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.empty((BUCKETS, 0)), np.empty((NO_SCRIPT + 1, 0), bool))

@@ -190,15 +190,15 @@ def fit(docs: DataFrame, marks: DataFrame, fit_rows: int = FIT_ROWS, ridge: floa
 
     parts = (with_package(rows).filter("part <> 0").select("label", "stats").mapInArrow(equations, "i long, row array<double>")
              .groupBy("i").applyInPandas(add, "i long, row array<double>"))
-    system = np.array([r for _, r in sorted(parts.toPandas().itertuples(index=False))])
+    system = np.array([r["row"] for r in sorted(parts.toArrow().to_pylist(), key=lambda r: r["i"])])
     if not system.size:
         return Model(float(share))
     count = system[-1, -2]  # the constant feature counts the rows
     weights = np.linalg.solve(system[:, :-1] + ridge * max(count, 1) / FEATURES * np.eye(FEATURES), system[:, -1])
-    scored = rows.filter("part = 0").select("label", "stats").mapInArrow(raw_scores, "label int, raw double").toPandas()
-    if scored.empty:
+    scored = rows.filter("part = 0").select("label", "stats").mapInArrow(raw_scores, "label int, raw double").toArrow()
+    if not scored.num_rows:
         return Model(float(share))
-    raw, calibrated = isotonic(scored["raw"].to_numpy(), scored["label"].to_numpy(float))
+    raw, calibrated = isotonic(scored["raw"].to_numpy(), scored["label"].to_numpy().astype(float))
     return Model(base.prior, base.mean, base.scale, weights, raw, calibrated)
 
 
