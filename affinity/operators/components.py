@@ -4,7 +4,8 @@ Each round joins every node to the smallest node it knows: a large-star step
 links a node's larger neighbours to its smallest, a small-star step its smaller
 ones.  Edges never grow in number beyond the input's, rounds grow with the
 logarithm of the nodes, and nothing is collected.  Minima are pre-aggregated map
-side, so a hub with a third of all edges costs one row per task.  Each round is
+side, so a hub with a third of all edges costs one row per task.  The rounds end
+when one aggregate finds only stars, without a further round.  Each round is
 a written table, so lost executors repeat one round only.
 """
 
@@ -28,6 +29,14 @@ def _stars(edges: DataFrame) -> DataFrame:
         near.filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))).distinct())
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Does every upper end have one edge, to a node that is no upper end?"""
+    ends = edges.select(F.col("hi").alias("u"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("lo").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("root")))
+    return (ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+            .filter(F.col("up") + F.col("root") > 1).filter("up > 0").isEmpty())
+
+
 def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
     """(id, component) of every node that has an edge to another one;
     component is the smallest id that can be reached.  Rows with a null end and
@@ -35,12 +44,7 @@ def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2") -> Da
     now = materialize(edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
                       .filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("lo") < F.col("hi")))
                       .distinct(), "edges")
-    mark = None
-    while True:
-        row = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if tuple(row) == mark or not row[0]:
-            break
-        mark = tuple(row)
+    while not _settled(now):
         now = materialize(_stars(now), "stars")
     return now.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(
         now.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct())
