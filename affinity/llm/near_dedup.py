@@ -18,11 +18,18 @@ The work is done in rounds, each confirmed on full sets:
    member and node, and resolves groups of copies, however large.
 2. With the components of round 1 known, only pairs of different components can
    matter.  Nodes that lie in one component are done.  Small nodes compare all
-   pairs of different components: first each member keeps its nearest one, and
-   with the components that these give, all pairs that are left are candidates.  In large nodes with few members outside the
-   main component, and in all that are left at the last level, these outsiders
-   are compared with every member, so many at a time; other large nodes branch
-   to the next of ``LEVELS``.  So no pair is left out by a cap.
+   pairs of different components, and each member keeps its nearest one.  In
+   large nodes with few members outside the main component, and in all that are
+   left at the last level, these outsiders are compared with every member, so
+   many at a time; other large nodes branch to the next of ``LEVELS``.  So no
+   pair is left out by a cap.
+3. With the components of round 2, all pairs of different components that are
+   left are candidates.  Only documents with a nearest one can have any, so the
+   nodes keep these alone, and their rows carry the ``BOTTOM`` least hashes of
+   the set besides the sketch.  These tell pairs just under the threshold from
+   links: exactly for sets that are no larger, else within four standard
+   deviations.  So a group of copies and many texts that almost belong to it
+   don't make a candidate of each of their pairs.
 
 A document's way down a tree depends on its own MinHash values only, so it
 carries its paths at all levels from the start and branching moves no rows.
@@ -75,6 +82,8 @@ BROADCAST_IDS = 4_000_000
 #: below the threshold.
 LEAST_AGREEMENT = THRESHOLD - 0.1
 PIVOT_SAMPLE = 8
+#: Least hashes of a set that rows carry in the last round.
+BOTTOM = 512
 
 U = np.uint64
 MIX = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -167,15 +176,16 @@ def described(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         describe, "doc_id long, n_shingles long, d1 long, d2 long, signature binary")
 
 
-def full_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(id, items): the sorted shingle hashes of each document."""
+def full_sets(docs: DataFrame, width: int = WIDTH, least: int | None = None) -> DataFrame:
+    """(id, items): the sorted shingle hashes of each document; only the
+    ``least`` first ones if given."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tokens.small_batches(batches, 8 << 20):
             flat, sizes = shingle_sets(b.column(1), width)
             ends = np.cumsum(sizes).tolist()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([flat[e - n:e].tobytes() for e, n in zip(ends, sizes.tolist())], pa.binary())],
+                [b.column(0), pa.array([flat[e - n:e][:least].tobytes() for e, n in zip(ends, sizes.tolist())], pa.binary())],
                 names=["id", "items"])
 
     return with_package(docs).select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(
@@ -271,6 +281,29 @@ def _agreement(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
     return np.count_nonzero(sketches == one, axis=-1)
 
 
+LARGEST = np.iinfo(np.uint64).max
+
+
+def may_link(one: np.ndarray, n1: int, others: list[np.ndarray], n2: np.ndarray) -> np.ndarray:
+    """Which of ``others`` may be linked with ``one``?  All are sorted least
+    hashes of sets of the sizes ``n1`` and ``n2``, none empty.  Up to the last
+    hash that both have kept these are samples of the sets, or the whole sets."""
+    counts, flat = np.array([len(x) for x in others]), np.concatenate(others)
+    ends = np.cumsum(counts)
+    upto = np.minimum(np.where(n2 > counts, flat[ends - 1], LARGEST), one[-1] if n1 > len(one) else LARGEST)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    inside = flat <= np.repeat(upto, counts)
+    theirs = np.add.reduceat(inside.astype(np.int64), ends - counts)
+    shared = np.add.reduceat((inside & (one[at] == flat)).astype(np.int64), ends - counts)
+    union = np.searchsorted(one, upto, side="right") + theirs - shared
+    slack = np.where(upto == LARGEST, 1e-9, 4 * np.sqrt(THRESHOLD * (1 - THRESHOLD) * union))
+    return shared >= THRESHOLD * union - slack
+
+
+def _hashes(column: pa.Array, rows: np.ndarray) -> list[np.ndarray]:
+    return [np.frombuffer(column[int(r)].as_buffer(), np.uint64) for r in rows]
+
+
 PAIR_DDL = "id1 long, id2 long"
 
 
@@ -284,7 +317,8 @@ PIVOT, NEAREST, ALL = range(3)
 
 def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
     """Candidate pairs of nodes of up to SMALL members: with the pivot; or of
-    different components, of each member with the nearest, or all."""
+    different components, of each member with the nearest, or all that the
+    least hashes allow."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _runs(batches):
@@ -295,7 +329,11 @@ def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
             size = np.diff(np.r_[first, len(path)])
             two = first[size == 2]
             keep = _alike(n[two], n[two + 1], _agreement(sketch[two], sketch[two + 1])) & (comp[two] != comp[two + 1])
-            a, c = [ids[two[keep]]], [ids[two[keep] + 1]]
+            two = two[keep]
+            if pick == ALL:
+                least = [_hashes(b.column(5), (r, r + 1)) for r in two]
+                two = two[np.array([may_link(x, n[r], [y], n[r + 1:r + 2])[0] for r, (x, y) in zip(two, least)], bool)]
+            a, c = [ids[two]], [ids[two + 1]]
             for lo, m in zip(first[size > 2].tolist(), size[size > 2].tolist()):
                 rows = slice(lo, lo + m)
                 s, own_n, own_ids, own_comp = sketch[rows], n[rows], ids[rows], comp[rows]
@@ -308,7 +346,13 @@ def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
                         i = np.flatnonzero(good.any(1))
                         j = np.where(good, same, -1)[i].argmax(1)
                     else:
-                        i, j = np.nonzero(np.triu(good, 1))
+                        good = np.triu(good, 1)
+                        used = np.flatnonzero(good.any(0) | good.any(1))
+                        least = dict(zip(used.tolist(), _hashes(b.column(5), lo + used)))
+                        for x in np.flatnonzero(good.any(1)).tolist():
+                            y = np.flatnonzero(good[x])
+                            good[x, y] = may_link(least[x], own_n[x], [least[k] for k in y.tolist()], own_n[y])
+                        i, j = np.nonzero(good)
                 else:
                     pivot = int(same.sum(0).argmax())
                     j = np.flatnonzero(_alike(own_n, own_n[pivot], same[pivot]))
@@ -319,7 +363,8 @@ def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
             yield _pairs(a, c)
 
     comp = F.col("id") if pick == PIVOT else F.col("comp")
-    ordered = (nodes.filter(F.col("size") <= SMALL).select("path", "id", "n", "sketch", comp.alias("comp"))
+    least = ["least"] if pick == ALL else []
+    ordered = (nodes.filter(F.col("size") <= SMALL).select("path", "id", "n", "sketch", comp.alias("comp"), *least)
                .repartition("path").sortWithinPartitions("path", "id"))
     return with_package(ordered).mapInArrow(compare, PAIR_DDL)
 
@@ -355,8 +400,10 @@ def pivot_pairs(nodes: DataFrame) -> DataFrame:
 
 def outsider_pairs(nodes: DataFrame, pick: int) -> DataFrame:
     """Candidate pairs of members outside a node's main component with all
-    members of other components, or with the nearest.  The outsiders are dealt into lists of about
-    OUTSIDERS, and every member meets every list of its node."""
+    members of other components that the least hashes allow; or of each member
+    with its nearest outsider, and of each outsider with its nearest member of
+    a batch.  The outsiders are dealt into lists of about OUTSIDERS, and every
+    member meets every list of its node."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tokens.small_batches(batches, 4 << 20):
@@ -367,26 +414,47 @@ def outsider_pairs(nodes: DataFrame, pick: int) -> DataFrame:
             flat = lists.flatten()
             o_ids, o_n, o_comp = (flat.field(k).to_numpy() for k in range(3))
             o_sketch = _matrix(flat.field(3), np.uint8, COORDINATES)
+            o_least = flat.field(4) if pick == ALL else None
             a, c = [], []
+            best = np.zeros(len(o_ids), np.int64)
             for r, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
                 few = slice(lo, hi)
                 same = _agreement(o_sketch[few], sketch[r])
                 hit = np.flatnonzero(_alike(o_n[few], n[r], same) & (o_comp[few] != comp[r]))
-                if len(hit):
-                    hit = hit[same[hit].argmax():][:1] if pick == NEAREST else hit
-                    a.append(np.full(len(hit), ids[r]))
-                    c.append(o_ids[few][hit])
+                if not len(hit):
+                    continue
+                if pick == ALL:
+                    hit = hit[may_link(_hashes(b.column(5), (r,))[0], n[r], _hashes(o_least, lo + hit), o_n[lo + hit])]
+                else:
+                    best[lo + hit] = same[hit]
+                    hit = hit[[same[hit].argmax()]]
+                a.append(np.full(len(hit), ids[r]))
+                c.append(o_ids[few][hit])
+            if pick == NEAREST and best.any():
+                # of the rows in which an outsider is hit, the one most like it
+                hits = np.flatnonzero(best)
+                order = hits[np.lexsort((-best[hits], o_ids[hits]))]
+                order = order[np.r_[True, o_ids[order][1:] != o_ids[order][:-1]]]
+                a.append(ids[np.searchsorted(cuts, order, side="right") - 1])
+                c.append(o_ids[order])
             yield _pairs(a, c)
 
+    least = ["least"] if pick == ALL else []
     lists = (nodes.filter("comp <> main")
              .withColumn("_list", F.pmod(F.xxhash64("id"), F.ceil(F.col("outsiders") / OUTSIDERS)))
-             .groupBy("path", "_list").agg(F.collect_list(F.struct("id", "n", "comp", "sketch")).alias("few")))
+             .groupBy("path", "_list").agg(F.collect_list(F.struct("id", "n", "comp", "sketch", *least)).alias("few")))
     return (with_package(nodes).withColumn("_salt", salt_of("id", SALTS)).join(salted(lists, SALTS), ["path", "_salt"])
-            .select("id", "n", "comp", "sketch", "few").mapInArrow(near, PAIR_DDL))
+            .select("id", "n", "comp", "sketch", "few", *least).mapInArrow(near, PAIR_DDL))
+
+
+def either_end(pairs: DataFrame) -> DataFrame:
+    """(doc_id) of all ids in pairs, for a broadcast unless there are many."""
+    ids = pairs.select(F.col("id1").alias("doc_id")).unionByName(pairs.select(F.col("id2").alias("doc_id"))).distinct()
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH) -> DataFrame:
-    """The pairs whose full sets are similar enough; stored."""
+    """The pairs (stored ones) whose full sets are similar enough; stored."""
     percent = round(THRESHOLD * 100)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,11 +470,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH)
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["id1", "id2"])
 
-    pairs = materialize(pairs.distinct(), f"{name}-pairs")
-    ids = pairs.select(F.col("id1").alias("doc_id")).unionByName(pairs.select(F.col("id2").alias("doc_id"))).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    sets = full_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width)
+    sets = full_sets(docs.select("doc_id", "text").join(either_end(pairs), "doc_id", "left_semi"), width)
     one = sets.select(F.col("id").alias("id1"), F.col("items").alias("items1"))
     other = sets.select(F.col("id").alias("id2"), F.col("items").alias("items2"))
     checked = pairs.join(one, "id1").join(other, "id2").select("id1", "id2", "items1", "items2")
@@ -433,14 +497,23 @@ def cross_pairs(level: DataFrame, parts: DataFrame, pick: int) -> DataFrame:
         last = step == len(LEVELS) - 1
         few = F.lit(last) | (F.col("outsiders") <= OUTSIDERS)
         found = found.unionByName(outsider_pairs(large.filter(few), pick))
-        deeper = large.filter(~few).select(F.col("tail")[0].alias("path"), "id", "n", "sketch", "comp",
-                                           F.slice("tail", 2, len(LEVELS)).alias("tail"))
+        deeper = large.filter(~few).withColumn("path", F.col("tail")[0]).withColumn(
+            "tail", F.slice("tail", 2, len(LEVELS))).drop("size", "main", "outsiders")
         if last or deeper.isEmpty():
             break
         placed = materialize(shared_nodes(deeper), "nodes")
     return found
 
 
+def near_nodes(docs: DataFrame, level: DataFrame, pairs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The nodes with only the members that ``pairs`` name, which carry the
+    least hashes of their sets; stored."""
+    ids = either_end(pairs)
+    least = full_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width, BOTTOM)
+    kept = level.drop("size").join(ids.withColumnRenamed("doc_id", "id"), "id", "left_semi")
+    return materialize(shared_nodes(kept).join(least.withColumnRenamed("items", "least"), "id"), "near-nodes")
+
+
 def near_components(docs: DataFrame, width: int = WIDTH, trees: int = TREES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     rows = materialize(described(docs, width), "described")
@@ -450,10 +523,14 @@ def near_components(docs: DataFrame, width: int = WIDTH, trees: int = TREES) ->
              F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
         .filter("id is not null"), "representatives")
     level = materialize(shared_nodes(branched(reps, trees)).join(sketches(reps), "id"), "nodes")
-    links = confirmed(docs, small_node_pairs(level, PIVOT).unionByName(pivot_pairs(level)), "pivot", width)
+    pairs = materialize(small_node_pairs(level, PIVOT).unionByName(pivot_pairs(level)).distinct(), "pivot-pairs")
+    links = confirmed(docs, pairs, "pivot", width)
     parts = materialize(connected_components(links), "parts")
     for name, pick in (("nearest", NEAREST), ("cross", ALL)):
-        more = confirmed(docs, cross_pairs(level, parts, pick), name, width)
+        if pick == ALL:
+            level = near_nodes(docs, level, pairs, width)
+        pairs = materialize(cross_pairs(level, parts, pick).distinct(), f"{name}-pairs")
+        more = confirmed(docs, pairs, name, width)
         if not more.isEmpty():
             links = links.unionByName(more)
             parts = materialize(connected_components(links), "parts")

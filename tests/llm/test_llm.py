@@ -368,3 +368,15 @@ def test_pipeline(spark):
     for r in packed:
         got[r.doc_id] += r.length
     assert got == want
+
+
+def test_may_link_is_exact_for_whole_sets_and_keeps_links_of_cut_ones():
+    rng = np.random.default_rng(3)
+    for size, least in ((40, 512), (3000, 512)):
+        base = rng.integers(0, 1 << 63, size, np.uint64)
+        sets = [np.unique(np.concatenate([base[k:], rng.integers(0, 1 << 63, k, np.uint64)])) for k in range(0, size // 5, size // 40)]
+        one = np.unique(base)
+        found = near_dedup.may_link(one[:least], len(one), [s[:least] for s in sets], np.array([len(s) for s in sets]))
+        real = np.array([100 * len(np.intersect1d(one, s)) >= 85 * len(np.union1d(one, s)) for s in sets])
+        assert (found == real).all() if size <= least else (found >= real).all()
+        assert not found[-1]
