@@ -123,7 +123,8 @@ def error_by_k(exact: DataFrame, sigs: DataFrame, n_entities, k_values: Sequence
     With a != 0 mod p each hash is a bijection on [0, p), so equal minima
     mean a shared element: pairs without overlap estimate 0 and err 0.  The
     sum therefore runs over the overlapping pairs (``exact``) only and is
-    divided by the full pair count.
+    divided by the full pair count.  Every k has a row, also without any
+    overlapping pair.
     """
     ks = F.array(*[F.lit(int(k)) for k in k_values])
     j = with_signatures(exact.select("id1", "id2", "jaccard"), sigs)
@@ -131,7 +132,9 @@ def error_by_k(exact: DataFrame, sigs: DataFrame, n_entities, k_values: Sequence
     per = per.withColumn("_err", F.abs(matches(F.col("sig1"), F.col("sig2"), F.col("k")) / F.col("k")
                                          - F.col("jaccard")))
     n_pairs = (n_entities * (n_entities - 1) / 2)
-    return (per.groupBy("k").agg(F.sum("_err").alias("_sum"), F.count(F.lit(1)).alias("overlapping_pairs"))
+    sums = per.groupBy("k").agg(F.sum("_err").alias("_sum"), F.count(F.lit(1)).alias("overlapping_pairs"))
+    every_k = sigs.sparkSession.createDataFrame([(int(k),) for k in k_values], "k int")
+    return (every_k.join(sums, "k", "left").na.fill(0, ["_sum", "overlapping_pairs"])
             .select("k", F.round(F.col("_sum") / n_pairs, 6).alias("mean_error"),
                     F.round(1.0 / F.sqrt(F.col("k")), 6).alias("theoretical_error"),
                     "overlapping_pairs"))

@@ -223,3 +223,11 @@ def test_components(spark):
     got = {r.id: r.component for r in connected_components(edges).collect()}
     assert got == {3: 3, 4: 3, 5: 3, 6: 6, 7: 6, 8: 6, 9: 6}
     assert connected_components(edges.limit(0)).count() == 0
+
+
+def test_error_by_k_has_a_row_per_k_without_overlap(spark):
+    from affinity.operators.minhash import error_by_k
+    exact = spark.createDataFrame([], "id1 int, id2 int, jaccard double")
+    sigs = spark.createDataFrame([(1, [1, 2]), (2, [3, 4])], "entity int, sig array<bigint>")
+    rows = error_by_k(exact, sigs, F.lit(2), [1, 2]).orderBy("k").collect()
+    assert [(r.k, r.mean_error, r.overlapping_pairs) for r in rows] == [(1, 0.0, 0), (2, 0.0, 0)]
