@@ -4,12 +4,16 @@ A document is the set of its 64-bit hashed 3-word shingles; two are linked if
 their sets have Jaccard similarity ``threshold`` or more; a component is all
 that links reach, and its smallest doc_id stays.
 
-Candidates come from ``trees`` independent chosen-path trees.  A node of a tree
-is a set of documents; it chooses minwise coordinates (one, and a second with the
-chance 1/threshold - 1) from its path, and its documents branch by their
-MinHash value there, so similar documents share a child with a chance of at
-least the threshold.  Nodes of up to ``small`` documents are compared
-exhaustively on sketches of one byte per coordinate; larger ones branch on.
+Candidates come from ``trees`` chosen-path trees.  Each starts at a coordinate
+of its own.  A node of a tree is a set of documents; it chooses minwise
+coordinates (one, and a second with the chance 1/threshold - 1) from its path,
+and its documents go on by their MinHash value at each, so a linked pair is
+expected in one child or more of every node that it shares.  That is a mean: a
+pair may leave a tree, with a chance that ``survival`` gives, and the number of
+trees follows from it so that RECALL of the pairs at the threshold are still
+together at the deepest level.  Nodes of up to ``small`` documents are
+compared exhaustively on sketches of one byte per coordinate; larger ones
+branch on.
 
 The work is done in rounds, each confirmed on full sets:
 
@@ -32,11 +36,11 @@ The work is done in rounds, each confirmed on full sets:
    don't make a candidate of each of their pairs.
 
 A document's way down a tree depends on its own MinHash values only, so it
-carries its paths at all levels from the start and branching moves no rows.
+carries its paths at all levels from the start and branching joins nothing.
 
 Equal sets are one representative (the smallest doc_id) before all this, by a
 128-bit digest.  Sketch estimates lose a pair at exactly the threshold about
-once in a thousand times; the trees miss it about as rarely.
+once in a thousand times; the trees miss it about as rarely (RECALL).
 
 Skew: a node of any size is only ever counted (pre-aggregated), branched row by
 row, or joined with its pivot (salted); only nodes of up to ``small`` members
@@ -52,6 +56,7 @@ result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,7 +74,8 @@ from affinity.session import materialize, with_package
 WIDTH = 3
 THRESHOLD = 0.85
 COORDINATES = 128
-TREES = 10
+#: Pairs at the threshold that share a node of the deepest level.
+RECALL = 0.999
 SMALL = 256
 #: Depths at which nodes are looked at.
 LEVELS = (1, 2, 4, 7)
@@ -87,6 +93,8 @@ BOTTOM = 512
 
 U = np.uint64
 MIX = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
+#: The first coordinate of each tree.
+ROOTS = np.random.default_rng(11).permutation(COORDINATES)
 MULTIPLIERS = (np.random.default_rng(7).integers(0, 1 << 63, COORDINATES, np.uint64) << U(1)) | U(1)
 
 
@@ -192,20 +200,37 @@ def full_sets(docs: DataFrame, width: int = WIDTH, least: int | None = None) ->
         build, "id long, items binary")
 
 
-def _coordinates(path: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(rows, coordinate) of the first choice of each path, and of the second."""
-    first = mixed(path ^ MIX[0])
-    second = mixed(path ^ MIX[1])
+def survival(threshold: float, depth: int) -> float:
+    """The chance that a pair at the threshold shares a node of this depth in
+    one tree: the first step is one choice, each further one may be two."""
+    share = 1.0
+    for _ in range(depth - 1):
+        share -= (1 / threshold - 1) * (threshold * share) ** 2
+    return threshold * share
+
+
+def trees_for(threshold: float, recall: float = RECALL) -> int:
+    """Trees that keep this share of the pairs at the threshold down to the
+    deepest level."""
+    if not 0.5 <= threshold < 1:
+        raise ValueError("two choices a node need a threshold from 0.5 to below 1")
+    return math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, LEVELS[-1])))
+
+
+def _coordinates(path: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, coordinates) of the first choices of all paths, then of the second
+    ones, which differ from the first."""
+    first = (mixed(path ^ MIX[0]) % U(COORDINATES)).astype(np.int64)
+    other = (mixed(path ^ MIX[1]) % U(COORDINATES - 1)).astype(np.int64) + 1
     chance = (mixed(path ^ MIX[2]) >> U(11)).astype(float) / (1 << 53)
-    rows = np.arange(len(path))
-    more = np.flatnonzero((chance < 1 / THRESHOLD - 1) & (first % U(COORDINATES) != second % U(COORDINATES)))
-    return [(rows, (first % U(COORDINATES)).astype(np.int64)),
-            (more, (second % U(COORDINATES)).astype(np.int64)[more])]
+    more = np.flatnonzero(chance < 1 / threshold - 1)
+    return (np.concatenate([np.arange(len(path)), more]),
+            np.concatenate([first, (first[more] + other[more]) % COORDINATES]))
 
 
-def branched(reps: DataFrame, trees: int) -> DataFrame:
+def branched(reps: DataFrame, trees: int, threshold: float = THRESHOLD) -> DataFrame:
     """(path, id, tail): each document's nodes at the first of LEVELS, and its
-    paths at the others."""
+    ways on from there, each the paths at the other levels."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tokens.small_batches(batches, 8 << 20):
@@ -215,18 +240,23 @@ def branched(reps: DataFrame, trees: int) -> DataFrame:
                 return mixed(mixed(path * MIX[3] + where.astype(np.uint64)) + values[at, where])
 
             for tree in range(trees):
-                root = np.full(len(values), tree + 1, np.uint64)
-                for at, where in _coordinates(root):
-                    way = [child(root[at], at, where)]
-                    while len(way) < LEVELS[-1]:
-                        way.append(child(way[-1], at, _coordinates(way[-1])[0][1]))
-                    tail = np.stack([way[k - 1] for k in LEVELS[1:]], 1).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(way[0].view(np.int64)), b.column(0).take(pa.array(at)),
-                         pa.FixedSizeListArray.from_arrays(pa.array(tail.ravel()), tail.shape[1]).cast(pa.list_(pa.int64()))],
-                        names=["path", "id", "tail"])
-
-    return with_package(reps).select("id", "signature").mapInArrow(branch, "path long, id long, tail array<long>")
+                at = np.arange(len(values))
+                top = way = child(np.full(len(values), tree + 1, np.uint64), at, np.full(len(values), ROOTS[tree]))
+                ways: list[np.ndarray] = []
+                for depth in range(2, LEVELS[-1] + 1):
+                    rows, where = _coordinates(way, threshold)
+                    way, at, ways = child(way[rows], at[rows], where), at[rows], [w[rows] for w in ways]
+                    if depth in LEVELS:
+                        ways.append(way)
+                tail = np.stack(ways, 1)[np.argsort(at, kind="stable")].view(np.int64)
+                cuts = np.r_[0, np.cumsum(np.bincount(at, minlength=len(values)))].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(top.view(np.int64)), b.column(0), pa.ListArray.from_arrays(
+                        pa.array(cuts), pa.FixedSizeListArray.from_arrays(
+                            pa.array(tail.ravel()), tail.shape[1]).cast(pa.list_(pa.int64())))],
+                    names=["path", "id", "tail"])
+
+    return with_package(reps).select("id", "signature").mapInArrow(branch, "path long, id long, tail array<array<long>>")
 
 
 def sketches(reps: DataFrame) -> DataFrame:
@@ -497,8 +527,10 @@ def cross_pairs(level: DataFrame, parts: DataFrame, pick: int) -> DataFrame:
         last = step == len(LEVELS) - 1
         few = F.lit(last) | (F.col("outsiders") <= OUTSIDERS)
         found = found.unionByName(outsider_pairs(large.filter(few), pick))
-        deeper = large.filter(~few).withColumn("path", F.col("tail")[0]).withColumn(
-            "tail", F.slice("tail", 2, len(LEVELS))).drop("size", "main", "outsiders")
+        deeper = (large.filter(~few).drop("size", "main", "outsiders")
+                  .withColumn("path", F.explode(F.array_distinct(F.transform("tail", lambda way: way[0]))))
+                  .withColumn("tail", F.transform(F.filter("tail", lambda way: way[0] == F.col("path")),
+                                                  lambda way: F.slice(way, 2, len(LEVELS)))))
         if last or deeper.isEmpty():
             break
         placed = materialize(shared_nodes(deeper), "nodes")
@@ -514,7 +546,7 @@ def near_nodes(docs: DataFrame, level: DataFrame, pairs: DataFrame, width: int =
     return materialize(shared_nodes(kept).join(least.withColumnRenamed("items", "least"), "id"), "near-nodes")
 
 
-def near_components(docs: DataFrame, width: int = WIDTH, trees: int = TREES) -> DataFrame:
+def near_components(docs: DataFrame, width: int = WIDTH, trees: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     rows = materialize(described(docs, width), "described")
     reps = materialize(
@@ -522,7 +554,7 @@ def near_components(docs: DataFrame, width: int = WIDTH, trees: int = TREES) ->
         .agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"),
              F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
         .filter("id is not null"), "representatives")
-    level = materialize(shared_nodes(branched(reps, trees)).join(sketches(reps), "id"), "nodes")
+    level = materialize(shared_nodes(branched(reps, trees or trees_for(THRESHOLD))).join(sketches(reps), "id"), "nodes")
     pairs = materialize(small_node_pairs(level, PIVOT).unionByName(pivot_pairs(level)).distinct(), "pivot-pairs")
     links = confirmed(docs, pairs, "pivot", width)
     parts = materialize(connected_components(links), "parts")

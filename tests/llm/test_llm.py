@@ -380,3 +380,23 @@ def test_may_link_is_exact_for_whole_sets_and_keeps_links_of_cut_ones():
         real = np.array([100 * len(np.intersect1d(one, s)) >= 85 * len(np.union1d(one, s)) for s in sets])
         assert (found == real).all() if size <= least else (found >= real).all()
         assert not found[-1]
+
+
+def test_linked_pairs_stay_together_at_the_deepest_level(spark):
+    """A dense family, in which only the deepest level tells pairs apart: pairs
+    at the threshold of 3,000 coordinates drawn anew in 15 of 100 cases."""
+    pairs, rng = 3000, np.random.default_rng(5)
+    one = rng.integers(0, 1 << 32, (pairs, near_dedup.COORDINATES)).astype(np.uint32)
+    other = np.where(rng.random(one.shape) < near_dedup.THRESHOLD, one, one + np.uint32(1)).astype(np.uint32)
+    reps = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(np.concatenate([one, other]))],
+                                 "id long, signature binary")
+    trees = near_dedup.trees_for(near_dedup.THRESHOLD)
+    rows = near_dedup.branched(reps, trees).select("path", "id", "tail").collect()
+    leaves, tops = collections.defaultdict(set), collections.defaultdict(set)
+    for r in rows:
+        leaves[r.id] |= {way[-1] for way in r.tail}
+        tops[r.id].add(r.path)
+    assert all(len(t) == trees for t in tops.values()) and len(set(near_dedup.ROOTS[:trees].tolist())) == trees
+    assert np.mean([bool(leaves[i] & leaves[i + pairs]) for i in range(pairs)]) > 0.995
+    # every second choice is followed: (1 / threshold) ways a step
+    assert np.mean([len(v) for v in leaves.values()]) / trees == pytest.approx(near_dedup.THRESHOLD ** -6, rel=0.1)
