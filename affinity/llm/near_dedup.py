@@ -1,6 +1,6 @@
 """Near-duplicate documents by a chosen-path set similarity join on MinHash.
 
-A document is the set of its 64-bit hashed 3-word shingles; two are linked if
+A document is the set of its 64-bit hashed shingles of ``width`` words; two are linked if
 their sets have Jaccard similarity ``threshold`` or more; a component is all
 that links reach, and its smallest doc_id stays.
 
@@ -58,6 +58,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -84,9 +85,9 @@ OUTSIDERS = 64
 SALTS = 16
 #: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
-#: Pairs whose sketches agree less aren't confirmed: 3.2 standard deviations
-#: below the threshold.
-LEAST_AGREEMENT = THRESHOLD - 0.1
+#: Pairs whose sketches agree by this much less than the threshold aren't
+#: confirmed: 3.2 standard deviations at THRESHOLD.
+AGREEMENT_SLACK = 0.1
 PIVOT_SAMPLE = 8
 #: Least hashes of a set that rows carry in the last round.
 BOTTOM = 512
@@ -301,10 +302,10 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
-def _alike(n1: np.ndarray, n2: np.ndarray, agreement: np.ndarray) -> np.ndarray:
+def _alike(n1: np.ndarray, n2: np.ndarray, agreement: np.ndarray, threshold: float) -> np.ndarray:
     """Could sets of these sizes and this agreement be linked?"""
     lo, hi = np.minimum(n1, n2), np.maximum(n1, n2)
-    return (agreement >= LEAST_AGREEMENT * COORDINATES) & (lo >= THRESHOLD * hi - 1e-9)
+    return (agreement >= (threshold - AGREEMENT_SLACK) * COORDINATES) & (lo >= threshold * hi - 1e-9)
 
 
 def _agreement(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -314,7 +315,8 @@ def _agreement(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
 LARGEST = np.iinfo(np.uint64).max
 
 
-def may_link(one: np.ndarray, n1: int, others: list[np.ndarray], n2: np.ndarray) -> np.ndarray:
+def may_link(one: np.ndarray, n1: int, others: list[np.ndarray], n2: np.ndarray,
+             threshold: float = THRESHOLD) -> np.ndarray:
     """Which of ``others`` may be linked with ``one``?  All are sorted least
     hashes of sets of the sizes ``n1`` and ``n2``, none empty.  Up to the last
     hash that both have kept these are samples of the sets, or the whole sets."""
@@ -326,8 +328,8 @@ def may_link(one: np.ndarray, n1: int, others: list[np.ndarray], n2: np.ndarray)
     theirs = np.add.reduceat(inside.astype(np.int64), ends - counts)
     shared = np.add.reduceat((inside & (one[at] == flat)).astype(np.int64), ends - counts)
     union = np.searchsorted(one, upto, side="right") + theirs - shared
-    slack = np.where(upto == LARGEST, 1e-9, 4 * np.sqrt(THRESHOLD * (1 - THRESHOLD) * union))
-    return shared >= THRESHOLD * union - slack
+    slack = np.where(upto == LARGEST, 1e-9, 4 * np.sqrt(threshold * (1 - threshold) * union))
+    return shared >= threshold * union - slack
 
 
 def _hashes(column: pa.Array, rows: np.ndarray) -> list[np.ndarray]:
@@ -345,7 +347,7 @@ def _pairs(a: list, b: list) -> pa.RecordBatch:
 PIVOT, NEAREST, ALL = range(3)
 
 
-def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
+def small_node_pairs(nodes: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
     """Candidate pairs of nodes of up to SMALL members: with the pivot; or of
     different components, of each member with the nearest, or all that the
     least hashes allow."""
@@ -358,11 +360,11 @@ def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
             first = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
             size = np.diff(np.r_[first, len(path)])
             two = first[size == 2]
-            keep = _alike(n[two], n[two + 1], _agreement(sketch[two], sketch[two + 1])) & (comp[two] != comp[two + 1])
+            keep = _alike(n[two], n[two + 1], _agreement(sketch[two], sketch[two + 1]), threshold) & (comp[two] != comp[two + 1])
             two = two[keep]
             if pick == ALL:
                 least = [_hashes(b.column(5), (r, r + 1)) for r in two]
-                two = two[np.array([may_link(x, n[r], [y], n[r + 1:r + 2])[0] for r, (x, y) in zip(two, least)], bool)]
+                two = two[np.array([may_link(x, n[r], [y], n[r + 1:r + 2], threshold)[0] for r, (x, y) in zip(two, least)], bool)]
             a, c = [ids[two]], [ids[two + 1]]
             for lo, m in zip(first[size > 2].tolist(), size[size > 2].tolist()):
                 rows = slice(lo, lo + m)
@@ -371,7 +373,7 @@ def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
                     continue
                 same = np.stack([_agreement(s, one) for one in s])
                 if pick != PIVOT:
-                    good = _alike(own_n[:, None], own_n[None], same) & (own_comp[:, None] != own_comp[None])
+                    good = _alike(own_n[:, None], own_n[None], same, threshold) & (own_comp[:, None] != own_comp[None])
                     if pick == NEAREST:
                         i = np.flatnonzero(good.any(1))
                         j = np.where(good, same, -1)[i].argmax(1)
@@ -381,11 +383,11 @@ def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
                         least = dict(zip(used.tolist(), _hashes(b.column(5), lo + used)))
                         for x in np.flatnonzero(good.any(1)).tolist():
                             y = np.flatnonzero(good[x])
-                            good[x, y] = may_link(least[x], own_n[x], [least[k] for k in y.tolist()], own_n[y])
+                            good[x, y] = may_link(least[x], own_n[x], [least[k] for k in y.tolist()], own_n[y], threshold)
                         i, j = np.nonzero(good)
                 else:
                     pivot = int(same.sum(0).argmax())
-                    j = np.flatnonzero(_alike(own_n, own_n[pivot], same[pivot]))
+                    j = np.flatnonzero(_alike(own_n, own_n[pivot], same[pivot], threshold))
                     j = j[j != pivot]
                     i = np.full(len(j), pivot)
                 a.append(own_ids[i])
@@ -399,7 +401,7 @@ def small_node_pairs(nodes: DataFrame, pick: int) -> DataFrame:
     return with_package(ordered).mapInArrow(compare, PAIR_DDL)
 
 
-def pivot_pairs(nodes: DataFrame) -> DataFrame:
+def pivot_pairs(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Candidate pairs of larger nodes' members with their pivot: of all
     members, the one most like a random few of them."""
 
@@ -414,7 +416,7 @@ def pivot_pairs(nodes: DataFrame) -> DataFrame:
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             one, other = (_matrix(b.column(k), np.uint8, COORDINATES) for k in (2, 5))
-            keep = _alike(b.column(1).to_numpy(), b.column(4).to_numpy(), _agreement(one, other))
+            keep = _alike(b.column(1).to_numpy(), b.column(4).to_numpy(), _agreement(one, other), threshold)
             yield _pairs([b.column(0).to_numpy()[keep]], [b.column(3).to_numpy()[keep]])
 
     large = nodes.filter(F.col("size") > SMALL).withColumn("_salt", salt_of("id", SALTS))
@@ -428,7 +430,7 @@ def pivot_pairs(nodes: DataFrame) -> DataFrame:
             .select("id", "n", "sketch", "p_id", "p_n", "p_sketch").mapInArrow(near, PAIR_DDL))
 
 
-def outsider_pairs(nodes: DataFrame, pick: int) -> DataFrame:
+def outsider_pairs(nodes: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
     """Candidate pairs of members outside a node's main component with all
     members of other components that the least hashes allow; or of each member
     with its nearest outsider, and of each outsider with its nearest member of
@@ -450,11 +452,11 @@ def outsider_pairs(nodes: DataFrame, pick: int) -> DataFrame:
             for r, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
                 few = slice(lo, hi)
                 same = _agreement(o_sketch[few], sketch[r])
-                hit = np.flatnonzero(_alike(o_n[few], n[r], same) & (o_comp[few] != comp[r]))
+                hit = np.flatnonzero(_alike(o_n[few], n[r], same, threshold) & (o_comp[few] != comp[r]))
                 if not len(hit):
                     continue
                 if pick == ALL:
-                    hit = hit[may_link(_hashes(b.column(5), (r,))[0], n[r], _hashes(o_least, lo + hit), o_n[lo + hit])]
+                    hit = hit[may_link(_hashes(b.column(5), (r,))[0], n[r], _hashes(o_least, lo + hit), o_n[lo + hit], threshold)]
                 else:
                     best[lo + hit] = same[hit]
                     hit = hit[[same[hit].argmax()]]
@@ -483,9 +485,10 @@ def either_end(pairs: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH) -> DataFrame:
+def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH,
+              threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (stored ones) whose full sets are similar enough; stored."""
-    percent = round(THRESHOLD * 100)
+    least, of = Fraction(str(threshold)).as_integer_ratio()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -496,7 +499,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH)
                 both = np.concatenate([x, y])
                 both.sort()
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= percent * (len(both) - shared))
+                keep.append(of * shared >= least * (len(both) - shared))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["id1", "id2"])
 
@@ -507,14 +510,14 @@ def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH)
     return materialize(checked.mapInArrow(check, PAIR_DDL).distinct(), f"{name}-links")
 
 
-def cross_pairs(level: DataFrame, parts: DataFrame, pick: int) -> DataFrame:
+def cross_pairs(level: DataFrame, parts: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
     """Candidate pairs of different components, from all levels: of each
     member with the nearest in a node, or all."""
     placed = level.join(parts.withColumnRenamed("component", "comp"), "id", "left").withColumn(
         "comp", F.coalesce("comp", "id"))
     found = None
     for step in range(len(LEVELS)):
-        pairs = small_node_pairs(placed, pick)
+        pairs = small_node_pairs(placed, pick, threshold)
         found = pairs if found is None else found.unionByName(pairs)
         large = placed.filter(F.col("size") > SMALL)
         parted = (large.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
@@ -526,7 +529,7 @@ def cross_pairs(level: DataFrame, parts: DataFrame, pick: int) -> DataFrame:
             break
         last = step == len(LEVELS) - 1
         few = F.lit(last) | (F.col("outsiders") <= OUTSIDERS)
-        found = found.unionByName(outsider_pairs(large.filter(few), pick))
+        found = found.unionByName(outsider_pairs(large.filter(few), pick, threshold))
         deeper = (large.filter(~few).drop("size", "main", "outsiders")
                   .withColumn("path", F.explode(F.array_distinct(F.transform("tail", lambda way: way[0]))))
                   .withColumn("tail", F.transform(F.filter("tail", lambda way: way[0] == F.col("path")),
@@ -546,7 +549,8 @@ def near_nodes(docs: DataFrame, level: DataFrame, pairs: DataFrame, width: int =
     return materialize(shared_nodes(kept).join(least.withColumnRenamed("items", "least"), "id"), "near-nodes")
 
 
-def near_components(docs: DataFrame, width: int = WIDTH, trees: int | None = None) -> DataFrame:
+def near_components(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
+                    threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     rows = materialize(described(docs, width), "described")
     reps = materialize(
@@ -554,15 +558,15 @@ def near_components(docs: DataFrame, width: int = WIDTH, trees: int | None = Non
         .agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"),
              F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
         .filter("id is not null"), "representatives")
-    level = materialize(shared_nodes(branched(reps, trees or trees_for(THRESHOLD))).join(sketches(reps), "id"), "nodes")
-    pairs = materialize(small_node_pairs(level, PIVOT).unionByName(pivot_pairs(level)).distinct(), "pivot-pairs")
-    links = confirmed(docs, pairs, "pivot", width)
+    level = materialize(shared_nodes(branched(reps, trees or trees_for(threshold), threshold)).join(sketches(reps), "id"), "nodes")
+    pairs = materialize(small_node_pairs(level, PIVOT, threshold).unionByName(pivot_pairs(level, threshold)).distinct(), "pivot-pairs")
+    links = confirmed(docs, pairs, "pivot", width, threshold)
     parts = materialize(connected_components(links), "parts")
     for name, pick in (("nearest", NEAREST), ("cross", ALL)):
         if pick == ALL:
             level = near_nodes(docs, level, pairs, width)
-        pairs = materialize(cross_pairs(level, parts, pick).distinct(), f"{name}-pairs")
-        more = confirmed(docs, pairs, name, width)
+        pairs = materialize(cross_pairs(level, parts, pick, threshold).distinct(), f"{name}-pairs")
+        more = confirmed(docs, pairs, name, width, threshold)
         if not more.isEmpty():
             links = links.unionByName(more)
             parts = materialize(connected_components(links), "parts")
@@ -577,8 +581,8 @@ def near_components(docs: DataFrame, width: int = WIDTH, trees: int | None = Non
                          F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def dedup_near(docs: DataFrame) -> DataFrame:
+def dedup_near(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each component, the smallest doc_id;
     documents without a doc_id stay if they resemble none that has one."""
-    gone = near_components(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_components(docs, width, threshold=threshold).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")

@@ -18,6 +18,10 @@ from affinity.llm.quality import keep_good
 from affinity.session import materialize
 
 
+#: Words a shingle and Jaccard similarity of near-duplicates; op9 has its own.
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
     return keep_good(docs, labels(spark, sf_dir))
@@ -30,7 +34,7 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return dedup_near(docs)
+    return dedup_near(docs, NEAR_WORDS, NEAR_SIMILARITY)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

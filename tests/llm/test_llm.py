@@ -400,3 +400,38 @@ def test_linked_pairs_stay_together_at_the_deepest_level(spark):
     assert np.mean([bool(leaves[i] & leaves[i + pairs]) for i in range(pairs)]) > 0.995
     # every second choice is followed: (1 / threshold) ways a step
     assert np.mean([len(v) for v in leaves.values()]) / trees == pytest.approx(near_dedup.THRESHOLD ** -6, rel=0.1)
+
+
+def brute_kept(rows, width, least):
+    """(doc_id, text) of the rows that stay, by all pairs of their sets."""
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(low(t))
+        sets.append({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set()))
+    comp = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                comp = [comp[b] if c == comp[a] else c for c in comp]
+    first = {}
+    for c, (i, _) in zip(comp, rows):
+        if i is not None:
+            first[c] = min(i, first.get(c, i))
+    return sorted(((i, t) for c, (i, t) in zip(comp, rows) if first.get(c, i) == i), key=repr)
+
+
+def test_near_dedup_stage_takes_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+
+    words = BASE.split()
+    cut = " ".join(words + [f"n{i}" for i in range(28)])  # one passage more: J5 and J3 from 0.80 to 0.81
+    scattered = " ".join(f"z{i}" if i in (30, 60, 90) else w for i, w in enumerate(words))  # J3 0.86, J5 0.77
+    other = " ".join(f"o{i}" for i in range(120))
+    rows = [(1, BASE), (2, cut), (3, other), (4, scattered.replace("w", "o")), (5, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = rows_of(corpus_pipeline.one_of_each(spark, docs, DIR), "doc_id", "text")
+    assert got == brute_kept(rows, 5, 80) and [i for i, _ in got] == [1, 3, 4, 5]
+    assert got != brute_kept(rows, 3, 85)
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    got = rows_of(corpus_pipeline.one_of_each(spark, docs, DIR), "doc_id", "text")
+    assert got == brute_kept([(r.doc_id, r.text) for r in docs.collect()], 5, 80)
