@@ -39,7 +39,7 @@ A document's way down a tree depends on its own MinHash values only, so it
 carries its paths at all levels from the start and branching joins nothing.
 
 Equal sets are one representative (the smallest doc_id) before all this, by a
-128-bit digest.  Sketch estimates lose a pair at exactly the threshold about
+128-bit digest, with an id of its own: a doc_id may have several texts, or be null.  Sketch estimates lose a pair at exactly the threshold about
 once in a thousand times; the trees miss it about as rarely (RECALL).
 
 Skew: a node of any size is only ever counted (pre-aggregated), branched row by
@@ -48,8 +48,9 @@ are brought together in a task.
 
 Defined results: a null or empty text, or one without words, has an empty set,
 and is linked with nothing; with fewer than ``width`` words the whole sequence
-is the one shingle; rows that repeat a doc_id with one text get one verdict;
-rows with a null doc_id never represent others; an empty table gives an empty
+is the one shingle; rows that repeat a doc_id with one text get one verdict,
+those with different texts one for each; rows with a null doc_id link like
+others but never name a component that has an id; an empty table gives an empty
 result; further columns are ignored.
 """
 
@@ -64,7 +65,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm import tokens
@@ -165,40 +166,67 @@ def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), width)
 
 
+def digests(flat: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+    """The two halves of each set's digest."""
+    ends = np.cumsum(sizes).tolist()
+    halves = np.frombuffer(b"".join(hashlib.blake2b(flat[e - n:e], digest_size=16).digest()
+                                    for e, n in zip(ends, sizes.tolist())), np.int64).reshape(-1, 2)
+    return [pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+
+
+def text_key(text: Column | str = "text") -> Column:
+    """With doc_id, what tells rows apart: 128 bits of the text."""
+    return F.unhex(F.md5(text))
+
+
 def described(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, signature): size, digest and MinHash of each set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()),
+    """(doc_id, text_key, n_shingles, d1, d2, signature): size, digest and
+    MinHash of each set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("n_shingles", pa.int64()), ("d1", pa.int64()),
                         ("d2", pa.int64()), ("signature", pa.binary())])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tokens.small_batches(batches, 8 << 20):
             flat, sizes = shingle_sets(b.column(1), width)
-            ends = np.cumsum(sizes).tolist()
-            digests = np.frombuffer(b"".join(
-                hashlib.blake2b(flat[e - n:e], digest_size=16).digest()
-                for e, n in zip(ends, sizes.tolist())), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes), pa.array(digests[:, 0]), pa.array(digests[:, 1]),
-                 _binary(signatures(flat, sizes))], schema=schema)
+                [b.column(0), b.column(2), pa.array(sizes), *digests(flat, sizes), _binary(signatures(flat, sizes))],
+                schema=schema)
 
-    return with_package(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        describe, "doc_id long, n_shingles long, d1 long, d2 long, signature binary")
+    return with_package(docs).select(F.col("doc_id").cast("long"), "text", text_key().alias("text_key")).mapInArrow(
+        describe, "doc_id long, text_key binary, n_shingles long, d1 long, d2 long, signature binary")
 
 
-def full_sets(docs: DataFrame, width: int = WIDTH, least: int | None = None) -> DataFrame:
-    """(id, items): the sorted shingle hashes of each document; only the
-    ``least`` first ones if given."""
+def represented(rows: DataFrame) -> DataFrame:
+    """(id, doc_id, d1, d2, copies, n, signature) of each set that isn't empty;
+    ids rise with the smallest doc_id, and sets without one come last."""
+    return (rows.filter("n_shingles > 0").groupBy("d1", "d2")
+            .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
+                 F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+            .orderBy(F.col("doc_id").asc_nulls_last(), "d1", "d2").withColumn("id", F.monotonically_increasing_id()))
+
+
+def full_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, width: int = WIDTH,
+              least: int | None = None) -> DataFrame:
+    """(id, items): the sorted shingle hashes of the sets ``ids`` names, each
+    once; only the ``least`` first ones if given.  A set is built from the rows
+    of its doc_id, and those that have other texts are told by the digest."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tokens.small_batches(batches, 8 << 20):
             flat, sizes = shingle_sets(b.column(1), width)
             ends = np.cumsum(sizes).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([flat[e - n:e][:least].tobytes() for e, n in zip(ends, sizes.tolist())], pa.binary())],
-                names=["id", "items"])
+            items = pa.array([flat[e - n:e][:least].tobytes() for e, n in zip(ends, sizes.tolist())], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), *digests(flat, sizes), items],
+                                             names=["doc_id", "d1", "d2", "items"])
 
-    return with_package(docs).select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(
-        build, "id long, items binary")
+    wanted = reps.join(ids, "id", "left_semi").select("id", F.col("doc_id").alias("own"), "d1", "d2")
+    owners = wanted.select("own").distinct()
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = rows.join(small(owners), rows["doc_id"].eqNullSafe(owners["own"]), "left_semi")
+    built = with_package(rows).mapInArrow(build, "doc_id long, d1 long, d2 long, items binary")
+    found = built.join(wanted, (built["d1"] == wanted["d1"]) & (built["d2"] == wanted["d2"])
+                       & built["doc_id"].eqNullSafe(wanted["own"]))
+    return found.groupBy("id").agg(F.first("items").alias("items"))
 
 
 def survival(threshold: float, depth: int) -> float:
@@ -479,13 +507,17 @@ def outsider_pairs(nodes: DataFrame, pick: int, threshold: float = THRESHOLD) ->
             .select("id", "n", "comp", "sketch", "few", *least).mapInArrow(near, PAIR_DDL))
 
 
-def either_end(pairs: DataFrame) -> DataFrame:
-    """(doc_id) of all ids in pairs, for a broadcast unless there are many."""
-    ids = pairs.select(F.col("id1").alias("doc_id")).unionByName(pairs.select(F.col("id2").alias("doc_id"))).distinct()
+def small(ids: DataFrame) -> DataFrame:
+    """``ids`` for a broadcast unless there are many."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH,
+def either_end(pairs: DataFrame) -> DataFrame:
+    """(id) of all ids in pairs."""
+    return pairs.select(F.col("id1").alias("id")).unionByName(pairs.select(F.col("id2").alias("id"))).distinct()
+
+
+def confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH,
               threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (stored ones) whose full sets are similar enough; stored."""
     least, of = Fraction(str(threshold)).as_integer_ratio()
@@ -503,7 +535,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH,
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["id1", "id2"])
 
-    sets = full_sets(docs.select("doc_id", "text").join(either_end(pairs), "doc_id", "left_semi"), width)
+    sets = full_sets(docs, reps, small(either_end(pairs)), width)
     one = sets.select(F.col("id").alias("id1"), F.col("items").alias("items1"))
     other = sets.select(F.col("id").alias("id2"), F.col("items").alias("items2"))
     checked = pairs.join(one, "id1").join(other, "id2").select("id1", "id2", "items1", "items2")
@@ -540,49 +572,58 @@ def cross_pairs(level: DataFrame, parts: DataFrame, pick: int, threshold: float
     return found
 
 
-def near_nodes(docs: DataFrame, level: DataFrame, pairs: DataFrame, width: int = WIDTH) -> DataFrame:
+def near_nodes(docs: DataFrame, reps: DataFrame, level: DataFrame, pairs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The nodes with only the members that ``pairs`` name, which carry the
     least hashes of their sets; stored."""
-    ids = either_end(pairs)
-    least = full_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width, BOTTOM)
-    kept = level.drop("size").join(ids.withColumnRenamed("doc_id", "id"), "id", "left_semi")
+    ids = small(either_end(pairs))
+    least = full_sets(docs, reps, ids, width, BOTTOM)
+    kept = level.drop("size").join(ids, "id", "left_semi")
     return materialize(shared_nodes(kept).join(least.withColumnRenamed("items", "least"), "id"), "near-nodes")
 
 
-def near_components(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
-                    threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per input row."""
+def verdicts(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
+             threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, kept), one row per input row."""
     rows = materialize(described(docs, width), "described")
-    reps = materialize(
-        rows.filter("n_shingles > 0").groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"),
-             F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
-        .filter("id is not null"), "representatives")
+    reps = materialize(represented(rows), "representatives")
     level = materialize(shared_nodes(branched(reps, trees or trees_for(threshold), threshold)).join(sketches(reps), "id"), "nodes")
     pairs = materialize(small_node_pairs(level, PIVOT, threshold).unionByName(pivot_pairs(level, threshold)).distinct(), "pivot-pairs")
-    links = confirmed(docs, pairs, "pivot", width, threshold)
+    links = confirmed(docs, reps, pairs, "pivot", width, threshold)
     parts = materialize(connected_components(links), "parts")
     for name, pick in (("nearest", NEAREST), ("cross", ALL)):
         if pick == ALL:
-            level = near_nodes(docs, level, pairs, width)
+            level = near_nodes(docs, reps, level, pairs, width)
         pairs = materialize(cross_pairs(level, parts, pick, threshold).distinct(), f"{name}-pairs")
-        more = confirmed(docs, pairs, name, width, threshold)
+        more = confirmed(docs, reps, pairs, name, width, threshold)
         if not more.isEmpty():
             links = links.unionByName(more)
             parts = materialize(connected_components(links), "parts")
 
     # where a set's documents go, if not each to itself
-    known = (reps.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-             .filter((F.col("copies") > 1) | (F.col("component") != F.col("id"))).select("d1", "d2", "component"))
+    ids = reps.select("id", "doc_id", "d1", "d2", "copies")
+    roots = (ids.join(parts.select(F.col("component").alias("id")).distinct(), "id", "left_semi")
+             .select(F.col("id").alias("component"), F.col("doc_id").alias("root")))
+    linked = (ids.join(parts, "id").withColumn("_salt", salt_of("id", SALTS))
+              .join(salted(roots, SALTS), ["component", "_salt"]).select("d1", "d2", "root"))
+    copied = (ids.filter("copies > 1").join(parts, "id", "left_anti")
+              .select("d1", "d2", F.col("doc_id").alias("root")))
     joined = (rows.drop("signature").withColumn("_salt", salt_of("doc_id", SALTS))
-              .join(salted(known, SALTS), ["d1", "d2", "_salt"], "left"))
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
+              .join(salted(linked.unionByName(copied), SALTS), ["d1", "d2", "_salt"], "left"))
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
                          F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def near_components(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
+                    threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per input row."""
+    return verdicts(docs, width, trees, threshold).drop("text_key")
+
+
 def dedup_near(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each component, the smallest doc_id;
-    documents without a doc_id stay if they resemble none that has one."""
-    gone = near_components(docs, width, threshold=threshold).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """``docs`` without the rows whose component has a smaller doc_id than
+    theirs; documents without a doc_id stay if they resemble none that has one."""
+    gone = (verdicts(docs, width, threshold=threshold).filter("not kept")
+            .select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_gone_text")).distinct())
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"])
+                     & (text_key(docs["text"]) == gone["_gone_text"]), "left_anti")

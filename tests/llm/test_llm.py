@@ -435,3 +435,16 @@ def test_near_dedup_stage_takes_five_words_and_four_fifths(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     got = rows_of(corpus_pipeline.one_of_each(spark, docs, DIR), "doc_id", "text")
     assert got == brute_kept([(r.doc_id, r.text) for r in docs.collect()], 5, 80)
+
+
+def test_near_dedup_keeps_rows_by_their_own_verdict(spark, odd):
+    """Null and repeated doc_ids, equal to, linked with and unlike others."""
+    other = " ".join(f"o{i}" for i in range(120))
+    rows = [(1, BASE), (2, other), (4, BASE), (4, "quite alone"), (5, other.replace("o60", "z")), (5, "alone too"), (5, "alone too"),
+            (None, BASE), (None, other + " x"), (None, "without an id"), (None, None), (None, "without an id"), (6, "alone too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(near_dedup.dedup_near(docs), "doc_id", "text") == brute_kept(rows, 3, 85)
+    got = near_dedup.near_components(docs)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(docs.collect()), key=repr)
+    kept = near_dedup.dedup_near(odd).collect()
+    assert [r.text for r in kept if r.doc_id is None] == [None] and {9, 12} <= {r.doc_id for r in kept}
