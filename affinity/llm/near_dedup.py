@@ -40,7 +40,7 @@ carries its paths at all levels from the start and branching joins nothing.
 
 Equal sets are one representative (the smallest doc_id) before all this, by a
 128-bit digest, with an id of its own: a doc_id may have several texts, or be null.  Sketch estimates lose a pair at exactly the threshold about
-once in a thousand times; the trees miss it about as rarely (RECALL).
+once in 100,000 times; the trees miss it about once in 1,000 times (RECALL).
 
 Skew: a node of any size is only ever counted (pre-aggregated), branched row by
 row, or joined with its pivot (salted); only nodes of up to ``small`` members
@@ -86,9 +86,10 @@ OUTSIDERS = 64
 SALTS = 16
 #: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
-#: Pairs whose sketches agree by this much less than the threshold aren't
-#: confirmed: 3.2 standard deviations at THRESHOLD.
-AGREEMENT_SLACK = 0.1
+#: Pairs whose sketches agree by so many standard deviations less than the
+#: threshold are no candidates (about 1 in 100,000 at the threshold); pivots,
+#: which lose nothing, take the nearer ones only.
+DEVIATIONS, PIVOT_DEVIATIONS = 5, 3.2
 PIVOT_SAMPLE = 8
 #: Least hashes of a set that rows carry in the last round.
 BOTTOM = 512
@@ -330,10 +331,12 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
-def _alike(n1: np.ndarray, n2: np.ndarray, agreement: np.ndarray, threshold: float) -> np.ndarray:
+def _alike(n1: np.ndarray, n2: np.ndarray, agreement: np.ndarray, threshold: float,
+           deviations: float = DEVIATIONS) -> np.ndarray:
     """Could sets of these sizes and this agreement be linked?"""
     lo, hi = np.minimum(n1, n2), np.maximum(n1, n2)
-    return (agreement >= (threshold - AGREEMENT_SLACK) * COORDINATES) & (lo >= threshold * hi - 1e-9)
+    slack = deviations * math.sqrt(threshold * (1 - threshold) / COORDINATES)
+    return (agreement >= (threshold - slack) * COORDINATES) & (lo >= threshold * hi - 1e-9)
 
 
 def _agreement(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -415,7 +418,7 @@ def small_node_pairs(nodes: DataFrame, pick: int, threshold: float = THRESHOLD)
                         i, j = np.nonzero(good)
                 else:
                     pivot = int(same.sum(0).argmax())
-                    j = np.flatnonzero(_alike(own_n, own_n[pivot], same[pivot], threshold))
+                    j = np.flatnonzero(_alike(own_n, own_n[pivot], same[pivot], threshold, PIVOT_DEVIATIONS))
                     j = j[j != pivot]
                     i = np.full(len(j), pivot)
                 a.append(own_ids[i])
@@ -444,7 +447,7 @@ def pivot_pairs(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             one, other = (_matrix(b.column(k), np.uint8, COORDINATES) for k in (2, 5))
-            keep = _alike(b.column(1).to_numpy(), b.column(4).to_numpy(), _agreement(one, other), threshold)
+            keep = _alike(b.column(1).to_numpy(), b.column(4).to_numpy(), _agreement(one, other), threshold, PIVOT_DEVIATIONS)
             yield _pairs([b.column(0).to_numpy()[keep]], [b.column(3).to_numpy()[keep]])
 
     large = nodes.filter(F.col("size") > SMALL).withColumn("_salt", salt_of("id", SALTS))

@@ -448,3 +448,15 @@ def test_near_dedup_keeps_rows_by_their_own_verdict(spark, odd):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(docs.collect()), key=repr)
     kept = near_dedup.dedup_near(odd).collect()
     assert [r.text for r in kept if r.doc_id is None] == [None] and {9, 12} <= {r.doc_id for r in kept}
+
+
+def test_near_dedup_keeps_links_whose_sketches_agree_too_little(spark):
+    """Of 6,000 texts linked with BASE, the one whose sketch is least like its."""
+    texts = [BASE] + [BASE + "".join(f" r{k}x{j}" for j in range(20)) for k in range(6000)]
+    marks = near_dedup.signatures(*near_dedup.shingle_sets(pa.array(texts))).astype(np.uint8)
+    same = (marks == marks[0]).sum(1)
+    assert same.min() < 96
+    docs = spark.createDataFrame([(1, BASE), (2, texts[same.argmin()])], "doc_id long, text string")
+    got = near_dedup.near_components(docs)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(docs.collect()), key=repr)
+    assert {r.component_id for r in got.collect()} == {1}
