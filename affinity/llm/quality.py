@@ -148,7 +148,9 @@ def training_rows(docs: DataFrame, marks: DataFrame, fit_rows: int = FIT_ROWS) -
               .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
     # at most fit_rows rows of 12 bytes: safe to broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+    # a doc_id that repeats is one row, with the least of its texts; repeats are dropped map side
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(
+        F.min("text").alias("text")).select(
         "label", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(CALIBRATE)).alias("part"), "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

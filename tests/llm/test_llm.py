@@ -460,3 +460,13 @@ def test_near_dedup_keeps_links_whose_sketches_agree_too_little(spark):
     got = near_dedup.near_components(docs)
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(docs.collect()), key=repr)
     assert {r.component_id for r in got.collect()} == {1}
+
+
+def test_quality_is_fitted_on_one_row_of_each_doc_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 3}") for i in range(300)] + [(i, f"other {i}") for i in range(2, 60)],
+                                 "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, quality int")
+    wanted = marks.filter(~quality.held_out()).count()
+    assert docs.join(marks.filter(~quality.held_out()), "doc_id").count() > wanted + 200
+    assert quality.training_rows(docs, marks).count() == wanted
+    assert quality.training_rows(docs, marks, 10).count() == 10
