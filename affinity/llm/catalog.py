@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import language, quality, quality_rules, secrets
-from affinity.llm.common import documents, labels
+from affinity.llm import chunk_fingerprints, language, merkle, quality, quality_rules, ranked_search, secrets
+from affinity.llm.common import benchmark, documents, labels
 from affinity.llm.exact_dedup import dedup_exact
 from affinity.llm.line_dedup import line_dedup_digest
 from affinity.llm.mixing import mix_digest
@@ -58,8 +58,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digest(documents(spark, sf_dir))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_fingerprints.fingerprinted(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_quality, op3_token_output, op4_packing, op5_secrets, op6_language, op7_quality_rules,
-        op8_line_dedup, op9_near_dedup, op10_mixing)
+        op8_line_dedup, op9_near_dedup, op10_mixing, op11_ranked_search, op12_merkle, op13_fingerprints)
 }
