@@ -59,21 +59,22 @@ def clean_report(raw: DataFrame, keys: Sequence[str] | None = None,
                  prefer: Sequence[str] | None = None) -> DataFrame:
     """Rows before / after / removed for the null step and the duplicate step.
 
-    The three stage frames are tagged and counted by one conditional
-    aggregate (no join); the two stage rows are generated from that one row.
+    One pass: each key counts its rows and those without nulls, map side first,
+    and a key stays as one row if it has any without; the two stage rows are
+    generated from the sums.  (``prefer`` says which row stays, not how many.)
     """
-    no_nulls = drop_nulls(raw)
-    deduped = dedupe(no_nulls, keys, prefer)
-    tagged = (raw.select(F.lit(0).alias("_s"))
-              .unionByName(no_nulls.select(F.lit(1).alias("_s")))
-              .unionByName(deduped.select(F.lit(2).alias("_s"))))
-    n = [F.count(F.when(F.col("_s") == i, 1)).alias(f"n{i}") for i in range(3)]
+    whole = F.lit(True)
+    for c in raw.columns:
+        whole = whole & F.col(c).isNotNull()
+    per_key = raw.groupBy(*(keys or raw.columns)).agg(F.count(F.lit(1)).alias("_all"), F.count_if(whole).alias("_whole"))
+    n = [F.coalesce(F.sum("_all"), F.lit(0)).alias("n0"), F.coalesce(F.sum("_whole"), F.lit(0)).alias("n1"),
+         F.count_if(F.col("_whole") > 0).alias("n2")]
     stages = F.array(
         F.struct(F.lit("nulls").alias("step"), F.col("n0").alias("rows_before"),
                  F.col("n1").alias("rows_after")),
         F.struct(F.lit("duplicates").alias("step"), F.col("n1").alias("rows_before"),
                  F.col("n2").alias("rows_after")))
-    return (tagged.agg(*n).select(F.inline(stages))
+    return (per_key.agg(*n).select(F.inline(stages))
             .withColumn("removed", F.col("rows_before") - F.col("rows_after")))
 
 

@@ -126,15 +126,18 @@ def error_by_k(exact: DataFrame, sigs: DataFrame, n_entities, k_values: Sequence
     divided by the full pair count.  Every k has a row, also without any
     overlapping pair.
     """
-    ks = F.array(*[F.lit(int(k)) for k in k_values])
-    j = with_signatures(exact.select("id1", "id2", "jaccard"), sigs)
-    per = j.select("jaccard", "sig1", "sig2", F.explode(ks).alias("k"))
-    per = per.withColumn("_err", F.abs(matches(F.col("sig1"), F.col("sig2"), F.col("k")) / F.col("k")
-                                         - F.col("jaccard")))
+    # signatures are compared once; what agrees among the first k has a code below k * 2^31
+    j = with_signatures(exact.select("id1", "id2", "jaccard"), sigs).select(
+        "jaccard", F.array_intersect("sig1", "sig2").alias("same"))
+
+    def error(k: int) -> Column:
+        return F.abs(F.size(F.filter("same", lambda c: c < k * CODE_SHIFT)) / k - F.col("jaccard"))
+
+    sums = j.agg(*[F.struct(F.lit(int(k)).alias("k"), F.coalesce(F.sum(error(int(k))), F.lit(0.0)).alias("_sum"),
+                            F.count(F.lit(1)).alias("overlapping_pairs")).alias(f"k{i}")
+                   for i, k in enumerate(k_values)])
     n_pairs = (n_entities * (n_entities - 1) / 2)
-    sums = per.groupBy("k").agg(F.sum("_err").alias("_sum"), F.count(F.lit(1)).alias("overlapping_pairs"))
-    every_k = sigs.sparkSession.createDataFrame([(int(k),) for k in k_values], "k int")
-    return (every_k.join(sums, "k", "left").na.fill(0, ["_sum", "overlapping_pairs"])
+    return (sums.select(F.inline(F.array(*[f"k{i}" for i in range(len(k_values))])))
             .select("k", F.round(F.col("_sum") / n_pairs, 6).alias("mean_error"),
                     F.round(1.0 / F.sqrt(F.col("k")), 6).alias("theoretical_error"),
                     "overlapping_pairs"))
@@ -153,11 +156,14 @@ def error_report(est: DataFrame) -> DataFrame:
         F.round(F.when(F.col("n") > 1, F.coalesce(F.col("r"), F.lit(0.0))).otherwise(0.0), 6).alias("pearson_r"))
 
 
-def error_by_entity(est: DataFrame, n_entities) -> DataFrame:
+def error_by_entity(est: DataFrame, n_entities, entities: DataFrame | None = None) -> DataFrame:
     """Mean error per entity over its n-1 pairs (pairs outside ``est`` have
-    error 0, see ``error_by_k``)."""
+    error 0, see ``error_by_k``).  With ``entities`` (entity) those without any
+    overlap have a row too, of error 0."""
     e = F.abs(F.col("estimate") - F.col("jaccard"))
     per = est.select(F.explode(F.array("id1", "id2")).alias("entity"), e.alias("_e"))
+    if entities is not None:
+        per = per.unionByName(entities.select("entity", F.lit(None).cast("double").alias("_e")))
     return per.groupBy("entity").agg(
-        F.round(F.sum("_e") / (n_entities - 1), 6).alias("mean_error"),
-        F.count(F.lit(1)).alias("overlapping_pairs"))
+        F.round(F.coalesce(F.sum("_e"), F.lit(0.0)) / F.greatest(n_entities - 1, F.lit(1)), 6).alias("mean_error"),
+        F.count("_e").alias("overlapping_pairs"))

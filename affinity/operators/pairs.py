@@ -6,7 +6,8 @@ than ``block`` is cut into nb = ceil(m / block) hash blocks and every tile
 (bi <= bj) of block pairs becomes its own join key, so a join key carries
 at most block x block pairs however large the group is.  Every unordered
 pair is produced exactly once per shared group (tile (min, max) of its two
-blocks); nothing is dropped or capped.
+blocks); nothing is dropped or capped.  Members learn the size of their group
+by a join salted with ``SALTS`` parts, so a hot group isn't whole there either.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK = 1024
+SALTS = 8
 
 
 def pairs_within_groups(members: DataFrame, group_cols: Sequence[str], id_col: str,
@@ -27,8 +29,10 @@ def pairs_within_groups(members: DataFrame, group_cols: Sequence[str], id_col: s
     m = members.select(*g, F.col(id_col).alias("_id"))
     sizes = (m.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
              .filter(F.col("_n") > 1)
-             .select(*g, F.greatest(F.lit(1), F.ceil(F.col("_n") / block)).cast("int").alias("_nb")))
-    blocked = (m.join(sizes, g)
+             .select(*g, F.greatest(F.lit(1), F.ceil(F.col("_n") / block)).cast("int").alias("_nb"),
+                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
+    salt = F.pmod(F.xxhash64(F.lit("salt"), "_id"), F.lit(SALTS)).cast("int")
+    blocked = (m.withColumn("_salt", salt).join(sizes, [*g, "_salt"])
                .withColumn("_b", F.pmod(F.xxhash64("_id"), F.col("_nb")).cast("int")))
     # left copy of a member of block b goes to tiles (b, j), j >= b;
     # right copy goes to tiles (i, b), i <= b.

@@ -119,10 +119,15 @@ def category_niches(activity: DataFrame, min_ratings: int = 100, scale: float =
 
 def sparsity(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
     """distinct users and items, interactions, possible cells, density % and
-    sparsity %, mean interactions per user and per item -- one aggregate."""
-    s = df.agg(F.count_distinct(user).alias("num_users"),
-               F.count_distinct(item).alias("num_items"),
-               F.count(F.lit(1)).alias("num_ratings"))
+    sparsity %, mean interactions per user and per item.
+
+    Users and items are grouped each by themselves (added up map side first), so
+    no row is repeated per distinct count; the items enter as a scalar subquery.
+    """
+    num_items = df.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).agg(F.count(item).alias("n")).scalar()
+    s = (df.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
+         .agg(F.count(user).alias("num_users"), F.coalesce(F.sum("_n"), F.lit(0)).alias("num_ratings"))
+         .withColumn("num_items", num_items))
     possible = F.col("num_users") * F.col("num_items")
     density = 100.0 * F.col("num_ratings") / possible
     return s.select("num_users", "num_items", "num_ratings", possible.alias("possible"),
@@ -139,16 +144,15 @@ def top_k(df: DataFrame, k: int, *order) -> DataFrame:
 
 def top_items_sql(interactions_df: DataFrame, items_df: DataFrame, k: int = 20) -> DataFrame:
     """The flagship SQL: top-k items by number of ratings with the rounded
-    mean rating (ties broken by item id)."""
+    mean rating (ties broken by item id).  Interactions become one row an
+    item before they meet the items, which have one row an id."""
     spark = interactions_df.sparkSession
     return spark.sql(
         """
-        SELECT m.item_id, m.title,
-               COUNT(r.rating) AS num_ratings,
-               ROUND(AVG(r.rating), 2) AS avg_rating
-        FROM {r} r
+        SELECT m.item_id, m.title, r.num_ratings, r.avg_rating
+        FROM (SELECT item_id, COUNT(rating) AS num_ratings, ROUND(AVG(rating), 2) AS avg_rating
+              FROM {r} GROUP BY item_id) r
         JOIN {m} m ON r.item_id = m.item_id
-        GROUP BY m.item_id, m.title
         ORDER BY num_ratings DESC, m.item_id
         LIMIT {k}
         """, r=interactions_df, m=items_df, k=int(k))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import title_similarity
+from ..session import materialize
 
 
 def baskets(df: DataFrame, user: str = "user_id", item: str = "item_id",
@@ -23,7 +24,11 @@ def baskets(df: DataFrame, user: str = "user_id", item: str = "item_id",
     if rating is not None and threshold is not None:
         df = df.filter(F.col(rating) >= threshold)
     pairs = df.select(F.col(user).alias("basket_id"), F.col(item).alias("item")).filter(
-        F.col("item").isNotNull()).distinct()
+        F.col("item").isNotNull())
+    if max_size is None:
+        return (pairs.groupBy("basket_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
+                .withColumn("n_items", F.size("items")).filter(F.col("n_items") >= min_size))
+    pairs = pairs.distinct()
     sizes = (pairs.groupBy("basket_id").agg(F.count(F.lit(1)).alias("n_items"))
              .filter(F.col("n_items") >= min_size))
     if max_size is not None:
@@ -104,6 +109,29 @@ def relevant_rules(rules: DataFrame, min_confidence: float = 0.2, min_lift: floa
     return rules.filter((F.col("confidence") >= min_confidence) & (F.col("lift") > min_lift))
 
 
+def basket_bitmaps(basket_df: DataFrame) -> DataFrame:
+    """(item, bucket, bits): which baskets hold an item, as bitmaps of 32,768
+    baskets each.  Baskets are numbered densely by range partitions, so the
+    bitmaps of a bucket belong to neighbouring baskets; stored."""
+    from .vectors import dense_index
+
+    numbered = basket_df.join(dense_index(basket_df, "basket_id").withColumnRenamed("element", "basket_id"), "basket_id")
+    rows = numbered.select(F.explode("items").alias("item"), "index")
+    return materialize(rows.groupBy("item", F.bitmap_bucket_number(F.col("index")).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("index"))).alias("bits")), "bitmaps")
+
+
+def bitmap_supports(itemsets: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """``itemsets`` with ``bitmap_freq``: the baskets that hold all their items, by
+    the intersection of the items' bitmaps, bucket by bucket."""
+    keyed = itemsets.withColumn("_set", F.array_join(F.col("items").cast("array<string>"), "\x1f"))
+    met = (keyed.select("_set", F.size("items").alias("_n"), F.explode("items").alias("item")).join(bitmaps, "item")
+           .groupBy("_set", "_n", "bucket").agg(F.count(F.lit(1)).alias("_k"), F.bitmap_and_agg("bits").alias("bits"))
+           .filter("_k = _n"))  # an item without a bitmap here is in none of the bucket's baskets
+    found = met.groupBy("_set").agg(F.sum(F.bitmap_count("bits")).alias("bitmap_freq"))
+    return keyed.join(found, "_set", "left").na.fill(0, ["bitmap_freq"]).drop("_set")
+
+
 def _key(c):
     return F.array_join(c.cast("array<string>"), "|")
 

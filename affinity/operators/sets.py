@@ -22,6 +22,14 @@ def set_members(df: DataFrame, entity: str, element: str, rating: str | None = N
             .distinct())
 
 
+def mixed_members(interactions: DataFrame, tags: DataFrame, threshold: float, user: str = "user_id",
+                  item: str = "item_id", rating: str = "rating", tag: str = "tag") -> DataFrame:
+    """Distinct (entity, element) of items with the users who like them and the
+    tags they carry; elements are marked with their kind, so none is both."""
+    users = set_members(interactions, item, user, rating, threshold).withColumn("element", F.concat(F.lit("u:"), F.col("element").cast("string")))
+    return users.unionByName(set_members(tags, item, tag).withColumn("element", F.concat(F.lit("t:"), F.col("element"))))
+
+
 def set_sizes(members: DataFrame) -> DataFrame:
     """(entity, set_size)."""
     return members.groupBy("entity").agg(F.count(F.lit(1)).alias("set_size"))
@@ -78,6 +86,18 @@ def jaccard_of_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return out.withColumn("jaccard", F.col("inter") / F.col("union"))
 
 
+def jaccard_in_rows(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """As ``jaccard_of_pairs`` for sets that fit in a row each: one array per set,
+    two joins by id, and the intersection in the row."""
+    arrays = members.groupBy("entity").agg(F.sort_array(F.collect_list("element")).alias("e"))
+    j = (pairs.select("id1", "id2").join(arrays.select(F.col("entity").alias("id1"), F.col("e").alias("e1")), "id1")
+         .join(arrays.select(F.col("entity").alias("id2"), F.col("e").alias("e2")), "id2"))
+    inter = F.size(F.array_intersect("e1", "e2")).cast("long")
+    return (j.select("id1", "id2", inter.alias("inter"), (F.size("e1") + F.size("e2")).alias("both"))
+            .select("id1", "id2", "inter", (F.col("both") - F.col("inter")).alias("union"))
+            .withColumn("jaccard", F.col("inter") / F.col("union")))
+
+
 def top_pairs(pairs: DataFrame, titles: DataFrame, k: int = 20, id_col: str = "item_id",
               title: str = "title", digits: int = 4) -> DataFrame:
     """Top-k pairs by Jaccard (ties by ids) with both titles, rounded."""

@@ -17,7 +17,6 @@ DEFAULTS = MappingProxyType({
     "mllib_distance": 0.7,
     "min_support": 0.03,
     "min_confidence": 0.1,
-    "fpgrowth_partitions": 4,
     "basket_min": 2,
     "basket_max": 220,
     # our own: a limit that the fixtures reach
@@ -28,6 +27,8 @@ DEFAULTS = MappingProxyType({
     "sequel_similarity": 0.85,
     "top_k": 20,
     "quality_min_ratings": 50,
+    # our own: a limit that some items of the fixtures miss
+    "quality_few_ratings": 30,
     "quality_top_k": 15,
     "pareto_share": 0.2,
     "histogram_bins": 50,
@@ -37,5 +38,35 @@ DEFAULTS = MappingProxyType({
     "niche_bubble_scale": 0.7,
 })
 
+# fixed values: the two named profiles, which replace some of the defaults
+PROFILES = MappingProxyType({
+    "quick": MappingProxyType({
+        "sample_fraction": 0.10,
+        "k_values": (400,),
+        "lsh_configs": ((50, 8), (80, 5), (100, 4), (200, 2)),
+        "similarity_threshold": 0.85,
+        "mllib_tables": 48,
+        "mllib_distance": 0.35,
+    }),
+    "full": MappingProxyType({
+        "sample_fraction": 0.10,
+        "k_values": (1200,),
+        "lsh_configs": ((120, 10), (150, 8), (240, 5), (300, 4), (600, 2)),
+        "similarity_threshold": 0.85,
+        "mllib_tables": 96,
+        "mllib_distance": 0.30,
+    }),
+})
+
+
+def profile(name: str | None = None) -> MappingProxyType:
+    """The defaults, or those with a named profile's values in their place."""
+    if name is None:
+        return DEFAULTS
+    if name not in PROFILES:
+        raise ValueError(f"a profile is one of {', '.join(PROFILES)}")
+    return MappingProxyType({**DEFAULTS, **PROFILES[name]})
+
+
 #: Mersenne prime 2^31 - 1, modulus of the MinHash family.
 MERSENNE_P = 2147483647

@@ -7,15 +7,17 @@ as '|'-joined strings of the sorted items, doubles rounded to 6 digits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sources as src
-from ..operators import clean, distributions as dist, lsh, minhash, profile, rules, sets
-from ..params import DEFAULTS
-from ..session import ensure_checkpoint_dir
+from ..operators import (clean, distributions as dist, lsh, minhash, prefix_join, profile, rules, sampling, sets,
+                         sketches, vectors)
+from ..params import DEFAULTS, profile as named_profile
+from ..session import checkpoint_root, materialize
 
 P = DEFAULTS
 K = P["k_values"][-1]                 # 200 hashes
@@ -41,11 +43,10 @@ def doc_members(spark, sf):
 
 
 def saved_doc_members(spark, sf):
-    """doc members written once to the session's reliable checkpoint folder:
-    the shingling runs once and every branch (signatures, exact truth,
-    counts) reads the saved table instead of re-shingling the texts."""
-    ensure_checkpoint_dir(spark)
-    return doc_members(spark, sf).checkpoint(eager=True)
+    """doc members written once to the shared checkpoint folder: the shingling
+    runs once and every branch (signatures, exact truth, counts) reads the saved
+    table instead of re-shingling the texts."""
+    return materialize(doc_members(spark, sf), "doc-members")
 
 
 def _n_entities(members: DataFrame):
@@ -61,7 +62,7 @@ def brand_baskets(spark, sf, max_size=None):
 def _model(spark, sf):
     b = brand_baskets(spark, sf)
     n = b.select(F.count(F.lit(1))).scalar()
-    model = rules.fpgrowth(b, RULE_SUPPORT, P["min_confidence"], P["fpgrowth_partitions"])
+    model = rules.fpgrowth(b, RULE_SUPPORT, P["min_confidence"])
     return model, n
 
 
@@ -75,10 +76,10 @@ def _join(c):
     return F.array_join(c, "|")
 
 
-def _rule_cols(df):
+def _rule_cols(df, *more):
     return df.select(_join("antecedent").alias("antecedent"), _join("consequent").alias("consequent"),
                      F.round("confidence", 6).alias("confidence"), F.round("lift", 6).alias("lift"),
-                     F.round("support", 6).alias("support"))
+                     F.round("support", 6).alias("support"), *more)
 
 
 def brand_titles(spark, sf):
@@ -338,7 +339,7 @@ def q_jaccard_pairs(spark, sf):
 
 
 def q_top_jaccard(spark, sf):
-    return sets.top_pairs(sets.jaccard_pairs(liked_members(spark, sf)), src.items(spark, sf), 20)
+    return sets.top_pairs(prefix_join.top_jaccard(liked_members(spark, sf), 20), src.items(spark, sf), 20)
 
 
 def _item_sigs(spark, sf):
@@ -382,7 +383,7 @@ def q_minhash_error_hist(spark, sf):
 
 def q_minhash_error_by_entity(spark, sf):
     m = liked_members(spark, sf)
-    return minhash.error_by_entity(_item_estimates(spark, sf), _n_entities(m))
+    return minhash.error_by_entity(_item_estimates(spark, sf), _n_entities(m), m.select("entity").distinct())
 
 
 def q_doc_sets(spark, sf):
@@ -390,18 +391,18 @@ def q_doc_sets(spark, sf):
 
 
 def _doc_truth(m):
-    return sets.jaccard_pairs(m, DOC_THRESHOLD)
+    return prefix_join.jaccard_at_least(m, DOC_THRESHOLD)
 
 
 def q_doc_similar_pairs(spark, sf):
     return _jaccard_out(_doc_truth(doc_members(spark, sf)))
 
 
-def doc_sigs(m):
+def doc_sigs(m, k=K):
     """document signatures: each document's shingle ids gathered into one
     row (a set bounded by the text length), hashed there by numpy."""
     arrays = sets.set_arrays(m)
-    return minhash.signatures_from_arrays(arrays, "entity", "elements", K, P["hash_seed"])
+    return minhash.signatures_from_arrays(arrays, "entity", "elements", k, P["hash_seed"])
 
 
 def q_doc_signatures(spark, sf):
@@ -414,7 +415,7 @@ def q_lsh_candidates(spark, sf):
 
 def _sweep(spark, sf):
     m = saved_doc_members(spark, sf)
-    return lsh.lsh_sweep(doc_sigs(m), _doc_truth(m), _n_entities(m), K, P["lsh_configs"])
+    return lsh.lsh_sweep(materialize(doc_sigs(m), "signatures"), _doc_truth(m), _n_entities(m), K, P["lsh_configs"])
 
 
 def q_lsh_sweep(spark, sf):
@@ -426,7 +427,7 @@ def q_lsh_best(spark, sf):
 
 
 def _predicted(m):
-    return lsh.predicted_pairs(doc_sigs(m), LSH_B, LSH_R, K, DOC_THRESHOLD)
+    return lsh.predicted_pairs(materialize(doc_sigs(m), "signatures"), LSH_B, LSH_R, K, DOC_THRESHOLD)
 
 
 def q_lsh_confusion(spark, sf):
@@ -441,7 +442,7 @@ def q_similarity_error(spark, sf):
 
 def q_similar_items(spark, sf):
     m = saved_doc_members(spark, sf)
-    return _jaccard_out(lsh.similar_pairs(doc_sigs(m), m, LSH_B, LSH_R, DOC_THRESHOLD))
+    return _jaccard_out(lsh.similar_pairs(materialize(doc_sigs(m), "signatures"), m, LSH_B, LSH_R, K, DOC_THRESHOLD))
 
 
 def q_mllib_similar_pairs(spark, sf):
@@ -477,11 +478,7 @@ def q_association_rules(spark, sf):
 
 
 def q_rules_lift(spark, sf):
-    r = brand_rules(spark, sf)
-    return _rule_cols(r).join(
-        r.select(_join("antecedent").alias("antecedent"), _join("consequent").alias("consequent"),
-                 F.round("consequent_support", 6).alias("consequent_support")),
-        ["antecedent", "consequent"])
+    return _rule_cols(brand_rules(spark, sf), F.round("consequent_support", 6).alias("consequent_support"))
 
 
 def _relevant(spark, sf):
@@ -497,10 +494,7 @@ def q_rules_without_sequels(spark, sf):
         F.col("p_brand").alias("item_id"), F.col("p_brand").alias("title")).distinct()
     named = rules.attach_titles(_relevant(spark, sf), titles)
     kept = rules.without_sequels(named, P["sequel_similarity"])
-    top = rules.top_rules(kept, 10)
-    return _rule_cols(top).join(
-        top.select(_join("antecedent").alias("antecedent"), _join("consequent").alias("consequent"),
-                   "max_title_similarity"), ["antecedent", "consequent"])
+    return _rule_cols(rules.top_rules(kept, 10), "max_title_similarity")
 
 
 def q_rule_titles(spark, sf):
@@ -511,10 +505,7 @@ def q_rule_titles(spark, sf):
 
 
 def q_rule_strength(spark, sf):
-    r = rules.strength_label(brand_rules(spark, sf))
-    return _rule_cols(r).join(
-        r.select(_join("antecedent").alias("antecedent"), _join("consequent").alias("consequent"),
-                 "strength"), ["antecedent", "consequent"])
+    return _rule_cols(rules.strength_label(brand_rules(spark, sf)), "strength")
 
 
 def q_recommendations(spark, sf):
@@ -531,6 +522,112 @@ def q_rule_graph_edges(spark, sf):
     return rules.rule_graph_edges(_relevant(spark, sf))
 
 
+def q_rule_graph_strong(spark, sf):
+    """Edges of the rules that the graph cells draw."""
+    return rules.rule_graph_edges(rules.relevant_rules(brand_rules(spark, sf), P["relevant_confidence"], P["graph_lift"]))
+
+
+def q_itemset_bitmaps(spark, sf):
+    """Itemsets with their frequency by FP-growth and by basket bitmaps."""
+    baskets = materialize(brand_baskets(spark, sf), "baskets")
+    n = baskets.select(F.count(F.lit(1))).scalar()
+    found = rules.frequent_itemsets(rules.fpgrowth(baskets, RULE_SUPPORT, P["min_confidence"]), n)
+    return rules.bitmap_supports(found, rules.basket_bitmaps(baskets)).select(
+        _join("items").alias("items"), "size", "freq", "bitmap_freq")
+
+
+def q_order_itemsets(spark, sf):
+    """Brands that are ordered together, at the support of the defaults."""
+    baskets = rules.baskets(src.order_baskets(spark, sf), "order_id", "brand", None, None, P["basket_min"])
+    n = baskets.select(F.count(F.lit(1))).scalar()
+    found = rules.frequent_itemsets(rules.fpgrowth(baskets, P["min_support"], P["min_confidence"]), n)
+    return found.select(_join("items").alias("items"), "size", "freq", F.round("support", 6).alias("support"))
+
+
+# ---------------------------------------------------------------- checked scans, sketches, samples
+def q_csv_rejects(spark, sf):
+    """Interactions written as CSV lines, some broken, and read with a check."""
+    folder = f"{checkpoint_root(spark)}/affinity-{spark.sparkContext.applicationId}/lines-{uuid.uuid4().hex}"
+    src.interaction_lines(spark, sf).write.text(folder)
+    return src.reject_report(src.read_checked(spark, folder, src.get_schemas()[0], header=False))
+
+
+def _rated_genres(spark, sf):
+    return clean_interactions(spark, sf).join(clean.explode_categories(src.items(spark, sf)), "item_id").select(
+        "genre", "user_id", "rating")
+
+
+def q_distinct_users(spark, sf):
+    """Distinct users per genre and in all, and whether the sketches agree."""
+    return sketches.distinct_report(_rated_genres(spark, sf), "genre", "user_id")
+
+
+def q_activity_quantiles(spark, sf):
+    """Quantiles of set sizes per tenth of the items, and of all by merged sketches."""
+    rows = _item_set_sizes(spark, sf).withColumn("part", (F.col("entity") % 10).cast("int"))
+    return sketches.quantile_report(rows, "part", "set_size", [0.05, 0.25, 0.5, 0.75, 0.95])
+
+
+def _sampled_items(spark, sf):
+    rows = _item_activity(spark, sf).join(src.items(spark, sf).select("item_id", F.get(F.split("genres", "\\|"), 0).alias("stratum")), "item_id")
+    return rows.select("item_id", "stratum", "num_ratings")
+
+
+def q_stratified_sample(spark, sf):
+    return sampling.stratified_sample(_sampled_items(spark, sf), "stratum", "item_id", P["top_k"], P["sample_seed"])
+
+
+def q_sample_distance(spark, sf):
+    rows = _sampled_items(spark, sf)
+    sample = sampling.stratified_sample(rows, "stratum", "item_id", P["top_k"], P["sample_seed"])
+    return sampling.largest_distance(rows, sample, "num_ratings")
+
+
+def q_density_hex(spark, sf):
+    return dist.density_hex(_item_activity(spark, sf), grid=P["density_grid"])
+
+
+def q_item_quality_few(spark, sf):
+    return _quality(spark, sf, P["quality_few_ratings"])
+
+
+# ---------------------------------------------------------------- thresholded joins, vectors, profiles
+#: Similarity of items that share customers; none of the fixtures' reach 0.3.
+ITEM_THRESHOLD = 0.1
+
+
+def q_jaccard_at_least(spark, sf):
+    return _jaccard_out(prefix_join.jaccard_at_least(liked_members(spark, sf), ITEM_THRESHOLD))
+
+
+def q_feature_vectors(spark, sf):
+    """Sparse vectors of the tags' sets, as text."""
+    m = sets.set_members(src.tags(spark, sf), "user_id", "item_id")
+    return vectors.feature_vectors(m).select("entity", F.col("features").cast("string").alias("features"))
+
+
+def q_user_tag_sets(spark, sf):
+    """Sets of users and tags together, each as an element of its own kind."""
+    return sets.set_sizes(sets.mixed_members(src.interactions(spark, sf), src.tags(spark, sf), P["rating_threshold"])).select(
+        F.col("entity").alias("item_id"), "set_size")
+
+
+def _profile_sweep(spark, sf, name):
+    p = named_profile(name)
+    k = p["k_values"][-1]
+    m = saved_doc_members(spark, sf)
+    sigs = materialize(doc_sigs(m, k), "signatures")
+    return lsh.lsh_sweep(sigs, prefix_join.jaccard_at_least(m, p["similarity_threshold"]), _n_entities(m), k, p["lsh_configs"])
+
+
+def q_lsh_sweep_quick(spark, sf):
+    return _profile_sweep(spark, sf, "quick")
+
+
+def q_lsh_sweep_full(spark, sf):
+    return _profile_sweep(spark, sf, "full")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -6,7 +6,7 @@ from the same generator the Spark side uses."""
 from __future__ import annotations
 
 from ..functions.hashing import hash_family
-from ..params import DEFAULTS, MERSENNE_P
+from ..params import DEFAULTS, MERSENNE_P, profile
 
 P = DEFAULTS
 K = P["k_values"][-1]
@@ -153,42 +153,86 @@ CTE["sw_bands"] = """
 CTE["sw_cand"] = """
   SELECT DISTINCT a.pos, a.b, a.r, a.entity AS id1, b.entity AS id2
   FROM sw_bands a JOIN sw_bands b ON a.pos = b.pos AND a.band = b.band AND a.vals = b.vals AND a.entity < b.entity"""
-CTE["sweep"] = """
+
+SWEEP = """
   SELECT c.col0 AS pos, c.col1 AS b, c.col2 AS r,
          round(pow(1.0 / c.col1, 1.0 / c.col2), 6) AS threshold,
          coalesce(x.candidates, 0) AS candidates, coalesce(x.tp, 0) AS tp,
          coalesce(x.candidates, 0) - coalesce(x.tp, 0) AS fp,
-         (SELECT count(*) FROM dc_jp) - coalesce(x.tp, 0) AS fn,
+         (SELECT count(*) FROM {truth}) - coalesce(x.tp, 0) AS fn,
          round(CASE WHEN coalesce(x.candidates, 0) > 0 THEN x.tp / x.candidates ELSE 0 END, 6) AS precision,
-         round(CASE WHEN (SELECT count(*) FROM dc_jp) > 0 THEN coalesce(x.tp, 0) / (SELECT count(*) FROM dc_jp) ELSE 0 END, 6) AS recall,
+         round(CASE WHEN (SELECT count(*) FROM {truth}) > 0 THEN coalesce(x.tp, 0) / (SELECT count(*) FROM {truth}) ELSE 0 END, 6) AS recall,
          round(CASE WHEN coalesce(x.tp, 0) > 0 THEN
-               2.0 * (x.tp / x.candidates) * (x.tp / (SELECT count(*) FROM dc_jp))
-               / ((x.tp / x.candidates) + (x.tp / (SELECT count(*) FROM dc_jp))) ELSE 0 END, 6) AS f1,
+               2.0 * (x.tp / x.candidates) * (x.tp / (SELECT count(*) FROM {truth}))
+               / ((x.tp / x.candidates) + (x.tp / (SELECT count(*) FROM {truth}))) ELSE 0 END, 6) AS f1,
          round(100.0 * coalesce(x.candidates, 0) / ((SELECT n FROM dc_n) * ((SELECT n FROM dc_n) - 1) / 2), 6) AS candidate_pct
-  FROM cfg c LEFT JOIN (
+  FROM {cfg} c LEFT JOIN (
     SELECT s.pos, count(*) AS candidates, count(t.id1) AS tp
-    FROM sw_cand s LEFT JOIN dc_jp t ON s.id1 = t.id1 AND s.id2 = t.id2 GROUP BY s.pos) x ON x.pos = c.col0"""
-# baskets and rules (customer x brand, min support 0.2: itemsets end at depth 2)
+    FROM {cand} s LEFT JOIN {truth} t ON s.id1 = t.id1 AND s.id2 = t.id2 GROUP BY s.pos) x ON x.pos = c.col0"""
+CTE["sweep"] = SWEEP.format(truth="dc_jp", cfg="cfg", cand="sw_cand")
+
+
+def _sweep_sql(name: str) -> str:
+    """The sweep of a named profile over the documents' sets."""
+    p = profile(name)
+    k, configs = p["k_values"][-1], p["lsh_configs"]
+    family = ", ".join(f"({h}, {a}, {b})" for h, (a, b) in enumerate(hash_family(k, p["hash_seed"])))
+    return f"""
+      WITH p_hf AS (VALUES {family}),
+      p_cfg AS (VALUES {", ".join(f"({i}, {b}, {r})" for i, (b, r) in enumerate(configs) if b * r == k)}),
+      p_jp AS (SELECT * FROM dc_jp WHERE jaccard >= {p["similarity_threshold"]}),
+      p_sig AS (SELECT m.entity, h.col0 AS h, min((h.col1 * (m.element % {MERSENNE_P}) + h.col2) % {MERSENNE_P}) AS v
+                FROM doc_m m, p_hf h GROUP BY 1, 2),
+      p_bands AS (SELECT c.col0 AS pos, c.col1 AS b, c.col2 AS r, s.entity, s.h // c.col2 AS band,
+                         array_to_string(list(s.v ORDER BY s.h), ',') AS vals
+                  FROM p_sig s, p_cfg c GROUP BY 1, 2, 3, 4, 5),
+      p_cand AS (SELECT DISTINCT a.pos, a.b, a.r, a.entity AS id1, b.entity AS id2 FROM p_bands a JOIN p_bands b
+                 ON a.pos = b.pos AND a.band = b.band AND a.vals = b.vals AND a.entity < b.entity)
+      {SWEEP.format(truth="p_jp", cfg="p_cfg", cand="p_cand")}"""
+
+
+# baskets and rules (customer x brand, min support 0.2)
 CTE["bi"] = """SELECT DISTINCT i.user_id AS basket_id, p.p_brand AS item
                FROM interactions i JOIN part p ON i.item_id = p.p_partkey WHERE i.rating >= 3.5"""
-CTE["bs"] = f"""SELECT basket_id, count(*) AS n_items FROM bi GROUP BY basket_id
-                HAVING count(*) >= {P['basket_min']}"""
-CTE["bk"] = "SELECT bi.basket_id, bi.item FROM bi JOIN bs ON bi.basket_id = bs.basket_id"
-CTE["nb"] = "SELECT count(*) AS n FROM bs"
-CTE["f1s"] = f"""SELECT item, count(*) AS freq FROM bk GROUP BY item
-                 HAVING count(*) >= ceil({SUPPORT} * (SELECT n FROM nb))"""
-CTE["f2s"] = f"""SELECT x.item AS i1, y.item AS i2, count(*) AS freq
-                 FROM bk x JOIN bk y ON x.basket_id = y.basket_id AND x.item < y.item
-                 WHERE x.item IN (SELECT item FROM f1s) AND y.item IN (SELECT item FROM f1s)
-                 GROUP BY 1, 2 HAVING count(*) >= ceil({SUPPORT} * (SELECT n FROM nb))"""
+CTE["ob"] = "SELECT DISTINCT l.l_orderkey AS basket_id, p.p_brand AS item FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"
+
+
+def _itemset_ctes(prefix: str, items: str, support: float) -> dict[str, str]:
+    """Baskets of two items or more; their itemsets of any depth: rows of a
+    basket and an itemset in it grow by one later item at a time, as long as
+    enough baskets hold the longer itemset."""
+    least = f"ceil({support} * (SELECT n FROM {prefix}_nb))"
+    return {
+        f"{prefix}_bs": f"SELECT basket_id, count(*) AS n_items FROM {items} GROUP BY basket_id HAVING count(*) >= {P['basket_min']}",
+        f"{prefix}_bk": f"SELECT x.basket_id, x.item FROM {items} x JOIN {prefix}_bs USING (basket_id)",
+        f"{prefix}_nb": f"SELECT count(*) AS n FROM {prefix}_bs",
+        f"{prefix}_rows": f"""
+          SELECT 1 AS size, [item] AS items, basket_id FROM (
+            SELECT *, count(*) OVER (PARTITION BY item) AS c FROM {prefix}_bk) WHERE c >= {least}
+          UNION ALL
+          SELECT size, items, basket_id FROM (
+            SELECT r.size + 1 AS size, list_append(r.items, k.item) AS items, r.basket_id,
+                   count(*) OVER (PARTITION BY list_append(r.items, k.item)) AS c
+            FROM {prefix}_rows r JOIN {prefix}_bk k ON k.basket_id = r.basket_id AND k.item > r.items[-1]) WHERE c >= {least}""",
+        f"{prefix}_is": f"SELECT items, size, count(*) AS freq FROM {prefix}_rows GROUP BY items, size",
+    }
+
+
+CTE.update(_itemset_ctes("ub", "bi", SUPPORT))
+CTE.update(_itemset_ctes("od", "ob", P["min_support"]))
+CTE["bk"] = "SELECT basket_id, item FROM ub_bk"
+CTE["smp_all"] = """SELECT i.item_id, string_split(i.genres, '|')[1] AS stratum, a.num_ratings
+                    FROM ia a JOIN items i ON i.item_id = a.item_id"""
+CTE["smp"] = f"""SELECT * FROM smp_all QUALIFY row_number() OVER (
+                 PARTITION BY stratum ORDER BY md5('{P['sample_seed']}:' || item_id), item_id) <= {P['top_k']}"""
 CTE["rules"] = f"""
-  SELECT a AS antecedent, c AS consequent, confidence,
-         confidence / (fc.freq / (SELECT n FROM nb)) AS lift, fab / (SELECT n FROM nb) AS support,
-         fc.freq / (SELECT n FROM nb) AS consequent_support
-  FROM (SELECT i1 AS a, i2 AS c, freq AS fab FROM f2s UNION ALL SELECT i2, i1, freq FROM f2s) r
-  JOIN f1s fa ON fa.item = r.a JOIN f1s fc ON fc.item = r.c,
-  LATERAL (SELECT r.fab / fa.freq AS confidence) z
-  WHERE confidence >= {CONF}"""
+  SELECT array_to_string(a.items, '|') AS antecedent, c.item AS consequent, f.freq / a.freq AS confidence,
+         (f.freq / a.freq) / (k.freq / (SELECT n FROM ub_nb)) AS lift, f.freq / (SELECT n FROM ub_nb) AS support,
+         k.freq / (SELECT n FROM ub_nb) AS consequent_support
+  FROM (SELECT items, freq, unnest(items) AS item FROM ub_is WHERE size > 1) f
+  JOIN ub_is a ON a.items = list_filter(f.items, lambda x: x <> f.item)
+  JOIN ub_is k ON k.items = [f.item], LATERAL (SELECT f.item AS item) c
+  WHERE f.freq / a.freq >= {CONF}"""
 CTE["relevant"] = f"""SELECT * FROM rules WHERE confidence >= {P['relevant_confidence']}
                       AND lift > {P['relevant_lift']}"""
 
@@ -403,9 +447,10 @@ BODY = {
       FROM it_est""",
     "minhash_error_hist": "WITH e AS (SELECT abs(estimate - jaccard) AS error FROM it_est) " + _hist("e", "error", 20),
     "minhash_error_by_entity": """
-      SELECT entity, round(sum(e) / ((SELECT n FROM it_n) - 1), 6) AS mean_error, count(*) AS overlapping_pairs
+      SELECT entity, round(coalesce(sum(e), 0) / ((SELECT n FROM it_n) - 1), 6) AS mean_error, count(e) AS overlapping_pairs
       FROM (SELECT id1 AS entity, abs(estimate - jaccard) AS e FROM it_est
-            UNION ALL SELECT id2, abs(estimate - jaccard) FROM it_est) GROUP BY entity""",
+            UNION ALL SELECT id2, abs(estimate - jaccard) FROM it_est
+            UNION ALL SELECT DISTINCT entity, NULL FROM liked_m) GROUP BY entity""",
     "doc_sets": "SELECT entity AS doc_id, count(*) AS set_size FROM doc_m GROUP BY entity",
     "doc_similar_pairs": 'SELECT id1, id2, inter, "union", round(jaccard, 6) AS jaccard FROM dc_jp',
     # 20 tables miss a pair at the boundary about once in a thousand times, none of the fixtures'
@@ -448,25 +493,31 @@ BODY = {
              UNION ALL SELECT 4, 'basket size <= {P['basket_max']}', s4, s3 FROM c)
       SELECT step, stage, users, prev - users AS lost,
              round(CASE WHEN prev > 0 THEN 100.0 * (prev - users) / prev ELSE 0 END, 6) AS pct_lost FROM st""",
-    "frequent_itemsets": """
-      SELECT item AS items, 1 AS size, freq, round(freq / (SELECT n FROM nb), 6) AS support FROM f1s
-      UNION ALL SELECT i1 || '|' || i2, 2, freq, round(freq / (SELECT n FROM nb), 6) FROM f2s""",
+    "frequent_itemsets": """SELECT array_to_string(items, '|') AS items, size, freq,
+                                   round(freq / (SELECT n FROM ub_nb), 6) AS support FROM ub_is""",
+    "itemset_bitmaps": "SELECT array_to_string(items, '|') AS items, size, freq, freq AS bitmap_freq FROM ub_is",
+    "order_itemsets": """SELECT array_to_string(items, '|') AS items, size, freq,
+                                round(freq / (SELECT n FROM od_nb), 6) AS support FROM od_is""",
     "association_rules": f"SELECT {RULE_COLS} FROM rules",
     "rules_lift": f"SELECT {RULE_COLS}, round(consequent_support, 6) AS consequent_support FROM rules",
     "top_rules": f"SELECT {RULE_COLS} FROM relevant ORDER BY lift DESC, confidence DESC, antecedent, consequent LIMIT 10",
     "rules_without_sequels": f"""
       SELECT {RULE_COLS}, sim AS max_title_similarity FROM (
-        SELECT *, round(CASE WHEN greatest(length(lower(antecedent)), length(lower(consequent))) = 0 THEN 1.0
-                  ELSE 1.0 - levenshtein(lower(antecedent), lower(consequent))
-                       / greatest(length(lower(antecedent)), length(lower(consequent))) END, 6) AS sim
+        SELECT *, list_max(list_transform(string_split(antecedent, '|'), lambda a:
+                  round(CASE WHEN greatest(length(lower(a)), length(lower(consequent))) = 0 THEN 1.0
+                  ELSE 1.0 - levenshtein(lower(a), lower(consequent))
+                       / greatest(length(lower(a)), length(lower(consequent))) END, 6))) AS sim
         FROM relevant)
       WHERE sim <= {P['sequel_similarity']}
       ORDER BY lift DESC, confidence DESC, antecedent, consequent LIMIT 10""",
     "rule_titles": """
-      SELECT r.antecedent, r.consequent, coalesce(a.title, 'ID:' || r.antecedent) AS antecedent_titles,
-             coalesce(c.title, 'ID:' || r.consequent) AS consequent_titles
-      FROM rules r LEFT JOIN (SELECT p_brand, min(p_name) AS title FROM part GROUP BY p_brand) a ON a.p_brand = r.antecedent
-      LEFT JOIN (SELECT p_brand, min(p_name) AS title FROM part GROUP BY p_brand) c ON c.p_brand = r.consequent""",
+      WITH t AS (SELECT p_brand, min(p_name) AS title FROM part GROUP BY p_brand),
+      x AS (SELECT antecedent, consequent, unnest(string_split(antecedent, '|')) AS item,
+                   unnest(range(len(string_split(antecedent, '|')))) AS pos FROM rules),
+      a AS (SELECT x.antecedent, x.consequent, string_agg(coalesce(t.title, 'ID:' || x.item), '|' ORDER BY x.pos) AS titles
+            FROM x LEFT JOIN t ON t.p_brand = x.item GROUP BY x.antecedent, x.consequent)
+      SELECT a.antecedent, a.consequent, a.titles AS antecedent_titles, coalesce(t.title, 'ID:' || a.consequent) AS consequent_titles
+      FROM a LEFT JOIN t ON t.p_brand = a.consequent""",
     "rule_strength": f"""
       SELECT {RULE_COLS}, CASE WHEN lift > 1.5 THEN 'very strong' WHEN lift > 1.2 THEN 'strong'
                                WHEN lift > 1.0 THEN 'moderate' ELSE 'weak' END AS strength FROM rules""",
@@ -474,14 +525,64 @@ BODY = {
       SELECT item, recommended, round(confidence, 6) AS confidence, round(lift, 6) AS lift, rank FROM (
         SELECT antecedent AS item, consequent AS recommended, confidence, lift,
                CAST(row_number() OVER (PARTITION BY antecedent ORDER BY lift DESC, confidence DESC, consequent) AS INTEGER) AS rank
-        FROM rules) WHERE rank <= 5""",
+        FROM rules WHERE NOT contains(antecedent, '|')) WHERE rank <= 5""",
     "rule_stats": """
       SELECT count(*) AS n_rules,
              round(avg(confidence), 6) AS mean_confidence, round(min(confidence), 6) AS min_confidence, round(max(confidence), 6) AS max_confidence,
              round(avg(lift), 6) AS mean_lift, round(min(lift), 6) AS min_lift, round(max(lift), 6) AS max_lift,
              round(avg(support), 6) AS mean_support, round(min(support), 6) AS min_support, round(max(support), 6) AS max_support
       FROM rules""",
-    "rule_graph_edges": "SELECT antecedent AS src, consequent AS dst, round(max(lift), 6) AS weight FROM relevant GROUP BY 1, 2",
+    "rule_graph_edges": "SELECT string_split(antecedent, '|')[1] AS src, consequent AS dst, round(max(lift), 6) AS weight FROM relevant GROUP BY 1, 2",
+    "rule_graph_strong": f"""SELECT string_split(antecedent, '|')[1] AS src, consequent AS dst, round(max(lift), 6) AS weight
+                             FROM relevant WHERE lift > {P['graph_lift']} GROUP BY 1, 2""",
+    "csv_rejects": """
+      SELECT CASE WHEN l_linenumber IN (3, 5, 7) THEN 'malformed' WHEN l_linenumber = 6 THEN 'missing item_id' ELSE 'good' END AS reason,
+             count(*) AS rows
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
+    "distinct_users": """
+      WITH g AS (SELECT x.genre, c.user_id FROM clean c JOIN genres_x x ON x.item_id = c.item_id)
+      SELECT genre, count(DISTINCT user_id) AS exact, true AS within_bound FROM g GROUP BY genre
+      UNION ALL SELECT NULL, count(DISTINCT user_id), true FROM g""",
+    "activity_quantiles": """
+      WITH s AS (SELECT CAST(entity % 10 AS INTEGER) AS part FROM item_sizes),
+      n AS (SELECT part, count(*) AS n FROM s GROUP BY part UNION ALL SELECT NULL, count(*) FROM s)
+      SELECT part, share, CAST(n AS BIGINT) AS n, true AS within_bound
+      FROM n, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95])::DOUBLE AS share)""",
+    "stratified_sample": "SELECT * FROM smp",
+    "sample_distance": """
+      WITH x AS (SELECT num_ratings AS v, count(*) AS f, 0 AS s FROM smp_all GROUP BY 1
+                 UNION ALL SELECT num_ratings, 0, count(*) FROM smp GROUP BY 1),
+      y AS (SELECT v, sum(f) AS f, sum(s) AS s FROM x GROUP BY v),
+      z AS (SELECT sum(f) OVER (ORDER BY v) / sum(f) OVER () AS a, sum(s) OVER (ORDER BY v) / sum(s) OVER () AS b FROM y)
+      SELECT (SELECT count(*) FROM smp_all) AS n_full, (SELECT count(*) FROM smp) AS n_sample,
+             round(max(abs(a - b)), 6) AS distance FROM z""",
+    "density_hex": f"""
+      WITH b AS (SELECT log10(CAST(num_ratings AS DOUBLE)) AS lx, CAST(avg_rating AS DOUBLE) AS y FROM ia WHERE num_ratings > 0),
+      m AS (SELECT min(lx) AS x0, min(y) AS y0,
+                   CASE WHEN max(lx) = min(lx) THEN 1.0 ELSE (max(lx) - min(lx)) / {P['density_grid']} END AS sx,
+                   CASE WHEN max(y) = min(y) THEN 1.0 ELSE (max(y) - min(y)) / {int(P['density_grid'] / 3 ** 0.5)} END AS sy FROM b),
+      p AS (SELECT (lx - x0) / sx AS u, (y - y0) / sy AS v FROM b, m),
+      c AS (SELECT u, v, floor(u + 0.5) AS u1, floor(v + 0.5) AS v1, least(floor(u), {P['density_grid'] - 1}) + 0.5 AS u2,
+                   least(floor(v), {int(P['density_grid'] / 3 ** 0.5) - 1}) + 0.5 AS v2 FROM p),
+      n AS (SELECT *, (u - u1) * (u - u1) + 3 * (v - v1) * (v - v1) <= (u - u2) * (u - u2) + 3 * (v - v2) * (v - v2) AS one FROM c),
+      k AS (SELECT CAST(2 * CASE WHEN one THEN u1 ELSE u2 END AS INTEGER) AS cell_x,
+                   CAST(2 * CASE WHEN one THEN v1 ELSE v2 END AS INTEGER) AS cell_y, count(*) AS count FROM n GROUP BY 1, 2)
+      SELECT cell_x, cell_y, round(x0 + cell_x / 2 * sx, 6) AS center_x, round(y0 + cell_y / 2 * sy, 6) AS center_y, count,
+             round(log10(CAST(count AS DOUBLE)), 6) AS log10_count FROM k, m""",
+    "item_quality_few": f"SELECT * FROM quality WHERE total_ratings >= {P['quality_few_ratings']}",
+    "jaccard_at_least": """SELECT id1, id2, inter, "union", round(jaccard, 6) AS jaccard FROM it_jp WHERE jaccard >= 0.1 - 1e-9""",
+    "feature_vectors": """
+      WITH m AS (SELECT DISTINCT user_id AS entity, item_id AS element FROM tags WHERE user_id IS NOT NULL AND item_id IS NOT NULL),
+      u AS (SELECT element, row_number() OVER (ORDER BY element) - 1 AS place FROM (SELECT DISTINCT element FROM m))
+      SELECT entity, '(' || (SELECT count(*) FROM u) || ',[' || string_agg(place::VARCHAR, ',' ORDER BY place) || '],['
+             || string_agg('1.0', ',') || '])' AS features FROM m JOIN u USING (element) GROUP BY entity""",
+    "user_tag_sets": """
+      SELECT item_id, count(*) AS set_size FROM (
+        SELECT DISTINCT item_id, 'u' AS kind, user_id::VARCHAR AS e FROM interactions WHERE rating >= 3.5
+        UNION ALL SELECT DISTINCT item_id, 't', tag FROM tags WHERE item_id IS NOT NULL AND tag IS NOT NULL)
+      GROUP BY item_id""",
+    "lsh_sweep_quick": _sweep_sql("quick"),
+    "lsh_sweep_full": _sweep_sql("full"),
 }
 
 _ORDER = list(CTE)
@@ -510,8 +611,8 @@ def build(name: str) -> str:
     ctes = ",\n".join(f"{n} AS ({CTE[n]})" for n in names)
     body = body.strip()
     if body.upper().startswith("WITH "):
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"
+        return f"WITH RECURSIVE {ctes},\n{body[5:]}"
+    return f"WITH RECURSIVE {ctes}\n{body}"
 
 
 ORACLE_SQL: dict[str, str] = {name: build(name) for name in BODY}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,6 +29,43 @@ def get_schemas() -> tuple[T.StructType, T.StructType, T.StructType]:
     return interactions, items, tags
 
 
+#: Holds the text of a record that doesn't fit its schema.
+RECORD = "_record"
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """The schema's columns, ``_record`` and ``_reason``.
+
+    A record with too few or too many fields, or a value of the wrong type, is
+    "malformed", and ``_record`` has its text; one without a value that the schema
+    requires is "missing <column>", the first of them.  Good records have no
+    reason.
+    """
+    whole = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in schema], T.StructField(RECORD, T.StringType(), True)])
+    rows = spark.read.csv(path, header=header, schema=whole, mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
+    reason = F.when(F.col(RECORD).isNotNull(), "malformed")
+    for f in schema:
+        if not f.nullable:
+            reason = reason.when(F.col(f.name).isNull(), f"missing {f.name}")
+    return rows.withColumn("_reason", reason)
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    return checked.filter("_reason is null").drop(RECORD, "_reason")
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """(record, reason); the record of a row with missing values is written anew."""
+    columns = [c for c in checked.columns if c not in (RECORD, "_reason")]
+    return checked.filter("_reason is not null").select(
+        F.coalesce(RECORD, F.to_csv(F.struct(*columns))).alias("record"), F.col("_reason").alias("reason"))
+
+
+def reject_report(checked: DataFrame) -> DataFrame:
+    """(reason, rows), good rows as "good"; they add up to the file."""
+    return checked.groupBy(F.coalesce("_reason", F.lit("good")).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     # The CSV scan makes every field nullable whatever the declaration says,
     # so null handling downstream stays necessary.

@@ -61,6 +61,26 @@ def raw_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(resent).drop("l_linenumber")
 
 
+def interaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): interactions as lines of a CSV file, some of them broken by line
+    number: 3 has a word for its rating, 5 lacks its last field, 6 has an empty
+    item, 7 one field too many."""
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_linenumber")
+    od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    number = F.col("l_linenumber")
+    fields = [F.col("o_custkey"), F.when(number == 6, "").otherwise(F.col("l_partkey").cast("string")),
+              F.when(number == 3, "good").otherwise((F.ceil(F.col("l_quantity") / 5) / 2).cast("string")),
+              F.when(number != 5, epoch_seconds(F.col("o_orderdate"))), F.when(number == 7, "more")]
+    return li.join(od, li.l_orderkey == od.o_orderkey).select(F.concat_ws(",", *[f.cast("string") for f in fields]).alias("value"))
+
+
+def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, brand): the brands of each order."""
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return li.join(part, li.l_partkey == part.p_partkey).select(F.col("l_orderkey").alias("order_id"), F.col("p_brand").alias("brand"))
+
+
 def _genres(first: Column) -> Column:
     words = F.split(F.col("p_name"), " ")
     return F.concat_ws("|", first, F.get(words, 0), F.get(words, 1))
@@ -113,8 +133,7 @@ def doc_members(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
     """(doc_id, element): distinct n-word shingle ids of every whole document.
 
     Text is lower-cased and split on one space; a shingle is n consecutive
-    words joined by one space; its id is the 28-bit md5 prefix (an int below
-    2^31, as MinHash needs).
+    words joined by one space; its id is the first 60 bits of its md5.
 
     The shingle strings are exploded and hashed per row (exploding an array
     built by a nested lambda re-evaluates it per element in Spark 4.1, which

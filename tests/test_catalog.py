@@ -40,7 +40,10 @@ import __spark_entry__ as entry  # noqa: E402
 
 FAST = ["top_items_sql", "sparsity", "dedupe_keys", "clean_report", "canonical_map", "normalize_genres",
         "rating_stats", "pareto_top20", "histogram", "jaccard_pairs", "minhash_signatures",
-        "doc_signatures", "lsh_sweep", "similar_items", "user_funnel"]
+        "doc_signatures", "lsh_sweep", "similar_items", "user_funnel", "jaccard_at_least", "top_jaccard", "feature_vectors",
+        "user_tag_sets", "frequent_itemsets", "itemset_bitmaps", "order_itemsets", "association_rules", "rule_titles",
+        "rule_graph_strong", "csv_rejects", "distinct_users", "activity_quantiles", "stratified_sample", "sample_distance",
+        "density_hex", "item_quality_few", "minhash_error_by_k", "minhash_error_by_entity"]
 
 
 @pytest.mark.parametrize("name", FAST)
@@ -54,23 +57,20 @@ def test_query_matches_sql(spark, duck, name):
     assert _norm(got, df.columns) == _norm(want, want_cols)
 
 
-@pytest.mark.parametrize("name,depth_filter", [
-    ("frequent_itemsets", "size <= 2"),
-    ("association_rules", "NOT contains(antecedent, '|')"),
-])
-def test_rules_match_sql_up_to_depth_two(spark, duck, name, depth_filter):
-    # at sf0.001 some triples are frequent; the SQL twin stops at pairs
-    df = entry.queries()[name](spark, SF).filter(depth_filter)
-    cur = duck.execute(entry.oracle_sql()[name])
-    want_cols = [d[0] for d in cur.description]
-    want = cur.fetchall()
-    assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(want, want_cols)
+def test_rules_go_deeper_than_pairs(duck):
+    """At sf0.001 some triples are frequent, so the twins above compare them."""
+    rows = duck.execute(entry.oracle_sql()["frequent_itemsets"]).fetchall()
+    assert max(r[1] for r in rows) == 3
+    assert duck.execute(entry.oracle_sql()["rule_graph_strong"]).fetchall()
+    few = duck.execute(entry.oracle_sql()["item_quality_few"]).fetchall()
+    assert 0 < len(few) < len(duck.execute(entry.oracle_sql()["item_quality"]).fetchall())
+
 
+def test_every_query_has_an_oracle():
+    from affinity.plans import ORACLE_SQL, QUERIES
 
-def test_every_query_has_oracle_or_is_rows_only():
-    q, s = entry.queries(), entry.oracle_sql()
-    assert set(s) <= set(q)
-    assert set(q) - set(s) == {"mllib_similar_pairs"}
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
