@@ -1,8 +1,8 @@
 """Quality rules by distribution divergence, in DataFrame expressions only.
 
 For each language the whole corpus gives two references: the histogram of
-character classes, and that of its ``COMMON`` most frequent short words with
-one bin for all others.  A document's own histograms are compared with those of
+character classes, and that of its ``COMMON`` most frequent words (lower-cased)
+with one bin for all others.  A document's own histograms are compared with those of
 its language by Jensen-Shannon distance (base 2, so 0 to 1).  Texts under
 ``MIN_WORDS`` words have too few words for that and aren't judged by it.
 
@@ -10,10 +10,13 @@ Base rules, counted beside: fewer than 50 words, or more than half of the words
 inside repeated 3-word windows.
 
 Repeated windows are found inside the row: windows are hashed, and only rows in
-which hashes repeat sort them with their positions, so the cost is n log n in the
-length of a text and no row is ever gathered with others.  References are one
-row per language; they are written out, so Spark sees their size and broadcasts
-them only while they are small.
+which hashes repeat sort them, so the cost is n log n in the length of a text and no
+row is ever gathered with others.
+
+Texts are read twice: to count words, and to count all that is counted per
+document.  The counts are written, and the character references are sums over
+them.  References are one row per language; they are written out, so Spark sees
+their size and broadcasts them only while they are small.
 
 Defined results: a null text counts as none; a null lang is a language of its
 own; a language whose references are empty judges nothing; ties among frequent
@@ -26,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import SPACE, SPACE_CHARS, WORD, ascii_lower, let, text_or_empty
+from affinity.llm.common import SPACE, SPACE_CHARS, let, text_or_empty
 from affinity.session import materialize
 
 MIN_BASE_WORDS = 50
@@ -34,7 +37,8 @@ MAX_REPEATED_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
 
 COMMON = 20
-COMMON_CHARS = 5
+#: Up to so many distinct repeated windows are looked up one by one.
+FEW_REPEATS = 32
 MIN_WORDS = 100
 MAX_CHAR_DISTANCE = 0.24
 MAX_WORD_DISTANCE = 0.32
@@ -53,13 +57,21 @@ def repeated_words(words: Column) -> Column:
     """How many words lie in a 3-word window that occurs more than once.
     ``words`` must be bound (a column or lambda variable)."""
 
-    def covered(hashes: Column) -> Column:
+    def words_in(at: Column) -> Column:
+        # a window adds three words, less those that the one before covers
+        return F.aggregate(F.transform(at, lambda i, k: F.when(k == 0, 3).otherwise(
+            F.least(F.lit(3), i - F.get(at, k - 1)))), F.lit(0), lambda total, n: total + n)
+
+    def sorted_out(hashes: Column) -> Column:
         placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return let(placed, lambda s: let(F.sort_array(F.transform(
+        return let(placed, lambda s: F.sort_array(F.transform(
             F.filter(s, lambda x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"])),
-            lambda x: x["i"])), lambda at: F.aggregate(F.transform(
-                at, lambda i, k: F.when(k == 0, 3).otherwise(F.least(F.lit(3), i - F.get(at, k - 1)))),
-            F.lit(0), lambda total, n: total + n)))
+            lambda x: x["i"])))
+
+    def covered(hashes: Column) -> Column:
+        twice = let(F.sort_array(hashes), lambda s: F.array_distinct(F.filter(s, lambda x, k: F.get(s, k - 1) == x)))
+        return let(twice, lambda few: let(F.when(F.size(few) > FEW_REPEATS, sorted_out(hashes)).otherwise(F.filter(
+            F.transform(hashes, lambda h, i: F.when(F.array_contains(few, h), i)), lambda i: i.isNotNull())), words_in))
 
     def hashed(w: Column) -> Column:
         return F.transform(F.slice(w, F.lit(1), F.size(w) - 2),
@@ -89,26 +101,41 @@ def class_counts(text: Column) -> list[Column]:
     return [*[F.length(a) - F.length(b) for a, b in zip(left, left[1:])], F.length(left[-1])]
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """(lang_key, r_chars, r_words, r_counts) per language; stored."""
-    rows = docs.select(F.coalesce("lang", F.lit("")).alias("lang_key"), text_or_empty().alias("text"))
-    names = [f"c{k}" for k in range(len(CLASSES) + 1)]
-    chars = (rows.select("lang_key", *[c.alias(n) for c, n in zip(class_counts(F.col("text")), names)],
-                         F.regexp_count("text", F.lit(WORD)).alias("n"))
-             .groupBy("lang_key").agg(F.array(*[F.sum(n).cast("double") for n in names]).alias("r_chars"),
-                                      F.sum("n").cast("double").alias("r_all")))
-    words = (rows.select("lang_key", F.explode(words_of(ascii_lower(F.col("text")))).alias("word"))
-             .filter(F.length("word") <= COMMON_CHARS)
+def common_words(docs: DataFrame) -> DataFrame:
+    """(lang_key, r_words, r_counts) per language: the most frequent words; stored."""
+    words = (docs.select(F.coalesce("lang", F.lit("")).alias("lang_key"),
+                         F.explode(words_of(F.lower(text_or_empty()))).alias("word"))
              .groupBy("lang_key", "word").agg(F.count(F.lit(1)).alias("n")))
-    # one row per language and distinct short word by here
+    # one row per language and distinct word by here
     rank = F.row_number().over(Window.partitionBy("lang_key").orderBy(F.desc("n"), "word"))
     top = (words.withColumn("rank", rank).filter(F.col("rank") <= COMMON).groupBy("lang_key")
            .agg(F.array_sort(F.collect_list(F.struct("rank", "word", F.col("n").cast("double").alias("n")))).alias("top")))
-    joined = chars.join(top, "lang_key", "left").select(
-        "lang_key", "r_chars", "r_all",
-        F.coalesce(F.col("top")["word"], F.array().cast("array<string>")).alias("r_words"),
-        F.coalesce(F.col("top")["n"], F.array().cast("array<double>")).alias("r_counts"))
-    return materialize(joined, "references")
+    return materialize(top.select("lang_key", F.col("top")["word"].alias("r_words"), F.col("top")["n"].alias("r_counts")), "common-words")
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """Per document its base counts, the counts of character classes (``chars``) and
+    of its language's common words (``common``), and ``r_counts``; stored."""
+    text = F.col("text")
+    rows = (docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang_key"), text_or_empty().alias("text"))
+            .join(common_words(docs), "lang_key", "left"))
+
+    def found(w: Column) -> Column:
+        return F.transform(F.coalesce("r_words", F.array().cast("array<string>")),
+                           lambda one: (F.size(w) - F.size(F.array_remove(w, one))).cast("double"))
+
+    def of_words(w: Column) -> Column:
+        return F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"))
+
+    # symbols and white space are read off what the classes leave, not searched for again
+    classes = class_counts(text)
+    return materialize(rows.select(
+        "doc_id", "lang_key", let(words_of(text), of_words).alias("w"), let(words_of(F.lower(text)), found).alias("common"),
+        duplicate_lines(text).alias("n_dup_lines"), (F.length(text) - classes[1]).cast("long").alias("word_chars"),
+        F.regexp_count(without_classes(text)[-1], F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.array(*[c.cast("double") for c in classes]).alias("chars"),
+        F.coalesce("r_counts", F.array().cast("array<double>")).alias("r_counts")).select(
+            "doc_id", "lang_key", "w.*", "common", "n_dup_lines", "word_chars", "n_symbols", "chars", "r_counts"), "rule-counts")
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -129,28 +156,10 @@ def distance(p: Column, q: Column) -> Column:
 def judged(docs: DataFrame) -> DataFrame:
     """Per document the base counts, char_distance, word_distance, base_failed
     and kept."""
-    refs = references(docs)
-    text = F.col("text")
-    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang_key"), text_or_empty().alias("text")).join(
-        refs, "lang_key", "left")
-    def found(t: Column) -> Column:
-        return F.transform("r_words", lambda w: (
-            (F.length(t) - F.length(F.replace(t, F.concat(F.lit(" "), w, F.lit(" "))))) / (F.length(w) + 2)).cast("double"))
-
-    def of_words(w: Column) -> Column:
-        # two blanks between words, so that neighbours don't share one
-        spaced = F.concat(F.lit(" "), ascii_lower(F.array_join(w, "  ")), F.lit(" "))
-        return F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"),
-                        let(spaced, found).alias("common"))
-
-    # symbols and white space are read off what the classes leave, not searched for again
-    classes = class_counts(text)
-    counted = rows.select(
-        "doc_id", let(words_of(text), of_words).alias("w"), duplicate_lines(text).alias("n_dup_lines"),
-        (F.length(text) - classes[1]).cast("long").alias("word_chars"),
-        F.regexp_count(without_classes(text)[-1], F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        F.array(*[c.cast("double") for c in classes]).alias("chars"), "r_chars", "r_counts", "r_all",
-    ).select("doc_id", "w.*", "n_dup_lines", "word_chars", "n_symbols", "chars", "r_chars", "r_counts", "r_all")
+    rows = counted(docs)
+    sums = [F.sum(F.col("chars")[k]) for k in range(len(CLASSES) + 1)]
+    refs = materialize(rows.groupBy("lang_key").agg(F.array(*sums).alias("r_chars"), F.sum("n_words").cast("double").alias("r_all")), "references")
+    rows = rows.join(refs, "lang_key")
 
     def with_rest(a: Column, every: Column) -> Column:
         return F.concat(a, F.array(F.greatest(F.lit(0.0), every - F.aggregate(a, F.lit(0.0), lambda s, x: s + x))))
@@ -160,7 +169,7 @@ def judged(docs: DataFrame) -> DataFrame:
     odd = ((F.col("n_words") >= MIN_WORDS)
            & ((F.coalesce("char_distance", F.lit(0.0)) > MAX_CHAR_DISTANCE)
               | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)))
-    return (counted.withColumns({
+    return (rows.withColumns({
         "char_distance": distance(F.col("chars"), F.col("r_chars")),
         "word_distance": F.when(F.size("r_counts") > 0, distance(
             with_rest(F.col("common"), F.col("n_words").cast("double")), with_rest(F.col("r_counts"), F.col("r_all")))),
