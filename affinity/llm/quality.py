@@ -41,6 +41,8 @@ RIDGE = 1e-2
 SEED = 11
 #: One in so many sampled rows calibrates instead of fitting.
 CALIBRATE = 4
+#: Text that is described at once.
+BATCH_BYTES = 2 << 20
 
 CLASSES = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789",
            "space": " \t\r\x0b\x0c", "line": "\n", "stop": ".,;:", "mark": "!?", "bar": "|", "symbol": "#*$%&<>@^~_=+\\/",
@@ -65,13 +67,17 @@ def statistics(texts: pa.Array) -> np.ndarray:
     """One row of STATISTICS per text."""
     texts = tokens.whole(texts)
     n_bytes = pc.binary_length(texts).to_numpy().astype(np.int64)
-    ends = np.cumsum(n_bytes)
-    flat = _TABLE[np.frombuffer("".join(texts.to_pylist()).encode(), np.uint8)] if len(texts) else np.empty(0, np.uint8)
+    some, begins = np.flatnonzero(n_bytes), tokens.starts_of(n_bytes)
+    _, offsets, data = texts.buffers()
+    first = np.frombuffer(offsets, np.int64)[0] if len(texts) else 0
+    flat = _TABLE[np.frombuffer(data, np.uint8)[first:first + n_bytes.sum()]] if len(some) else np.empty(0, np.uint8)
     size = np.maximum(n_bytes, 1)
     shares = []
     for k in range(len(CLASSES) + 1):
-        total = np.concatenate([[0], np.cumsum(flat == k, dtype=np.int64)])
-        shares.append((total[ends] - total[ends - n_bytes]) / size)
+        found = np.zeros(len(size), np.int64)
+        if len(some):
+            found[some] = np.add.reduceat(flat == k, begins[some], dtype=np.int32)
+        shares.append(found / size)
 
     def parts(split: pa.Array):
         values, offsets = split.flatten(), split.offsets.to_numpy().astype(np.int64)
@@ -154,7 +160,7 @@ def training_rows(docs: DataFrame, marks: DataFrame, fit_rows: int = FIT_ROWS) -
         "label", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(CALIBRATE)).alias("part"), "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches):
+        for b in tokens.small_batches(batches, BATCH_BYTES):
             stats = statistics(b.column(2))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(list(stats), pa.list_(pa.float64()))], names=["label", "part", "stats"])
@@ -210,7 +216,7 @@ def quality(text: str | Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         done = [model.score(statistics(b.column(0)))
-                for b in tokens.small_batches([pa.RecordBatch.from_arrays([texts], names=["text"])])]
+                for b in tokens.small_batches([pa.RecordBatch.from_arrays([texts], names=["text"])], BATCH_BYTES)]
         return pa.array(np.concatenate(done) if done else np.empty(0))
 
     return score(text)
