@@ -221,9 +221,9 @@ def _itemset_ctes(prefix: str, items: str, support: float) -> dict[str, str]:
 CTE.update(_itemset_ctes("ub", "bi", SUPPORT))
 CTE.update(_itemset_ctes("od", "ob", P["min_support"]))
 CTE["bk"] = "SELECT basket_id, item FROM ub_bk"
-CTE["smp_all"] = """SELECT i.item_id, string_split(i.genres, '|')[1] AS stratum, a.num_ratings
+CTE["strat_all"] = """SELECT i.item_id, string_split(i.genres, '|')[1] AS stratum, a.num_ratings
                     FROM ia a JOIN items i ON i.item_id = a.item_id"""
-CTE["smp"] = f"""SELECT * FROM smp_all QUALIFY row_number() OVER (
+CTE["strat"] = f"""SELECT * FROM strat_all QUALIFY row_number() OVER (
                  PARTITION BY stratum ORDER BY md5('{P['sample_seed']}:' || item_id), item_id) <= {P['top_k']}"""
 CTE["rules"] = f"""
   SELECT array_to_string(a.items, '|') AS antecedent, c.item AS consequent, f.freq / a.freq AS confidence,
@@ -548,13 +548,13 @@ BODY = {
       n AS (SELECT part, count(*) AS n FROM s GROUP BY part UNION ALL SELECT NULL, count(*) FROM s)
       SELECT part, share, CAST(n AS BIGINT) AS n, true AS within_bound
       FROM n, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95])::DOUBLE AS share)""",
-    "stratified_sample": "SELECT * FROM smp",
+    "stratified_sample": "SELECT * FROM strat",
     "sample_distance": """
-      WITH x AS (SELECT num_ratings AS v, count(*) AS f, 0 AS s FROM smp_all GROUP BY 1
-                 UNION ALL SELECT num_ratings, 0, count(*) FROM smp GROUP BY 1),
+      WITH x AS (SELECT num_ratings AS v, count(*) AS f, 0 AS s FROM strat_all GROUP BY 1
+                 UNION ALL SELECT num_ratings, 0, count(*) FROM strat GROUP BY 1),
       y AS (SELECT v, sum(f) AS f, sum(s) AS s FROM x GROUP BY v),
       z AS (SELECT sum(f) OVER (ORDER BY v) / sum(f) OVER () AS a, sum(s) OVER (ORDER BY v) / sum(s) OVER () AS b FROM y)
-      SELECT (SELECT count(*) FROM smp_all) AS n_full, (SELECT count(*) FROM smp) AS n_sample,
+      SELECT (SELECT count(*) FROM strat_all) AS n_full, (SELECT count(*) FROM strat) AS n_sample,
              round(max(abs(a - b)), 6) AS distance FROM z""",
     "density_hex": f"""
       WITH b AS (SELECT log10(CAST(num_ratings AS DOUBLE)) AS lx, CAST(avg_rating AS DOUBLE) AS y FROM ia WHERE num_ratings > 0),
