@@ -9,7 +9,7 @@ sources are a prefix, so one window over the table of sources finds the level.
 
 A source then takes each document floor(target / size) times (whole
 repetitions), and documents that make up the remaining fraction once more.
-These are chosen by seeded hash order: words are summed by (source, hash
+These are chosen by seeded hash order of doc_id and text: words are summed by (source, hash
 bucket), running sums over the buckets say which bucket holds the boundary, and
 a running sum inside each (source, bucket) finds the document.  So a source
 with a third of all rows is ``16 ** bucket_digits`` small groups, and the taken
@@ -17,8 +17,8 @@ words are within one document of the target.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 last in order; a source without words has target 0 and its documents are taken
-as a whole floor(0) times, that is never; equal doc_ids are ordered by size,
-equal rows take part each for itself; an empty table gives an empty result;
+as a whole floor(0) times, that is never; rows that repeat a doc_id, or have
+none, have places of their own by their texts; equal rows take part each for itself; an empty table gives an empty result;
 further columns stay as they are,
 whatever their names.
 """
@@ -72,12 +72,13 @@ def water_filling(sizes: DataFrame, weights: Sequence[int] = WEIGHTS,
 
 def planned(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
             seed: str = SEED, bucket_digits: int = BUCKET_DIGITS) -> DataFrame:
-    """Rows (doc_id, source, size and any others) with source_size, target and
-    reps, the times to take each."""
+    """Rows (doc_id, source, size, text_hash and any others) with source_size, target
+    and reps, the times to take each."""
     # "0..." before "1": sources by code point, null last
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
-    place = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    carried = [c for c in rows.columns if c != "source"]
+    place = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                           F.lit(":"), F.col("text_hash")))
+    carried = [c for c in rows.columns if c not in ("source", "text_hash")]
     rows = (rows.select(*carried, key.alias("source_key"), place.alias("place"))
             .withColumn("bucket", F.substring("place", 1, bucket_digits)))
     buckets = rows.groupBy("source_key", "bucket").agg(F.sum("size").alias("words"))
@@ -104,7 +105,7 @@ def planned(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int =
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix takes it."""
     rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "source",
-                       word_count(text_or_empty()).alias("size"))
+                       word_count(text_or_empty()).alias("size"), F.md5(text_or_empty()).alias("text_hash"))
     return (planned(rows, **options).filter("reps > 0")
             .select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "reps"))).select("doc.*"))
 
@@ -112,6 +113,6 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 def mix_digest(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) per document."""
     # the texts are only counted, so they stay out of the rows that move
-    slim = docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"))
+    slim = docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), F.md5(text_or_empty()).alias("text_hash"))
     return planned(slim).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))

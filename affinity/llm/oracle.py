@@ -85,7 +85,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM m GROUP BY doc_id""",
     "op10_mixing": f"""
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
-                          md5('mix-1:' || doc_id) AS place FROM documents),
+                          md5('mix-1:' || doc_id || ':' || md5(coalesce(text, ''))) AS place FROM documents),
         s0 AS (SELECT source, sum(size)::BIGINT AS source_size,
                       [1, 2, 3][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
                FROM d GROUP BY source),
