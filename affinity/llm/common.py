@@ -55,6 +55,13 @@ def salt_of(key: str, salts: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("salt"), F.col(key)), F.lit(salts)).cast("int")
 
 
+def spread(salts: int) -> Column:
+    """A salt in [0, salts) from a row's place in its input, so that rows with
+    one key, or with none, get different ones.  For joins with ``salted`` rows and
+    for sums by salt, which come out alike whatever the salt."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+
+
 def salted(df: DataFrame, salts: int) -> DataFrame:
     """One copy of each row per salt: the small side of a join on a hot key."""
     return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -31,13 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import ascii_lower, salt_of, salted, text_or_empty
+from affinity.llm.common import ascii_lower, salted, spread, text_or_empty
 from affinity.session import with_package
 
 REMAINDER_BITS = 40
 QUOTIENT_BITS = 64 - REMAINDER_BITS
 REMAINDER_MASK = np.uint64((1 << REMAINDER_BITS) - 1)
 SALTS = 16
+#: Rows a shard at most; one task merges a shard's filters.
+SHARD_ROWS = 4_000_000
 
 FILTER_SCHEMA = ("shard int, quotients binary, runs binary, remainders binary, "
                  "counted binary, counters binary")
@@ -114,10 +116,10 @@ def merged_counts(filters: DataFrame) -> DataFrame:
 
 def dedup_exact(docs: DataFrame, salts: int = SALTS, shards: int | None = None) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per input row."""
-    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.count() // SHARD_ROWS)
     rows = (docs.select("doc_id", ascii_lower(text_or_empty()).alias("norm"))
             .select("doc_id", "norm", F.xxhash64("norm").alias("fp"),
-                    salt_of("doc_id", salts).alias("_salt")))
+                    spread(salts).alias("_salt")))
     repeated = salted(merged_counts(partition_filters(rows, shards)).select("fp"), salts)
     classes = (rows.join(repeated, ["fp", "_salt"], "left_semi")
                .groupBy("fp", "_salt", "norm").agg(F.max("doc_id").alias("keep_id"),

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import SPACE_CHARS, ascii_lower, let, salt_of, salted, text_or_empty
+from affinity.llm.common import SPACE_CHARS, ascii_lower, let, salted, spread, text_or_empty
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -38,14 +38,14 @@ def lines_of(text: Column) -> Column:
 def _line_hashes(docs: DataFrame, min_chars: int, salts: int) -> DataFrame:
     """(doc_id, _rid, pos, h1, h2, _salt) of every line long enough."""
     key = ascii_lower(F.trim(F.col("line"), F.lit(SPACE_CHARS)))
-    return (docs.select("doc_id", F.xxhash64("text").alias("_rid"),
+    return (docs.select("doc_id", "text", spread(salts).alias("_salt"))
+            .select("doc_id", F.xxhash64("text").alias("_rid"), "_salt",
                         F.posexplode(lines_of(text_or_empty())).alias("pos", "line"))
             .filter(F.length("line") >= min_chars)
-            .select("doc_id", "_rid", "pos", key.alias("key"))
+            .select("doc_id", "_rid", "_salt", "pos", key.alias("key"))
             .filter(F.length("key") >= min_chars)
             .select("doc_id", "_rid", "pos", F.xxhash64("key").alias("h1"),
-                    F.xxhash64(F.lit(1), "key").alias("h2"),
-                    salt_of("doc_id", salts).alias("_salt")))
+                    F.xxhash64(F.lit(1), "key").alias("h2"), "_salt"))
 
 
 def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
