@@ -19,7 +19,7 @@ turn joins a row with the node rows' siblings at its level, appends the siblings
 to the proof and folds the hash of every leaf of the run into that of its parent;
 a row that has reached its subroot goes on in the tree of sources.  A leaf
 verifies if its folded hash is the root.  So a row carries its proof once for
-``FANOUT`` leaves.
+``FANOUT`` leaves.  Hashes are kept as 32 bytes and hashed as their hex text.
 
 Defined results: null fields are written ``-``; null sources are a tree of their
 own, first in order; null doc_ids come first in their source; rows that repeat a
@@ -41,6 +41,18 @@ FANOUT = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: The tree above the sources' trees.
 TOP_TREE = -1
+#: Bytes of a hash.
+HASH = 32
+
+
+def hash_of(value: Column) -> Column:
+    """The SHA-256 as bytes."""
+    return F.unhex(F.sha2(value, 256))
+
+
+def as_text(hashes: Column) -> Column:
+    """Bytes of hashes as lower-case hex."""
+    return F.lower(F.hex(hashes))
 
 
 def leaf_hash(text: Column) -> Column:
@@ -49,7 +61,7 @@ def leaf_hash(text: Column) -> Column:
     for name in FIELDS:
         value = text if name == "text" else F.col(name).cast("string")
         parts.append(F.coalesce(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value), F.lit("-")))
-    return F.sha2(F.concat(*parts), 256)
+    return hash_of(F.concat(*parts))
 
 
 def every_fifth(key: str = "doc_id") -> Column:
@@ -84,10 +96,10 @@ def leaves(docs: DataFrame, altered: Column | None = None) -> DataFrame:
 def _above(nodes: DataFrame, level: int, fanout: int) -> DataFrame:
     """Nodes of this level from those below, (tree, place, size, hash), each with
     the hashes of its children; trees of one node have none."""
-    run = F.transform(F.array_sort(F.collect_list(F.struct("place", "hash"))), lambda x: x["hash"])
+    run = F.aggregate(F.array_sort(F.collect_list(F.struct("place", "hash"))), F.lit(b""), lambda all_, x: F.concat(all_, x["hash"]))
     return (nodes.filter("size > 1").groupBy("tree", "size", F.expr(f"place div {fanout}").alias("up")).agg(run.alias("children"))
             .select("tree", F.lit(level).alias("level"), F.col("up").alias("place"), F.ceil(F.col("size") / fanout).alias("size"),
-                    "children", F.sha2(F.array_join("children", ""), 256).alias("hash"))
+                    "children", hash_of(as_text(F.col("children"))).alias("hash"))
             .withColumn("parent", F.when(F.col("size") > 1, F.expr(f"place div {fanout}"))))
 
 
@@ -105,7 +117,7 @@ def manifest(leaf_rows: DataFrame, fanout: int = FANOUT) -> tuple[DataFrame, Dat
     """The nodes above the leaves, (tree, level, place, size, children, hash,
     parent), and (tree, subroot) of every source; both stored.  ``size`` is the
     number of nodes in the tree's level, ``parent`` the place of the node's parent
-    one level above, ``children`` the hashes of those below.  The leaves of
+    one level above, ``children`` the hashes of those below, joined.  The leaves of
     TOP_TREE are the subroots, their places the trees' numbers."""
     inner = _built(leaf_rows.select("tree", "place", "size", F.col("leaf").alias("hash")), fanout, "nodes")
     roots = materialize(inner.filter("size = 1").select("tree", F.col("hash").alias("subroot")).unionByName(
@@ -120,14 +132,14 @@ def manifest(leaf_rows: DataFrame, fanout: int = FANOUT) -> tuple[DataFrame, Dat
 #: of each of its leaves, and the siblings met above the run.
 CLIMB = """
 WITH RECURSIVE climb (run_tree, run, tree, level, place, folded, proof) AS (
-  SELECT run_tree, run, tree, level, place, folded, '' FROM {{runs}}
+  SELECT run_tree, run, tree, level, place, folded, X'' FROM {{runs}}
   UNION ALL
   SELECT run_tree, run,
          CASE WHEN last THEN {top}L ELSE tree END, CASE WHEN last THEN 0 ELSE level END, CASE WHEN last THEN tree ELSE place END,
-         transform(folded, f -> sha2(concat(before, f, after), 256)), concat(proof, before, after)
+         transform(folded, f -> unhex(sha2(lower(hex(concat(before, f, after))), 256))), concat(proof, before, after)
   FROM (SELECT c.run_tree, c.run, n.tree, n.level, n.place, n.size = 1 AND n.tree <> {top} AS last, c.folded, c.proof,
-               array_join(slice(n.children, 1, cast(c.place % {fanout} AS int)), '') AS before,
-               array_join(slice(n.children, cast(c.place % {fanout} AS int) + 2, {fanout}), '') AS after
+               substring(n.children, 1, cast(c.place % {fanout} AS int) * {hash}) AS before,
+               substring(n.children, cast(c.place % {fanout} AS int) * {hash} + {hash} + 1, {fanout} * {hash}) AS after
         FROM climb c JOIN {{nodes}} n ON n.tree = c.tree AND n.level = c.level + 1 AND n.place = c.place div {fanout})
 )
 SELECT run_tree, run, folded, proof FROM climb WHERE tree = {top} AND level = {height}"""
@@ -143,11 +155,11 @@ def verified(leaf_rows: DataFrame, nodes: DataFrame, roots: DataFrame, fanout: i
         .select(F.col("tree").alias("run_tree"), "run", "size", "members"), "runs")
     last = F.col("size") <= fanout  # the run is all of its tree
     # left and right of each leaf are the others of its run
-    def others(i: Column, first: Column, length: Column | int) -> Column:
-        return F.array_join(F.transform(F.slice("members", first, length), lambda m: m["leaf"]), "")
+    def others(first: Column, length: Column) -> Column:
+        return F.aggregate(F.slice("members", first, length), F.lit(b""), lambda all_, m: F.concat(all_, m["leaf"]))
     folded = F.when(F.col("size") == 1, F.transform("members", lambda m: m["found"])).otherwise(
-        F.transform("members", lambda m, i: F.sha2(F.concat(
-            others(i, F.lit(1), i), m["found"], others(i, i + 2, F.lit(fanout))), 256)))
+        F.transform("members", lambda m, i: hash_of(as_text(F.concat(
+            others(F.lit(1), i), m["found"], others(i + 2, F.lit(fanout)))))))
     start = runs.select("run_tree", "run", F.when(last, F.lit(TOP_TREE)).otherwise(F.col("run_tree")).cast("long").alias("tree"),
                         F.when(last, 0).otherwise(1).alias("level"), F.when(last, F.col("run_tree")).otherwise(F.col("run")).alias("place"),
                         folded.alias("folded"))
@@ -156,15 +168,16 @@ def verified(leaf_rows: DataFrame, nodes: DataFrame, roots: DataFrame, fanout: i
     before = spark.conf.get(limit)
     spark.conf.set(limit, "-1")  # one row per run and level, however many
     try:
-        climbed = materialize(spark.sql(CLIMB.format(top=TOP_TREE, fanout=fanout, height=top[0] or 0), runs=start, nodes=nodes), "climbed")
+        climbed = materialize(spark.sql(CLIMB.format(top=TOP_TREE, fanout=fanout, hash=HASH, height=top[0] or 0), runs=start, nodes=nodes), "climbed")
     finally:
         spark.conf.set(limit, before)
-    root = F.lit(top[1]) if top[1] else F.col("subroot")  # a single source's subroot is the root
+    root = F.lit(bytes(top[1])) if top[1] else F.col("subroot")  # a single source's subroot is the root
     return (runs.join(climbed, ["run_tree", "run"]).join(roots.withColumnRenamed("tree", "run_tree"), "run_tree")
             .select("subroot", "proof", "folded", "members", F.posexplode("members").alias("i", "m"))
-            .select(F.col("m.doc_id").alias("doc_id"), F.col("m.leaf").alias("leaf"), "subroot", root.alias("root"),
-                    F.sha2(F.concat(others(F.col("i"), F.lit(1), F.col("i")), others(F.col("i"), F.col("i") + 2, F.lit(fanout)), "proof"), 256)
-                    .alias("proof_sha256"), F.get("folded", F.col("i")).alias("folded_root"))
+            .select(F.col("m.doc_id").alias("doc_id"), as_text(F.col("m.leaf")).alias("leaf"), as_text(F.col("subroot")).alias("subroot"),
+                    as_text(root).alias("root"),
+                    F.sha2(as_text(F.concat(others(F.lit(1), F.col("i")), others(F.col("i") + 2, F.lit(fanout)), "proof")), 256)
+                    .alias("proof_sha256"), as_text(F.get("folded", F.col("i"))).alias("folded_root"))
             .withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
