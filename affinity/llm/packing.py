@@ -115,7 +115,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, max_docs: int | None = Non
     """``token_pieces`` with sequence_id and offset.
 
     ``max_docs`` and ``max_cost`` default to what a full sequence of one-token
-    documents, and of one document, would have.
+    documents, and of one document, would have, and then never bind.  A piece
+    that is over ``max_cost`` by itself has a sequence of its own.
     """
     max_docs, max_cost = max_docs or capacity, max_cost or float(capacity) ** 2
 
@@ -123,7 +124,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, max_docs: int | None = Non
         pdf = pdf.sort_values(["length", "doc_id", "piece", "row"], ascending=[False, True, True, True],
                               kind="stable")
         size = pdf["length"].to_numpy()
-        full = int((size == capacity).sum())  # these fill a sequence each
+        full = int(((size == capacity) | (size.astype(float) ** 2 > max_cost)).sum())  # these have a sequence each
         bins = np.concatenate([np.arange(full), full + best_fit(size[full:], capacity, max_docs, max_cost, rule)])
         pdf["sequence_id"] = pdf["_group"].to_numpy() * SPAN + bins
         by_bin = np.argsort(bins, kind="stable")

@@ -13,13 +13,16 @@ from affinity.llm.common import documents, labels
 from affinity.llm.line_dedup import dedup_lines
 from affinity.llm.mixing import mixed
 from affinity.llm.near_dedup import dedup_near
-from affinity.llm.packing import pack_documents
+from affinity.llm.packing import CAPACITY, pack_documents
 from affinity.llm.quality import keep_good
 from affinity.session import materialize
 
 
 #: Words a shingle and Jaccard similarity of near-duplicates; op9 has its own.
 NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
+#: Documents, and attention cost as a share of a full sequence of one document's,
+#: in a sequence that several share.
+SEQUENCE_DOCUMENTS, SEQUENCE_COST = 32, 0.75
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +47,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences."""
-    return pack_documents(docs)
+    return pack_documents(docs, max_docs=SEQUENCE_DOCUMENTS, max_cost=SEQUENCE_COST * CAPACITY ** 2)
 
 
 STAGES = [
