@@ -33,6 +33,8 @@ from affinity.llm.common import held_out
 from affinity.session import with_package
 
 FIT_DOCUMENTS = 3_000
+#: Languages that a model knows at most: the most frequent ones.
+MOST_LANGUAGES = 200
 BUCKETS = 1 << 15
 #: In nats; a word alone must be that much clearer to be another language.
 SWITCH_PENALTY = 12.0
@@ -158,9 +160,11 @@ class Model:
 
 
 def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model:
-    """A model from the documents that aren't held out and have a lang."""
+    """A model from the documents that aren't held out and have a lang, of the
+    MOST_LANGUAGES most frequent ones."""
     usable = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & ~F.coalesce(held_out(), F.lit(False)))
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pylist()}
+    known = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    sizes = {r["lang"]: r["n"] for r in known.toArrow().to_pylist()}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.empty((BUCKETS, 0)), np.empty((NO_SCRIPT + 1, 0), bool))
