@@ -3,10 +3,11 @@
 A text's ids are the ids of its words in order, since white space never
 joins into a token.  So each batch is split into words, every distinct word is
 cut at plain punctuation, and only distinct pieces go to the library.
-Pieces of plain lower-case letters are one word each to the tokenizer; they
-are encoded many at a time, and split again at the ids that end a word.
-All others, and whole texts that may hold special tokens, are encoded one by
-one.  Tests compare the result with encoding each text as a whole.
+Pieces of plain lower-case letters are one word each to the tokenizer and go to
+its model without its rules.  Words with a letter that the tokenizer takes apart
+(into a letter and a mark, which it joins to punctuation) aren't cut.  All other
+pieces, and whole texts that may hold special tokens, are encoded by its rules.
+Tests compare the result with encoding each text as a whole.
 """
 
 from __future__ import annotations
@@ -18,14 +19,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECES_AT_ONCE = 2000
-CACHED_PIECES = 400_000
-WORD_END = "</w>"
+CACHED_PIECES = 1_500_000
 #: Punctuation that no rule of the tokenizer joins to a letter (so no apostrophe).
 PUNCTUATION = r"[.,:;!?|*$%&#=()\[\]{}<>]"
 AFTER_WORD = rf"([\p{{L}}\p{{N}}])({PUNCTUATION})"
 BEFORE_WORD = rf"({PUNCTUATION})([\p{{L}}\p{{N}}])"
-PLAIN = "^[a-zß-öø-ÿ]+$"
+PLAIN_LETTERS = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+PLAIN = f"^[a-z{PLAIN_LETTERS}]+$"
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -36,15 +36,29 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 @lru_cache(maxsize=4)
 def load(path: str):
-    """The tokenizer, and which ids end a word."""
+    """The tokenizer, and what its rules make of the plain letters beyond ASCII."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    vocab = tok.get_vocab()
-    ends = np.zeros(max(vocab.values()) + 1, bool)
-    ends[[i for word, i in vocab.items() if word.endswith(WORD_END)]] = True
-    return tok, ends
+    return tok, str.maketrans({c: tok.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in PLAIN_LETTERS})
+
+
+@lru_cache(maxsize=1 << 16)
+def _taken_apart(path: str, letter: str) -> bool:
+    tok, _ = load(path)
+    return len(tok.pre_tokenizer.pre_tokenize_str(tok.normalizer.normalize_str(letter))) > 1
+
+
+def _cut_at_punctuation(words: pa.Array, path: str) -> pa.Array:
+    """The words with a blank on both sides of punctuation that stands by itself."""
+    apart = pc.replace_substring_regex(
+        pc.replace_substring_regex(words, AFTER_WORD, r"\1 \2"), BEFORE_WORD, r"\1 \2")
+    wide = words.filter(pc.match_substring_regex(words, r"[^\x00-\x{FF}]"))
+    odd = [c for c in set("".join(wide.to_pylist())) if c > "\xff" and c.isalnum() and _taken_apart(path, c)]
+    if not odd:
+        return apart
+    return pc.if_else(pc.match_substring_regex(words, "[" + "".join(odd) + "]"), words, apart)
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -77,13 +91,13 @@ class _Seen:
     """Pieces that this Python worker has encoded, up to ``CACHED_PIECES``."""
 
     def __init__(self):
-        self.place: dict[str, int] = {}
-        self.ids, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.pieces = pa.array([], pa.large_string())
+        self.ids, self.size = np.empty(0, np.uint32), np.empty(0, np.int32)
 
-    def add(self, pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        n = len(self.place)
-        self.place.update(zip(pieces, range(n, n + len(pieces))))
-        self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
+    def add(self, pieces: pa.Array, path: str) -> None:
+        ids, size = _encode_pieces(pieces, path)
+        self.pieces = pa.concat_arrays([self.pieces, pieces.cast(pa.large_string())])
+        self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size.astype(np.int32)])
 
 
 @lru_cache(maxsize=4)
@@ -94,47 +108,33 @@ def _seen(path: str) -> list[_Seen]:
 def _encode_cached(pieces: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """As ``_encode_pieces``; pieces met in an earlier batch aren't encoded again."""
     holder = _seen(path)
-    words = pieces.to_pylist()
-    fresh = [w for w in words if w not in holder[0].place]
-    if len(holder[0].place) + len(fresh) > CACHED_PIECES:
-        holder[0], fresh = _Seen(), words
+    at = pc.index_in(pieces, holder[0].pieces)
+    new = pc.is_null(at).to_numpy(zero_copy_only=False)
+    if len(holder[0].pieces) + np.count_nonzero(new) > CACHED_PIECES:
+        holder[0], new = _Seen(), np.ones(len(pieces), bool)
     seen = holder[0]
-    seen.add(fresh, *_encode_pieces(pa.array(fresh, pieces.type), path))
-    at = np.fromiter(map(seen.place.__getitem__, words), np.int64, len(words))
-    size = seen.size[at]
-    out = ragged(seen.ids, starts_of(seen.size)[at], size)
-    if len(seen.place) > CACHED_PIECES:
-        holder[0] = _Seen()
-    return out, size
+    at = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at[new] = len(seen.pieces) + np.arange(np.count_nonzero(new))
+    seen.add(pieces.filter(pa.array(new)), path)
+    size = seen.size[at].astype(np.int64)
+    return ragged(seen.ids, starts_of(seen.size.astype(np.int64))[at], size), size
 
 
 def _encode_pieces(pieces: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    tok, ends = load(path)
+    tok, letters = load(path)
     plain = pc.match_substring_regex(pieces, PLAIN).to_numpy(zero_copy_only=False)
-    ids, lengths, order = [], [], []
-    words, at = pieces.filter(pa.array(plain)).to_pylist(), np.flatnonzero(plain)
-    for i in range(0, len(words), PIECES_AT_ONCE):
-        chunk = words[i:i + PIECES_AT_ONCE]
-        got = np.array(tok.encode(" ".join(chunk), add_special_tokens=False).ids, np.uint32)
-        last = np.flatnonzero(ends[got])
-        if len(last) == len(chunk):
-            size = np.diff(last, prepend=-1)
-        else:
-            got, size = _one_by_one(tok, chunk)
-        ids.append(got)
-        lengths.append(size)
-        order.append(at[i:i + PIECES_AT_ONCE])
     rest = np.flatnonzero(~plain)
-    if len(rest):
-        got, size = _one_by_one(tok, pieces.take(pa.array(rest)).to_pylist())
-        ids.append(got)
-        lengths.append(size)
-        order.append(rest)
-    if not order:
-        return np.empty(0, np.uint32), np.empty(0, np.int64)
-    flat, size, order = np.concatenate(ids), np.concatenate(lengths), np.concatenate(order)
-    back = np.argsort(order)
-    return ragged(flat, starts_of(size)[back], size[back]), size[back]
+    got, size = _one_by_one(tok, pieces.take(pa.array(rest)).to_pylist())
+    tokenize = tok.model.tokenize
+    words = [tokenize(w if w.isascii() else w.translate(letters)) for w in pieces.filter(pa.array(plain)).to_pylist()]
+    flat = np.array([t.id for word in words for t in word], np.uint32)
+    lengths = np.zeros(len(plain), np.int64)
+    lengths[plain] = np.fromiter(map(len, words), np.int64, len(words))
+    lengths[rest] = size
+    starts = np.zeros(len(plain), np.int64)
+    starts[plain] = starts_of(lengths[plain])
+    starts[rest] = len(flat) + starts_of(size)
+    return ragged(np.concatenate([flat, got]), starts, lengths), lengths
 
 
 def _split(texts: pa.Array, splitter) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -161,9 +161,7 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
     simple = pc.if_else(pa.array(special), pa.scalar("", pa.large_string()), texts) if special.any() else texts
     in_text, words, distinct = _split(simple, lambda a: pc.ascii_split_whitespace(pc.ascii_lower(a)))
-    apart = pc.replace_substring_regex(
-        pc.replace_substring_regex(distinct, AFTER_WORD, r"\1 \2"), BEFORE_WORD, r"\1 \2")
-    in_word, pieces, distinct = _split(apart, lambda a: pc.split_pattern(a, " "))
+    in_word, pieces, distinct = _split(_cut_at_punctuation(distinct, path), lambda a: pc.split_pattern(a, " "))
     ids, size = _encode_cached(distinct, path)
     word_ids, word_size = ragged(ids, starts_of(size)[pieces], size[pieces]), _sums(size[pieces], in_word)
     out = ragged(word_ids, starts_of(word_size)[words], word_size[words])
