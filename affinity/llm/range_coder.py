@@ -1,22 +1,23 @@
 """An adaptive context-mixing range coder for blocks of token ids (below 2**16).
 
 A block is coded on its own: models start empty (reset), and a checksum
-guards it.  Its ids are cut into ``LANES`` runs that are coded side by side, one
-id of each run a step, so that numpy codes many lanes of many blocks at
-once.  All lanes of a block share and train the block's models:
-
-- order 2 and order 1 predict one id each: the id last seen after the two
-  (one) ids before, with a confidence of 0 (nothing seen yet) to 3;
-- order 0 has the frequencies of all ids seen in the block so far.
-
-The three are mixed with weights that adapt: for each state of confidence
-(order 2, order 1, do they agree) the block counts how often order 2 was
-right, order 1 was, the id was known to order 0, or it was new.  These
-weights split the range; a known id is then coded by its order-0 frequency and
-a new id in 16 plain bits.  Predictions learn after each step; weights and
-frequencies are set anew from their counts at the steps of ``refresh_steps``,
-alike in both directions.  The arithmetic coder is a carry-less range coder
-with 64-bit state and 16-bit output words.
+guards it.  Its ids are cut into lanes (``LANES`` at most, of ``LANE_IDS`` ids at
+least), runs that are coded side by side, one id of each run a step, so that
+numpy codes many lanes of many blocks at once.  All lanes of a block share and
+train the block's models:
+
+- order 2 and order 1 predict the id last seen after the two (one) ids before,
+  with a confidence of 0 (nothing seen yet) to 3;
+- order 0 has the frequencies of all ids seen in the block so far, and a share
+  for an id that wasn't, which then follows in 16 plain bits.
+
+An id's range is its part of the mixture of the three distributions, so it
+grows with each model that expects it.  The mixing weights adapt: for each state
+of confidence (order 2, order 1, do they agree) the block counts which model was
+right.  Predictions learn after each step; weights and frequencies are set anew
+from their counts at the steps of ``refresh_steps``, alike in both directions.
+The arithmetic coder is a carry-less range coder with 64-bit state and 16-bit
+output words.
 """
 
 from __future__ import annotations
@@ -26,22 +27,24 @@ import zlib
 
 import numpy as np
 
-LANES = 256
+LANES = 1024
+LANE_IDS = 512
 ID_BITS = 16
 IDS = 1 << ID_BITS
-SLOT_BITS = 14          # order-0 frequencies add up to 1 << SLOT_BITS
+SLOT_BITS = 16          # order-0 frequencies add up to 1 << SLOT_BITS
 SLOTS = 1 << SLOT_BITS
-EVENT_BITS = 12         # so do the mixing weights of a state
-CONTEXT_BITS = 16       # slots of the order-2 predictions
-ORDER2, ORDER1, KNOWN, NEW = range(4)
+WEIGHT_BITS = 12        # so do the mixing weights of a state
+MIX_BITS = SLOT_BITS + WEIGHT_BITS
+CONTEXT_BITS = 17       # slots of the order-2 predictions
 STATES = 32             # confidence of order 2 (0-3), of order 1 (0-3), same id
-REFRESH = 128
+REFRESH = 64
 
 U = np.uint64
 TOP, BOTTOM = U(1 << 48), U(1 << 32)
 ID_MASK = np.uint32(IDS - 1)
+SLOT_SHIFT, SLOT_MASK = np.uint32(SLOT_BITS), np.uint32(SLOTS - 1)
 ONE, TWO, THREE = (np.uint32(k << ID_BITS) for k in (1, 2, 3))
-MAGIC = b"AFR1"
+MAGIC = b"AFR2"
 HEAD = struct.Struct("<4sIIII")  # magic, documents, ids, words, crc32 of the rest
 
 
@@ -49,6 +52,19 @@ def refresh_steps(steps: int) -> set[int]:
     return {1 << k for k in range(REFRESH.bit_length())} | set(range(REFRESH, steps, REFRESH))
 
 
+class Owners:
+    """The block of every lane, and where its rows of each table begin."""
+
+    def __init__(self, block: np.ndarray):
+        self.block, self.ids, self.states = block, block << ID_BITS, block * STATES
+        self.contexts, self.slots = block << CONTEXT_BITS, block * SLOTS
+
+    def first(self, k: int) -> "Owners":
+        out = object.__new__(Owners)
+        out.__dict__ = {name: rows[:k] for name, rows in self.__dict__.items()}
+        return out
+
+
 class Models:
     """The models of several blocks; block b owns rows b of every table."""
 
@@ -56,69 +72,128 @@ class Models:
         # a prediction is its id, with the confidence above the id's bits
         self.order1 = np.zeros(blocks * IDS, np.uint32)
         self.order2 = np.zeros(blocks << CONTEXT_BITS, np.uint32)
-        self.events = np.ones((blocks * STATES, 4), np.int64)
+        # per state how often order 2, order 1 and neither was right
+        self.right = np.ones((blocks * STATES, 3), np.int64)
         self.counts = np.zeros(blocks * IDS, np.uint32)
-        # of a known id: where its share of the slots begins, with the share above ID_BITS
-        self.share = np.zeros(blocks * IDS, np.uint32)
+        # order 0: where each id's slots begin, above their number; new ids have those from ``room`` on
+        self.slots = np.zeros(blocks * IDS, np.uint32)
+        self.room = np.zeros(blocks, np.uint32)
         self.at_slot = np.zeros(blocks * SLOTS, np.uint16)
-        self.seen_events: list[np.ndarray] = []
+        self.seen_states: list[np.ndarray] = []
         self.seen_ids: list[np.ndarray] = []
         self.set_weights()
 
     def set_weights(self) -> None:
-        total = self.events.sum(1, keepdims=True)
-        room = (1 << EVENT_BITS) - 4
-        freq = self.events * room // total + 1
-        freq[np.arange(len(freq)), freq.argmax(1)] += (1 << EVENT_BITS) - freq.sum(1)
-        self.event_freq = freq.astype(np.uint64).ravel()
-        self.event_low = (np.cumsum(freq, 1) - freq).astype(np.uint64).ravel()
+        right = self.right.copy().reshape(-1, STATES, 3)
+        right[:, :8, 0] = 0                                   # order 2 has seen nothing
+        right.reshape(-1, 4, 4, 2, 3)[:, :, 0, :, 1] = 0      # nor order 1
+        right = right.reshape(-1, 3)
+        room = (1 << WEIGHT_BITS) - 3
+        freq = (right * room // right.sum(1, keepdims=True) + (right > 0)).astype(np.int64)
+        freq[:, 2] += (1 << WEIGHT_BITS) - freq.sum(1)
+        self.weight2, self.weight1, self.weight0 = (freq[:, k].astype(np.uint32) for k in range(3))
+        self.weight2, self.weight1 = self.weight2 << np.uint32(SLOT_BITS), self.weight1 << np.uint32(SLOT_BITS)
 
     def refresh(self) -> None:
         """New weights and frequencies from all that was coded up to here."""
         if not self.seen_ids:
             return
-        found = np.bincount(np.concatenate(self.seen_events), minlength=self.events.size)
-        self.events += 4 * found.reshape(self.events.shape)
+        found = np.bincount(np.concatenate(self.seen_states), minlength=self.right.size)
+        self.right += 4 * found.reshape(self.right.shape)
         self.set_weights()
-        seen = np.concatenate(self.seen_ids)
-        np.add.at(self.counts, seen, np.uint32(1))
-        for b in np.flatnonzero(np.bincount(seen >> ID_BITS)):
+        fresh = np.bincount(np.concatenate(self.seen_ids), minlength=len(self.counts)).astype(np.uint32)
+        for b in range(len(self.room)):
             rows = slice(b * IDS, (b + 1) * IDS)
-            counts = self.counts[rows]
-            ids = np.flatnonzero(counts)
-            if len(ids) > SLOTS // 2:  # the most frequent; the rest are coded as new
-                ids = np.sort(ids[np.argsort(-counts[ids].astype(np.int64), kind="stable")[:SLOTS // 2]])
-            freq = counts[ids].astype(np.int64)
-            freq = freq * (SLOTS - len(ids)) // freq.sum() + 1
-            freq[freq.argmax()] += SLOTS - freq.sum()
-            self.share[rows] = 0
-            self.share[rows][ids] = (freq << ID_BITS) + np.cumsum(freq) - freq
-            self.at_slot[b * SLOTS:(b + 1) * SLOTS] = np.repeat(ids.astype(np.uint16), freq)
-        self.seen_events, self.seen_ids = [], []
-
-    def predict(self, block: np.ndarray, last: np.ndarray, second: np.ndarray):
-        """Slots of both predictions, the predictions and the state."""
-        s1 = (block << ID_BITS) + last
-        s2 = (block << CONTEXT_BITS) + ((second * 40503 + last * 10007) & ((1 << CONTEXT_BITS) - 1))
+            coded = int(fresh[rows].sum())
+            if not coded:
+                continue
+            old = np.count_nonzero(self.counts[rows])
+            self.counts[rows] += fresh[rows]
+            ids = np.flatnonzero(self.counts[rows])
+            counts = self.counts[rows][ids].astype(np.int64)
+            # about as many new ids are ahead as were new of late, halved
+            new = int(np.clip(SLOTS * (len(ids) - old) // (2 * coded), 16, SLOTS // 2))
+            if len(ids) > SLOTS // 4:  # the most frequent; the rest are coded as new
+                most = np.sort(np.argsort(-counts, kind="stable")[:SLOTS // 4])
+                ids, counts = ids[most], counts[most]
+            room = SLOTS - new
+            freq = counts * (room - len(ids)) // counts.sum() + 1
+            freq[freq.argmax()] += room - freq.sum()
+            own = np.zeros(IDS, np.int64)
+            own[ids] = freq
+            self.slots[rows] = (np.cumsum(own) - own) << SLOT_BITS | own
+            self.at_slot[b * SLOTS:b * SLOTS + room] = np.repeat(ids.astype(np.uint16), freq)
+            self.room[b] = room
+        self.seen_states, self.seen_ids = [], []
+
+    def predict(self, own: Owners, last: np.ndarray, second: np.ndarray):
+        """Slots of both predictions, the predictions, the state and the weights
+        of orders 0, 1 and 2."""
+        s1 = own.ids + last
+        s2 = own.contexts + ((second * 40503 + last * 10007) & ((1 << CONTEXT_BITS) - 1))
         p1, p2 = self.order1[s1], self.order2[s2]
-        state = block * STATES + ((p2 >> 16) * 8 + (p1 >> 16) * 2 + ((p1 ^ p2) & ID_MASK == 0))
-        return s1, s2, p1, p2, state
-
-    def learn(self, guess, x: np.ndarray, block: np.ndarray, event: np.ndarray) -> None:
-        s1, s2, p1, p2, state = guess
+        state = own.states + ((p2 >> 16) * 8 + (p1 >> 16) * 2 + ((p1 ^ p2) & ID_MASK == 0))
+        return s1, s2, p1, p2, state, self.weight0[state], self.weight1[state], self.weight2[state]
+
+    def part(self, guess, x: np.ndarray, place: np.ndarray):
+        """Where the mixture's share of each id begins, and that share; 0 if no
+        model knows it.  ``place`` is the id's among all blocks' ids."""
+        _, _, p1, p2, _, w0, w1, w2 = guess
+        id1, id2 = p1 & ID_MASK, p2 & ID_MASK
+        own = self.slots[place]
+        x = x.astype(np.uint32)
+        return w0 * (own >> SLOT_SHIFT) + w1 * (id1 < x) + w2 * (id2 < x), w0 * (own & SLOT_MASK) + w1 * (id1 == x) + w2 * (id2 == x)
+
+    def new_part(self, guess, new: np.ndarray, block: np.ndarray):
+        """The same of the share for new ids, in the lanes ``new``."""
+        w0, w1, w2 = (w[new] for w in guess[5:])
+        low = self.room[block[new]]
+        return w0 * low + w1 + w2, w0 * (np.uint32(SLOTS) - low)
+
+    def find(self, guess, v: np.ndarray, own_rows: Owners):
+        """The id whose share holds each of ``v``, whether it is a new one (then the
+        id is none), where its share begins, and the share."""
+        _, _, p1, p2, _, w0, w1, w2 = guess
+        id1, id2 = p1 & ID_MASK, p2 & ID_MASK
+        base = own_rows.ids
+        own1, own2 = self.slots[base + id1], self.slots[base + id2]
+        low1 = w0 * (own1 >> SLOT_SHIFT) + w2 * (id2 < id1)
+        low2 = w0 * (own2 >> SLOT_SHIFT) + w1 * (id1 < id2)
+        same = id1 == id2
+        high1 = low1 + w0 * (own1 & SLOT_MASK) + w1 + w2 * same
+        high2 = low2 + w0 * (own2 & SLOT_MASK) + w2 + w1 * same
+        # less what the predictions add below v, it is order 0 alone
+        point = w1 * (v >= high1) + w2 * (v >= high2)
+        slot = (v - point) // w0
+        x = self.at_slot[own_rows.slots + np.minimum(slot, SLOT_MASK)].astype(np.int64)
+        own = self.slots[base + x]
+        low, share = w0 * (own >> SLOT_SHIFT) + point, w0 * (own & SLOT_MASK)
+        new = slot >= self.room[own_rows.block]
+        for one, its_low, its_high in ((id1, low1, high1), (id2, low2, high2)):
+            inside = (v >= its_low) & (v < its_high)
+            np.copyto(x, one, where=inside)
+            np.copyto(low, its_low, where=inside)
+            np.copyto(share, its_high - its_low, where=inside)
+            new &= ~inside
+        return x, new, low, share
+
+    def learn(self, guess, x: np.ndarray, place: np.ndarray) -> None:
+        s1, s2, p1, p2, state = guess[:5]
         x32 = x.astype(np.uint32)
+        was = []
         for table, slot, p in ((self.order1, s1, p1), (self.order2, s2, p2)):
             right = (p ^ x32) & ID_MASK == 0
             # right: one more, to 3 (a prediction of nothing becomes one of x);
             # wrong: one less, or else replaced
             table[slot] = np.where(right, np.minimum(p + ONE, x32 | THREE), np.where(p >= TWO, p - ONE, x32 | ONE))
-        self.seen_events.append(state * 4 + event)
-        self.seen_ids.append((block << ID_BITS) + x)
+            was.append(right & (p >= ONE))
+        self.seen_states.append(state * 3 + np.where(was[1], 0, 2 - was[0]))
+        self.seen_ids.append(place)
 
 
 def lane_table(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start in its block and length of every lane, shape (blocks, LANES)."""
-    step = -(-sizes // LANES)
+    step = np.maximum(LANE_IDS, -(-sizes // LANES))
     start = np.minimum(np.arange(LANES) * step[:, None], sizes[:, None])
     return start, np.minimum(start + step[:, None], sizes[:, None]) - start
 
@@ -136,7 +211,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     ids = np.concatenate([*blocks, np.zeros(1, np.int64)]).astype(np.int64)
     first = (np.cumsum(sizes) - sizes)[:, None] + start
     order, busy = _active(length.ravel())
-    block_of, at = order // LANES, first.ravel()[order]
+    owners_of, at = Owners(order // LANES), first.ravel()[order]
     n = len(order)
     low, rng = np.zeros(n, np.uint64), np.full(n, ~U(0))
     last, second = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -168,22 +243,18 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         if t in refresh:
             models.refresh()
         k = ends[t]
-        who, block = everyone[:k], block_of[:k]
+        who, own = everyone[:k], owners_of.first(k)
         x = ids[at[:k] + t]
-        guess = models.predict(block, last[:k], second[:k])
-        s1, s2, p1, p2, state = guess
-        share = models.share[(block << ID_BITS) + x]
-        x32 = x.astype(np.uint32)
-        event = np.where(((p2 ^ x32) & ID_MASK == 0) & (p2 >= ONE), ORDER2, np.where(
-            ((p1 ^ x32) & ID_MASK == 0) & (p1 >= ONE), ORDER1, np.where(share > 0, KNOWN, NEW)))
-        slot = state * 4 + event
-        narrow(who, models.event_low[slot], models.event_freq[slot], U(EVENT_BITS))
-        plain = np.flatnonzero(event >= KNOWN)
-        if len(plain):
-            new, part = event[plain] == NEW, share[plain].astype(np.uint64)
-            narrow(plain, np.where(new, x[plain].astype(np.uint64), part & U(IDS - 1)),
-                   np.where(new, U(1), part >> U(ID_BITS)), np.where(new, U(ID_BITS), U(SLOT_BITS)))
-        models.learn(guess, x, block, event)
+        guess = models.predict(own, last[:k], second[:k])
+        place = own.ids + x
+        low_of, share = models.part(guess, x, place)
+        new = np.flatnonzero(share == 0)
+        if len(new):
+            low_of[new], share[new] = models.new_part(guess, new, own.block)
+        narrow(who, low_of.astype(np.uint64), share.astype(np.uint64), U(MIX_BITS))
+        if len(new):
+            narrow(new, x[new].astype(np.uint64), np.ones(len(new), np.uint64), U(ID_BITS))
+        models.learn(guess, x, place)
         second[:k], last[:k] = last[:k], x
     used = everyone[busy > 0]
     end = (low[used] + BOTTOM - U(1)) & ~(BOTTOM - U(1))  # two words that lie in the last range
@@ -207,7 +278,7 @@ def decode_blocks(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     out = np.zeros(int(sizes.sum()), np.int64)
     first = (np.cumsum(sizes) - sizes)[:, None] + start
     order, busy = _active(length.ravel())
-    block_of, at = order // LANES, first.ravel()[order]
+    owners_of, at = Owners(order // LANES), first.ravel()[order]
     n = len(order)
     pos = (np.cumsum(per_lane) - per_lane.ravel())[order]
     stop = pos + per_lane.ravel()[order]
@@ -243,28 +314,21 @@ def decode_blocks(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
         if t in refresh:
             models.refresh()
         k = ends[t]
-        who, block = everyone[:k], block_of[:k]
-        guess = models.predict(block, last[:k], second[:k])
-        s1, s2, p1, p2, state = guess
-        r = rng[:k] >> U(EVENT_BITS)
-        v = np.minimum((code[:k] - low[:k]) // r, U((1 << EVENT_BITS) - 1))
-        base = state * 4
-        event = ((v >= models.event_low[base + 1]).astype(np.int64) + (v >= models.event_low[base + 2])
-                 + (v >= models.event_low[base + 3]))
-        slot = base + event
-        narrow(who, models.event_low[slot], models.event_freq[slot], r)
-        x = (np.where(event == ORDER2, p2, p1) & ID_MASK).astype(np.int64)
-        plain = np.flatnonzero(event >= KNOWN)
-        if len(plain):
-            new, b = event[plain] == NEW, block[plain]
-            r = rng[plain] >> np.where(new, U(ID_BITS), U(SLOT_BITS))
-            v = np.minimum((code[plain] - low[plain]) // r, np.where(new, U(IDS - 1), U(SLOTS - 1)))
-            got = np.where(new, v.astype(np.int64), models.at_slot[b * SLOTS + np.minimum(v, U(SLOTS - 1)).astype(np.int64)])
-            part = models.share[(b << ID_BITS) + got].astype(np.uint64)
-            narrow(plain, np.where(new, v, part & U(IDS - 1)), np.where(new, U(1), part >> U(ID_BITS)), r)
-            x[plain] = got
+        who, own = everyone[:k], owners_of.first(k)
+        guess = models.predict(own, last[:k], second[:k])
+        r = rng[:k] >> U(MIX_BITS)
+        x, is_new, low_of, share = models.find(guess, np.minimum((code[:k] - low[:k]) // r, U((1 << MIX_BITS) - 1)).astype(np.uint32), own)
+        new = np.flatnonzero(is_new)
+        if len(new):
+            low_of[new], share[new] = models.new_part(guess, new, own.block)
+        narrow(who, low_of.astype(np.uint64), share.astype(np.uint64), r)
+        if len(new):
+            r = rng[new] >> U(ID_BITS)
+            v = np.minimum((code[new] - low[new]) // r, U(IDS - 1))
+            narrow(new, v, np.ones(len(new), np.uint64), r)
+            x[new] = v.astype(np.int64)
         out[at[:k] + t] = x
-        models.learn(guess, x, block, event)
+        models.learn(guess, x, own.ids + x)
         second[:k], last[:k] = last[:k], x
     return np.split(out, np.cumsum(sizes)[:-1])
 

@@ -34,8 +34,8 @@ from affinity.llm import range_coder, tokens
 from affinity.session import checkpoint_root, with_package
 
 END_ID = 2
-BLOCK_IDS = 131_072
-BLOCKS_AT_ONCE = 32
+BLOCK_IDS = 524_288
+BLOCKS_AT_ONCE = 8
 NO_ID = -(1 << 63)
 
 BLOCK_SCHEMA = pa.schema([("shard", pa.int32()), ("number", pa.int32()), ("first", pa.int64()),
@@ -93,7 +93,7 @@ def encoded_blocks(docs: DataFrame, path: str, end_id: int = END_ID,
             yield from flush(held)
 
     ordered = (docs.select(F.col("doc_id").cast("long"), "text")
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")))
+               .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text")))
     return with_package(ordered).select("doc_id", "text").mapInArrow(build, BLOCK_DDL)
 
 
