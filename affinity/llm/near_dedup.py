@@ -17,19 +17,21 @@ branch on.
 
 The work is done in rounds, each confirmed on full sets:
 
-1. In every node of the first level the member most like the others is the
-   pivot, and members that resemble it make pairs with it.  That is one pair per
-   member and node, and resolves groups of copies, however large.
+1. In every node of the first level some members are pivots (the one most like
+   the others in small nodes, about PIVOTS in large ones), and members that
+   resemble them make pairs with the nearest.  That is at most two pairs per
+   member and node, and resolves groups of copies, and most of a family of near
+   copies, however large.
 2. With the components of round 1 known, only pairs of different components can
    matter.  Nodes that lie in one component are done.  Small nodes compare all
    pairs of different components, and each member keeps its nearest one.  In
-   large nodes with few members outside the main component, and in all that are
-   left at the last level, these outsiders are compared with every member, so
-   many at a time; other large nodes branch to the next of ``LEVELS``.  So no
-   pair is left out by a cap.
+   large nodes in which that is little work (``MEETINGS``), and in all that are
+   left at the last level, the members outside the main component are compared
+   with every member, in tiles of ``BLOCK`` by ``BLOCK``; other large nodes branch
+   to the next of ``LEVELS``.  So no pair is left out by a cap.
 3. With the components of round 2, all pairs of different components that are
    left are candidates.  Only documents with a nearest one can have any, so the
-   nodes keep these alone, and their rows carry the ``BOTTOM`` least hashes of
+   nodes keep these alone, and they are compared by the ``BOTTOM`` least hashes of
    the set besides the sketch.  These tell pairs just under the threshold from
    links: exactly for sets that are no larger, else within four standard
    deviations.  So a group of copies and many texts that almost belong to it
@@ -43,7 +45,7 @@ Equal sets are one representative (the smallest doc_id) before all this, by a
 once in 100,000 times; the trees miss it about once in 1,000 times (RECALL).
 
 Skew: a node of any size is only ever counted (pre-aggregated), branched row by
-row, or joined with its pivot (salted); only nodes of up to ``small`` members
+row, or joined with its pivots (salted); only nodes of up to ``small`` members
 are brought together in a task.
 
 Defined results: a null or empty text, or one without words, has an empty set,
@@ -60,6 +62,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -69,8 +72,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm import tokens
-from affinity.llm.common import salt_of, salted
-from affinity.operators.components import connected_components
+from affinity.llm.common import salt_of, salted, spread
+from affinity.llm.components import connected_components
 from affinity.session import materialize, with_package
 
 WIDTH = 3
@@ -80,9 +83,12 @@ COORDINATES = 128
 RECALL = 0.999
 SMALL = 256
 #: Depths at which nodes are looked at.
-LEVELS = (1, 2, 4, 7)
-#: Members outside a node's main component that are compared with all at once.
-OUTSIDERS = 64
+LEVELS = (1, 2, 5)
+#: Large nodes in which so few sketches meet don't branch on: all members are
+#: compared with those outside the main component, in tiles.
+MEETINGS = 1 << 21
+#: Members that are compared with as many outsiders at once.
+BLOCK = 64
 SALTS = 16
 #: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
@@ -90,7 +96,9 @@ BROADCAST_IDS = 4_000_000
 #: threshold are no candidates (about 1 in 100,000 at the threshold); pivots,
 #: which lose nothing, take the nearer ones only.
 DEVIATIONS, PIVOT_DEVIATIONS = 5, 3.2
-PIVOT_SAMPLE = 8
+PIVOTS = 16
+#: Text or rows that are looked at at once.
+BATCH_BYTES = 2 << 20
 #: Least hashes of a set that rows carry in the last round.
 BOTTOM = 512
 
@@ -118,8 +126,8 @@ def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.nd
     h = hashes[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.uint64)
     starts = tokens.starts_of(counts)
     full = np.zeros(len(h), np.uint64)
-    for k in range(width):
-        full[:len(h) - k] += h[k:] * (MIX[0] + U(2 * k) * MIX[1])
+    for k, m in enumerate(MIX[0] + np.arange(0, 2 * width, 2, dtype=np.uint64) * MIX[1]):
+        full[:len(h) - k] += h[k:] * m
     full = mixed(full)
     sets, sizes = [], np.zeros(len(counts), np.int64)
     for i, (lo, n) in enumerate(zip(starts.tolist(), counts.tolist())):
@@ -187,7 +195,7 @@ def described(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                         ("d2", pa.int64()), ("signature", pa.binary())])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches, 8 << 20):
+        for b in tokens.small_batches(batches, BATCH_BYTES):
             flat, sizes = shingle_sets(b.column(1), width)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(sizes), *digests(flat, sizes), _binary(signatures(flat, sizes))],
@@ -213,7 +221,7 @@ def full_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, width: int = WID
     of its doc_id, and those that have other texts are told by the digest."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches, 8 << 20):
+        for b in tokens.small_batches(batches, BATCH_BYTES):
             flat, sizes = shingle_sets(b.column(1), width)
             ends = np.cumsum(sizes).tolist()
             items = pa.array([flat[e - n:e][:least].tobytes() for e, n in zip(ends, sizes.tolist())], pa.binary())
@@ -263,7 +271,7 @@ def branched(reps: DataFrame, trees: int, threshold: float = THRESHOLD) -> DataF
     ways on from there, each the paths at the other levels."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches, 8 << 20):
+        for b in tokens.small_batches(batches, BATCH_BYTES):
             values = _matrix(b.column(1), np.uint32, COORDINATES)
 
             def child(path: np.ndarray, at: np.ndarray, where: np.ndarray) -> np.ndarray:
@@ -433,81 +441,85 @@ def small_node_pairs(nodes: DataFrame, pick: int, threshold: float = THRESHOLD)
 
 
 def pivot_pairs(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Candidate pairs of larger nodes' members with their pivot: of all
-    members, the one most like a random few of them."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches, 1 << 20):
-            sketch = _matrix(b.column(3), np.uint8, COORDINATES)
-            few = [np.frombuffer(b"".join(x), np.uint8).reshape(-1, COORDINATES) for x in b.column(4).to_pylist()]
-            like = [float(_agreement(f, s).mean()) for f, s in zip(few, sketch)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), pa.array(like, pa.float64())],
-                                             names=["path", "id", "n", "sketch", "alike"])
+    """Candidate pairs of larger nodes' members with their two nearest pivots:
+    about PIVOTS of the members, drawn by hash.  Two, so that members tie the
+    pivots of a family to each other."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            one, other = (_matrix(b.column(k), np.uint8, COORDINATES) for k in (2, 5))
-            keep = _alike(b.column(1).to_numpy(), b.column(4).to_numpy(), _agreement(one, other), threshold, PIVOT_DEVIATIONS)
-            yield _pairs([b.column(0).to_numpy()[keep]], [b.column(3).to_numpy()[keep]])
+        for b in tokens.small_batches(batches, BATCH_BYTES):
+            ids, n = (b.column(k).to_numpy() for k in (0, 1))
+            sketch = _matrix(b.column(2), np.uint8, COORDINATES)
+            cuts, p_ids, p_n, _, p_sketch, _ = _lists(b.column(3))
+            a, c = [], []
+            for r, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+                same = _agreement(p_sketch[lo:hi], sketch[r])
+                hit = np.flatnonzero(_alike(p_n[lo:hi], n[r], same, threshold, PIVOT_DEVIATIONS) & (p_ids[lo:hi] != ids[r]))
+                hit = lo + hit[np.argsort(-same[hit], kind="stable")[:2]]
+                a.append(np.full(len(hit), ids[r]))
+                c.append(p_ids[hit])
+            yield _pairs(a, c)
 
     large = nodes.filter(F.col("size") > SMALL).withColumn("_salt", salt_of("id", SALTS))
-    chosen = F.pmod(F.xxhash64("path", "id"), F.col("size")) < PIVOT_SAMPLE
-    few = large.filter(chosen).groupBy("path").agg(F.collect_list("sketch").alias("few"))
-    scored = (with_package(large).join(salted(few, SALTS), ["path", "_salt"])
-              .select("path", "id", "n", "sketch", "few").mapInArrow(score, "path long, id long, n long, sketch binary, alike double"))
-    pivots = (scored.groupBy("path").agg(F.max(F.struct("alike", "id", "n", "sketch")).alias("p"))
-              .select("path", F.col("p.id").alias("p_id"), F.col("p.n").alias("p_n"), F.col("p.sketch").alias("p_sketch")))
-    return (large.join(salted(pivots, SALTS), ["path", "_salt"]).filter("id <> p_id")
-            .select("id", "n", "sketch", "p_id", "p_n", "p_sketch").mapInArrow(near, PAIR_DDL))
+    chosen = F.pmod(F.xxhash64("path", "id"), F.col("size")) < PIVOTS
+    few = large.filter(chosen).groupBy("path").agg(F.collect_list(F.struct("id", "n", F.col("id").alias("comp"), "sketch")).alias("few"))
+    return (with_package(large).join(salted(few, SALTS), ["path", "_salt"]).select("id", "n", "sketch", "few")
+            .mapInArrow(near, PAIR_DDL))
+
+
+def _lists(column: pa.Array) -> list:
+    """Where each list of (id, n, component, sketch, least hashes) begins and the
+    last ends; then each field of all (no hashes if there are none)."""
+    flat = column.flatten()
+    return [column.offsets.to_numpy() - column.offsets[0].as_py(), *(flat.field(k).to_numpy() for k in range(3)),
+            _matrix(flat.field(3), np.uint8, COORDINATES), flat.field(4) if flat.type.num_fields > 4 else None]
 
 
-def outsider_pairs(nodes: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
+def outsider_pairs(nodes: DataFrame, marks: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
     """Candidate pairs of members outside a node's main component with all
     members of other components that the least hashes allow; or of each member
-    with its nearest outsider, and of each outsider with its nearest member of
-    a batch.  The outsiders are dealt into lists of about OUTSIDERS, and every
-    member meets every list of its node."""
+    and each outsider with its nearest.  Members are dealt into blocks of about
+    BLOCK, outsiders again into lists, and every block meets every list of its
+    node."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches, 4 << 20):
-            ids, n, comp = (b.column(k).to_numpy() for k in (0, 1, 2))
-            sketch = _matrix(b.column(3), np.uint8, COORDINATES)
-            lists = b.column(4)
-            cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            flat = lists.flatten()
-            o_ids, o_n, o_comp = (flat.field(k).to_numpy() for k in range(3))
-            o_sketch = _matrix(flat.field(3), np.uint8, COORDINATES)
-            o_least = flat.field(4) if pick == ALL else None
+        for b in tokens.small_batches(batches, BATCH_BYTES):
+            sides = [_lists(b.column(k)) for k in range(2)]
             a, c = [], []
-            best = np.zeros(len(o_ids), np.int64)
-            for r, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                few = slice(lo, hi)
-                same = _agreement(o_sketch[few], sketch[r])
-                hit = np.flatnonzero(_alike(o_n[few], n[r], same, threshold) & (o_comp[few] != comp[r]))
-                if not len(hit):
+            for r in range(b.num_rows):
+                (ids, n, comp, sketch, least), (o_ids, o_n, o_comp, o_sketch, o_least) = (
+                    [x[cuts[r]:cuts[r + 1]] for x in rest[:4]] + [(rest[4], cuts[r])] for cuts, *rest in sides)
+                same = np.stack([_agreement(o_sketch, one) for one in sketch])
+                good = _alike(n[:, None], o_n[None], same, threshold) & (comp[:, None] != o_comp[None])
+                if not good.any():
                     continue
-                if pick == ALL:
-                    hit = hit[may_link(_hashes(b.column(5), (r,))[0], n[r], _hashes(o_least, lo + hit), o_n[lo + hit], threshold)]
+                if pick == NEAREST:
+                    found = np.where(good, same, -1)
+                    i, j = np.flatnonzero(good.any(1)), np.flatnonzero(good.any(0))
+                    i, j = np.concatenate([i, found.argmax(0)[j]]), np.concatenate([found.argmax(1)[i], j])
                 else:
-                    best[lo + hit] = same[hit]
-                    hit = hit[[same[hit].argmax()]]
-                a.append(np.full(len(hit), ids[r]))
-                c.append(o_ids[few][hit])
-            if pick == NEAREST and best.any():
-                # of the rows in which an outsider is hit, the one most like it
-                hits = np.flatnonzero(best)
-                order = hits[np.lexsort((-best[hits], o_ids[hits]))]
-                order = order[np.r_[True, o_ids[order][1:] != o_ids[order][:-1]]]
-                a.append(ids[np.searchsorted(cuts, order, side="right") - 1])
-                c.append(o_ids[order])
+                    column, first = o_least
+                    theirs = dict(zip(np.flatnonzero(good.any(0)).tolist(), _hashes(column, first + np.flatnonzero(good.any(0)))))
+                    for x in np.flatnonzero(good.any(1)).tolist():
+                        y = np.flatnonzero(good[x])
+                        own = _hashes(least[0], (least[1] + x,))[0]
+                        good[x, y] = may_link(own, n[x], [theirs[k] for k in y.tolist()], o_n[y], threshold)
+                    i, j = np.nonzero(good)
+                a.append(ids[i])
+                c.append(o_ids[j])
             yield _pairs(a, c)
 
-    least = ["least"] if pick == ALL else []
-    lists = (nodes.filter("comp <> main")
-             .withColumn("_list", F.pmod(F.xxhash64("id"), F.ceil(F.col("outsiders") / OUTSIDERS)))
-             .groupBy("path", "_list").agg(F.collect_list(F.struct("id", "n", "comp", "sketch", *least)).alias("few")))
-    return (with_package(nodes).withColumn("_salt", salt_of("id", SALTS)).join(salted(lists, SALTS), ["path", "_salt"])
-            .select("id", "n", "comp", "sketch", "few", *least).mapInArrow(near, PAIR_DDL))
+    def dealt(rows: DataFrame, number: str, of: Column) -> DataFrame:
+        held = F.struct("id", "n", "comp", "sketch", *(["least"] if pick == ALL else []))
+        return (rows.withColumn(number, F.pmod(F.xxhash64("id"), F.ceil(of / BLOCK))).groupBy("path", number)
+                .agg(F.collect_list(held).alias(f"{number}s"), F.first("size").alias("size")))
+
+    rows = nodes.join(marks, "id")
+    # blocks of a node are dealt into parts, and each part has all its lists
+    parts = F.ceil(F.col("size") / (BLOCK * BLOCK))
+    blocks = dealt(rows, "block", F.col("size")).withColumn("_part", F.pmod("block", parts)).drop("size")
+    lists = dealt(rows.filter("comp <> main"), "list", F.col("outsiders")).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("size")
+    return with_package(blocks).join(lists, ["path", "_part"]).select("blocks", "lists").mapInArrow(near, PAIR_DDL)
 
 
 def small(ids: DataFrame) -> DataFrame:
@@ -545,43 +557,36 @@ def confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, name: str, wid
     return materialize(checked.mapInArrow(check, PAIR_DDL).distinct(), f"{name}-links")
 
 
-def cross_pairs(level: DataFrame, parts: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
+def cross_pairs(level: DataFrame, marks: DataFrame, parts: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
     """Candidate pairs of different components, from all levels: of each
-    member with the nearest in a node, or all."""
+    member with the nearest in a node, or all.  Rows of nodes are ids and paths;
+    ``marks`` (id, n, sketch, and least hashes for all pairs) are joined with those
+    that are compared, the nodes of all levels together."""
     placed = level.join(parts.withColumnRenamed("component", "comp"), "id", "left").withColumn(
         "comp", F.coalesce("comp", "id"))
-    found = None
+    small_nodes, listed = [], []
     for step in range(len(LEVELS)):
-        pairs = small_node_pairs(placed, pick, threshold)
-        found = pairs if found is None else found.unionByName(pairs)
-        large = placed.filter(F.col("size") > SMALL)
-        parted = (large.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
+        # nodes that lie in one component are done
+        parted = (placed.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
                   .groupBy("path").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("total"))
                   .select("path", F.col("m.comp").alias("main"), (F.col("total") - F.col("m.k")).alias("outsiders"))
                   .filter("outsiders > 0"))
-        large = materialize(large.join(parted, "path"), "large")
-        if large.isEmpty():
-            break
+        live = materialize(placed.join(parted, "path"), "live")
+        large = live.filter(F.col("size") > SMALL)
         last = step == len(LEVELS) - 1
-        few = F.lit(last) | (F.col("outsiders") <= OUTSIDERS)
-        found = found.unionByName(outsider_pairs(large.filter(few), pick, threshold))
-        deeper = (large.filter(~few).drop("size", "main", "outsiders")
+        few = F.lit(last) | (F.col("size") * F.col("outsiders") <= MEETINGS)
+        small_nodes.append(live.filter(F.col("size") <= SMALL).select("path", "id", "comp", "size"))
+        listed.append(large.filter(few).select("path", "id", "comp", "size", "main", "outsiders"))
+        deeper = large.filter(~few)
+        if last or deeper.isEmpty():
+            break
+        deeper = (deeper.drop("size", "main", "outsiders")
                   .withColumn("path", F.explode(F.array_distinct(F.transform("tail", lambda way: way[0]))))
                   .withColumn("tail", F.transform(F.filter("tail", lambda way: way[0] == F.col("path")),
                                                   lambda way: F.slice(way, 2, len(LEVELS)))))
-        if last or deeper.isEmpty():
-            break
         placed = materialize(shared_nodes(deeper), "nodes")
-    return found
-
-
-def near_nodes(docs: DataFrame, reps: DataFrame, level: DataFrame, pairs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The nodes with only the members that ``pairs`` name, which carry the
-    least hashes of their sets; stored."""
-    ids = small(either_end(pairs))
-    least = full_sets(docs, reps, ids, width, BOTTOM)
-    kept = level.drop("size").join(ids, "id", "left_semi")
-    return materialize(shared_nodes(kept).join(least.withColumnRenamed("items", "least"), "id"), "near-nodes")
+    return (small_node_pairs(reduce(DataFrame.unionByName, small_nodes).join(marks, "id"), pick, threshold)
+            .unionByName(outsider_pairs(reduce(DataFrame.unionByName, listed), marks, pick, threshold)))
 
 
 def verdicts(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
@@ -589,14 +594,19 @@ def verdicts(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
     """(doc_id, text_key, n_shingles, component_id, kept), one row per input row."""
     rows = materialize(described(docs, width), "described")
     reps = materialize(represented(rows), "representatives")
-    level = materialize(shared_nodes(branched(reps, trees or trees_for(threshold), threshold)).join(sketches(reps), "id"), "nodes")
-    pairs = materialize(small_node_pairs(level, PIVOT, threshold).unionByName(pivot_pairs(level, threshold)).distinct(), "pivot-pairs")
+    level = materialize(shared_nodes(branched(reps, trees or trees_for(threshold), threshold)), "nodes")
+    marks = materialize(sketches(reps), "sketches")
+    marked = level.select("path", "id", "size").join(marks, "id")
+    pairs = materialize(small_node_pairs(marked, PIVOT, threshold).unionByName(pivot_pairs(marked, threshold)).distinct(), "pivot-pairs")
     links = confirmed(docs, reps, pairs, "pivot", width, threshold)
     parts = materialize(connected_components(links), "parts")
     for name, pick in (("nearest", NEAREST), ("cross", ALL)):
         if pick == ALL:
-            level = near_nodes(docs, reps, level, pairs, width)
-        pairs = materialize(cross_pairs(level, parts, pick, threshold).distinct(), f"{name}-pairs")
+            ids = small(either_end(pairs))
+            level = materialize(shared_nodes(level.drop("size").join(ids, "id", "left_semi")), "near-nodes")
+            least = full_sets(docs, reps, ids, width, BOTTOM).withColumnRenamed("items", "least")
+            marks = materialize(marks.join(least, "id"), "least-hashes")
+        pairs = materialize(cross_pairs(level, marks, parts, pick, threshold).distinct(), f"{name}-pairs")
         more = confirmed(docs, reps, pairs, name, width, threshold)
         if not more.isEmpty():
             links = links.unionByName(more)
@@ -610,7 +620,7 @@ def verdicts(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
               .join(salted(roots, SALTS), ["component", "_salt"]).select("d1", "d2", "root"))
     copied = (ids.filter("copies > 1").join(parts, "id", "left_anti")
               .select("d1", "d2", F.col("doc_id").alias("root")))
-    joined = (rows.drop("signature").withColumn("_salt", salt_of("doc_id", SALTS))
+    joined = (rows.drop("signature").withColumn("_salt", spread(SALTS))
               .join(salted(linked.unionByName(copied), SALTS), ["d1", "d2", "_salt"], "left"))
     component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
