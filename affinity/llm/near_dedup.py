@@ -89,6 +89,8 @@ LEVELS = (1, 2, 5)
 MEETINGS = 1 << 21
 #: Members that are compared with as many outsiders at once.
 BLOCK = 64
+#: Pairs that a task holds before it keeps the nearest of each document only.
+HELD_PAIRS = 1 << 19
 SALTS = 16
 #: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
@@ -466,6 +468,17 @@ def pivot_pairs(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .mapInArrow(near, PAIR_DDL))
 
 
+def _nearest(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs (one, other, agreement) the best of each one and of each other."""
+    one, other, same = (np.concatenate(x) for x in zip(*found))
+    kept = []
+    for ids in (one, other):
+        order = np.lexsort((-same, ids))
+        kept.append(order[np.r_[True, ids[order][1:] != ids[order][:-1]]])
+    kept = np.unique(np.concatenate(kept))
+    return one[kept], other[kept], same[kept]
+
+
 def _lists(column: pa.Array) -> list:
     """Where each list of (id, n, component, sketch, least hashes) begins and the
     last ends; then each field of all (no hashes if there are none)."""
@@ -477,14 +490,14 @@ def _lists(column: pa.Array) -> list:
 def outsider_pairs(nodes: DataFrame, marks: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
     """Candidate pairs of members outside a node's main component with all
     members of other components that the least hashes allow; or of each member
-    and each outsider with its nearest.  Members are dealt into blocks of about
+    and each outsider with its nearest that a task meets.  Members are dealt into blocks of about
     BLOCK, outsiders again into lists, and every block meets every list of its
     node."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for b in tokens.small_batches(batches, BATCH_BYTES):
             sides = [_lists(b.column(k)) for k in range(2)]
-            a, c = [], []
             for r in range(b.num_rows):
                 (ids, n, comp, sketch, least), (o_ids, o_n, o_comp, o_sketch, o_least) = (
                     [x[cuts[r]:cuts[r + 1]] for x in rest[:4]] + [(rest[4], cuts[r])] for cuts, *rest in sides)
@@ -493,9 +506,9 @@ def outsider_pairs(nodes: DataFrame, marks: DataFrame, pick: int, threshold: flo
                 if not good.any():
                     continue
                 if pick == NEAREST:
-                    found = np.where(good, same, -1)
+                    like = np.where(good, same, -1)
                     i, j = np.flatnonzero(good.any(1)), np.flatnonzero(good.any(0))
-                    i, j = np.concatenate([i, found.argmax(0)[j]]), np.concatenate([found.argmax(1)[i], j])
+                    i, j = np.concatenate([i, like.argmax(0)[j]]), np.concatenate([like.argmax(1)[i], j])
                 else:
                     column, first = o_least
                     theirs = dict(zip(np.flatnonzero(good.any(0)).tolist(), _hashes(column, first + np.flatnonzero(good.any(0)))))
@@ -504,9 +517,14 @@ def outsider_pairs(nodes: DataFrame, marks: DataFrame, pick: int, threshold: flo
                         own = _hashes(least[0], (least[1] + x,))[0]
                         good[x, y] = may_link(own, n[x], [theirs[k] for k in y.tolist()], o_n[y], threshold)
                     i, j = np.nonzero(good)
-                a.append(ids[i])
-                c.append(o_ids[j])
-            yield _pairs(a, c)
+                found.append((ids[i], o_ids[j], same[i, j]))
+            if pick == ALL:
+                yield _pairs(*([f[k] for f in found] for k in range(2)))
+                found = []
+            elif sum(len(f[0]) for f in found) > HELD_PAIRS:
+                found = [_nearest(found)]
+        if found:
+            yield _pairs(*([x] for x in _nearest(found)[:2]))
 
     def dealt(rows: DataFrame, number: str, of: Column) -> DataFrame:
         held = F.struct("id", "n", "comp", "sketch", *(["least"] if pick == ALL else []))
