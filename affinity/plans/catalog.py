@@ -391,11 +391,12 @@ def q_doc_sets(spark, sf):
 
 
 def _doc_truth(m):
-    return prefix_join.jaccard_at_least(m, DOC_THRESHOLD)
+    # the sets are stored and nearly all shingles are in one of them: counting all overlaps is less work
+    return sets.jaccard_pairs(m, DOC_THRESHOLD)
 
 
 def q_doc_similar_pairs(spark, sf):
-    return _jaccard_out(_doc_truth(doc_members(spark, sf)))
+    return _jaccard_out(prefix_join.jaccard_at_least(doc_members(spark, sf), DOC_THRESHOLD))
 
 
 def doc_sigs(m, k=K):
