@@ -290,3 +290,32 @@ def test_profiles():
         assert all(b * r == p["k_values"][-1] for b, r in p["lsh_configs"])
     with pytest.raises(ValueError):
         named_profile("none")
+
+
+def test_signatures_move_sets_and_not_hashes(spark, monkeypatch):
+    """No row per (element, hash), cells of large sets, sets of nulls."""
+    monkeypatch.setattr(minhash, "CHUNK", 16)
+    fam = {1: set(range(100)), 2: {3, 2**40, -5}, 3: {7}}
+    m = frame(spark, fam).unionByName(spark.createDataFrame([(4, None)], "entity long, element long"))
+    got = minhash.signatures_long(m, 20)
+    coefficients = minhash.hash_family(20)
+    want = {(e, h): min((a * (x % minhash.MERSENNE_P) + b) % minhash.MERSENNE_P for x in s)
+            for e, s in fam.items() for h, (a, b) in enumerate(coefficients)}
+    rows = got.collect()
+    assert {(r.entity, r.h): r.v for r in rows} == want | {(4, h): None for h in range(20)} and len(rows) == 80
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "sequence(0, 19" not in plan
+
+
+def test_estimates_of_all_overlaps_carry_no_signatures(spark):
+    fam = families(8, 40)
+    m = frame(spark, fam)
+    sigs = minhash.signature_arrays(minhash.signatures_long(m, 130))
+    exact = sets.jaccard_pairs(m)
+    family = minhash.hash_family(130)
+    by_join, by_minima = (minhash.estimate_pairs(exact, sigs, 130, f) for f in (None, family))
+    assert rows_of(by_join, *by_join.columns) == rows_of(by_minima, *by_join.columns)
+    for k in ([5, 60, 61, 130], [1]):
+        assert minhash.error_by_k(exact, sigs, F.lit(40), k).collect() == minhash.error_by_k(exact, sigs, F.lit(40), k, family).collect()
+    plan = by_minima._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan
