@@ -319,3 +319,18 @@ def test_estimates_of_all_overlaps_carry_no_signatures(spark):
         assert minhash.error_by_k(exact, sigs, F.lit(40), k).collect() == minhash.error_by_k(exact, sigs, F.lit(40), k, family).collect()
     plan = by_minima._jdf.queryExecution().optimizedPlan().toString()
     assert "array_intersect" not in plan
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_overlaps_are_counted_where_they_are_few(spark, monkeypatch, limit):
+    """Both ways find the same pairs; the counting one joins no candidates again."""
+    monkeypatch.setattr(prefix_join, "PAIRS_PER_MEMBER", limit)
+    again = []
+    monkeypatch.setattr(prefix_join, "jaccard_of_pairs", lambda *x: again.append(1) or sets.jaccard_of_pairs(*x))
+    fam = families(9, 40)
+    got = prefix_join.jaccard_at_least(frame(spark, fam), 0.1, block=4)
+    assert rows_of(got, "id1", "id2", "inter", "union") == sorted(brute_pairs(fam, 0.1), key=repr)
+    best = prefix_join.top_jaccard(frame(spark, fam), 5, 2).collect()
+    assert sorted((round(-r.jaccard, 9), r.id1, r.id2) for r in best) == sorted(
+        (round(-i / u, 9), a, b) for a, b, i, u in brute_pairs(fam, 0))[:5]
+    assert bool(again) == (limit == 0)
