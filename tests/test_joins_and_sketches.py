@@ -334,3 +334,21 @@ def test_overlaps_are_counted_where_they_are_few(spark, monkeypatch, limit):
     assert sorted((round(-r.jaccard, 9), r.id1, r.id2) for r in best) == sorted(
         (round(-i / u, 9), a, b) for a, b, i, u in brute_pairs(fam, 0))[:5]
     assert bool(again) == (limit == 0)
+
+
+def test_trees_are_grown_once(spark):
+    """Itemsets and rules read the stored model; no plan of theirs has the fit's rows."""
+    rng = random.Random(11)
+    baskets = [(i, sorted(rng.sample("abcdefg", rng.randint(2, 6)))) for i in range(300)]
+    df = spark.createDataFrame(baskets, "basket_id long, items array<string>")
+    model = rules.fpgrowth(df, 0.1, 0.2)
+    for found in (model.freqItemsets, rules.frequent_itemsets(model, 300)):
+        assert "fp-growth-" in "".join(found.inputFiles())
+    held = {tuple(sorted(r["items"])): r.freq for r in model.freqItemsets.collect()}
+    want = {c: n for k in range(1, 8) for c in itertools.combinations("abcdefg", k)
+            if (n := sum(set(c) <= set(b) for _, b in baskets)) >= 30}
+    assert held == want
+    for r in model.associationRules.collect():
+        both = tuple(sorted([*r.antecedent, *r.consequent]))
+        assert r.confidence == pytest.approx(want[both] / want[tuple(sorted(r.antecedent))])
+        assert r.lift == pytest.approx(r.confidence * 300 / want[tuple(r.consequent)])
