@@ -38,6 +38,8 @@ from affinity.session import materialize, with_package
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 8192
+#: Text that is encoded at once: as a stage, this shares an executor with a full heap.
+BATCH_BYTES = 6 << 20
 #: Sequences of one group are numbered below this.
 SPAN = 1 << 32
 
@@ -56,7 +58,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
-        for b in tokens.small_batches(batches):
+        for b in tokens.small_batches(batches, BATCH_BYTES):
             ids, size = tokens.with_end(*tokens.encode(b.column(1), path), end_id)
             count = -(-size // capacity)
             doc = np.repeat(np.arange(len(size)), count)

@@ -52,8 +52,9 @@ def _taken_apart(path: str, letter: str) -> bool:
 
 def _cut_at_punctuation(words: pa.Array, path: str) -> pa.Array:
     """The words with a blank on both sides of punctuation that stands by itself."""
-    apart = pc.replace_substring_regex(
-        pc.replace_substring_regex(words, AFTER_WORD, r"\1 \2"), BEFORE_WORD, r"\1 \2")
+    marked = pc.match_substring_regex(words, PUNCTUATION)
+    apart = pc.replace_with_mask(words, marked, pc.replace_substring_regex(pc.replace_substring_regex(
+        words.filter(marked), AFTER_WORD, r"\1 \2"), BEFORE_WORD, r"\1 \2"))
     wide = words.filter(pc.match_substring_regex(words, r"[^\x00-\x{FF}]"))
     odd = [c for c in set("".join(wide.to_pylist())) if c > "\xff" and c.isalnum() and _taken_apart(path, c)]
     if not odd:
@@ -125,11 +126,14 @@ def _encode_pieces(pieces: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]
     plain = pc.match_substring_regex(pieces, PLAIN).to_numpy(zero_copy_only=False)
     rest = np.flatnonzero(~plain)
     got, size = _one_by_one(tok, pieces.take(pa.array(rest)).to_pylist())
-    tokenize = tok.model.tokenize
-    words = [tokenize(w if w.isascii() else w.translate(letters)) for w in pieces.filter(pa.array(plain)).to_pylist()]
-    flat = np.array([t.id for word in words for t in word], np.uint32)
+    tokenize, found, counts = tok.model.tokenize, [], []
+    for w in pieces.filter(pa.array(plain)).to_pylist():
+        word = tokenize(w if w.isascii() else w.translate(letters))
+        counts.append(len(word))
+        found += [t.id for t in word]  # tokens are objects: none is kept
+    flat = np.array(found, np.uint32)
     lengths = np.zeros(len(plain), np.int64)
-    lengths[plain] = np.fromiter(map(len, words), np.int64, len(words))
+    lengths[plain] = counts
     lengths[rest] = size
     starts = np.zeros(len(plain), np.int64)
     starts[plain] = starts_of(lengths[plain])

@@ -623,3 +623,35 @@ def test_quality_is_fitted_on_one_row_of_each_doc_id(spark):
     assert docs.join(marks.filter(~quality.held_out()), "doc_id").count() > wanted + 200
     assert quality.training_rows(docs, marks).count() == wanted
     assert quality.training_rows(docs, marks, 10).count() == 10
+
+
+def test_pieces_are_encoded_without_keeping_tokens():
+    """A token of the library is an object of some 100 bytes; only ids are kept."""
+    import random
+    import sys
+    from unittest import mock
+
+    import pyarrow as pa
+
+    from affinity.llm import tokens
+
+    path, rng = tokens.vocabulary(), random.Random(1)
+    words = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(1000)})
+    tok, _ = tokens.load(path)
+    firsts, held = [], []
+
+    class Model:
+        def tokenize(self, word):
+            # references of this list, the loop and the call; any other is the encoder's
+            held.append(sum(sys.getrefcount(t) > 3 for t in firsts[-50:]))
+            found = tok.model.tokenize(word)
+            firsts.extend(found[:1])
+            return found
+
+    class Wrapped:
+        model, encode_batch = Model(), tok.encode_batch
+
+    with mock.patch.object(tokens, "load", lambda p: (Wrapped, {})):
+        ids, size = tokens._encode_pieces(pa.array(words), path)
+    assert size.sum() == len(ids) and [*size[:20]] == [len(tok.model.tokenize(w)) for w in words[:20]]
+    assert max(held) <= 1  # the word before, at most
