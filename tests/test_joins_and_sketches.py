@@ -352,3 +352,61 @@ def test_trees_are_grown_once(spark):
         both = tuple(sorted([*r.antecedent, *r.consequent]))
         assert r.confidence == pytest.approx(want[both] / want[tuple(sorted(r.antecedent))])
         assert r.lift == pytest.approx(r.confidence * 300 / want[tuple(r.consequent)])
+
+
+def near_copies(seed, n):
+    """Families of near copies and equal sets: their pairs share most elements."""
+    rng = random.Random(seed)
+    base = [set(rng.sample(range(10_000), 60)) for _ in range(3)]
+    out = {}
+    for i in range(n):
+        out[i] = set(base[i % 3]) - set(rng.sample(sorted(base[i % 3]), rng.choice([0, 0, 2, 5, 30]))) | {i % 5}
+    return out
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_linked_pairs_are_those_of_all_groups(spark, block, monkeypatch):
+    for fam in (families(12, 50), near_copies(13, 40)):
+        m = frame(spark, fam).repartition(2)
+        want = rows_of(pairs.pairs_within_groups(m, ["element"], "entity").select("id1", "id2").distinct(), "id1", "id2")
+        assert rows_of(pairs.linked_pairs(m, ["element"], "entity", block), "id1", "id2") == want
+    # before they are made distinct, pairs of near copies are few
+    monkeypatch.setattr(type(m), "distinct", lambda df: df)
+    met = pairs.linked_pairs(m, ["element"], "entity", block).count()
+    assert met < pairs.pairs_within_groups(m, ["element"], "entity").count() / 3
+
+
+@pytest.mark.parametrize("least,cell", [(0.05, 2), (0.3, 256), (1.0, 2)])
+def test_similar_entities_of_sets_in_rows(spark, least, cell, monkeypatch):
+    monkeypatch.setattr(sets, "CELL_SETS", cell)
+    fam = {**families(14, 30), **{1000 + k: s for k, s in near_copies(15, 30).items()}}
+    rows = [(k, sorted(s)) for k, s in fam.items()] + [(None, sorted(fam[1]))]
+    arrays = spark.createDataFrame(rows, "entity long, elements array<long>")
+    got = prefix_join.similar_entities(arrays, least, block=8)
+    assert rows_of(got, "id1", "id2", "inter", "union") == sorted(brute_pairs(fam, least), key=repr)
+    assert all(r.jaccard == r.inter / r.union for r in got.collect())
+    assert prefix_join.similar_entities(arrays.limit(0), least).count() == 0
+
+
+def test_likely_pairs_pass_the_sequential_test(spark):
+    fam = families(16, 40)
+    sigs = minhash.signature_arrays(minhash.signatures_long(frame(spark, fam), 200))
+    every = sets.overlap_counts(frame(spark, fam)).select("id1", "id2")
+    want = minhash.with_signatures(every, sigs).filter(lsh.still_possible(F.col("sig1"), F.col("sig2"), 200, 0.4))
+    got = lsh.likely_pairs(every, sigs, 200, 0.4)
+    assert rows_of(got, "id1", "id2") == rows_of(want, "id1", "id2") and 0 < got.count() < every.count()
+
+
+def test_document_sets_in_rows(spark, tmp_path):
+    """Odd rows: null and short texts, doc_ids that repeat or are null."""
+    from affinity import sources
+
+    rows = [(1, "a b c d a b c"), (1, "x y z"), (2, None), (3, "a b"), (4, ""), (None, "A b  c\nd e"), (None, "q r s"), (5, " a b c ")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    arrays = sources.doc_arrays(spark, str(tmp_path))
+    got = [(r.doc_id, x) for r in arrays.collect() for x in r.elements]
+    want = [tuple(r) for r in sources.doc_members(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) == 12
+    assert all(list(r.elements) == sorted(r.elements) for r in arrays.collect())
+    plan = arrays._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1  # no row per shingle
