@@ -12,12 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 #: log2 of the registers of a distinct-count sketch; its relative standard error
 #: is about 1.04 / sqrt(2 ** LG_REGISTERS).
 LG_REGISTERS = 12
 #: Size parameter of a quantile sketch; ranks are off by about RANK_ERROR at most
 #: (99 of 100 cases).
 QUANTILE_K, RANK_ERROR = 400, 0.0075
+#: Rows that a task makes distinct at once, so that its hash table is bounded
+#: whatever the input's size.
+ROWS_A_TASK = 4_000_000
 
 
 def distinct_error(lg: int = LG_REGISTERS) -> float:
@@ -41,13 +46,18 @@ def distinct_estimates(sketches: DataFrame) -> DataFrame:
 def distinct_report(df: DataFrame, group: str, col: str, lg: int = LG_REGISTERS, deviations: float = 4.0) -> DataFrame:
     """(group, exact, within_bound) for each group and for all (null group):
     exact distinct values, and whether the sketch's estimate lies within
-    ``deviations`` standard errors (and one) of them."""
+    ``deviations`` standard errors (and one) of them.
+
+    The two columns are stored once, and dealt by group and value into tasks of
+    about ``ROWS_A_TASK`` rows."""
+    df = materialize(df.select(group, col), "values")
     sketches = distinct_sketches(df, [group], col, lg)
     every = rolled_up(sketches).select(F.lit(None).cast(df.schema[group].dataType).alias(group), "sketch")
     estimates = distinct_estimates(sketches.unionByName(every))
-    pairs = df.select(group, col).filter(F.col(col).isNotNull()).distinct()
+    present = df.filter(F.col(col).isNotNull())
+    pairs = present.repartition(max(1, -(-present.count() // ROWS_A_TASK)), group, col).distinct()
     exact = (pairs.groupBy(group).agg(F.count(F.lit(1)).alias("exact"))
-             .unionByName(df.agg(F.count_distinct(col).alias("exact")).select(
+             .unionByName(pairs.select(col).distinct().agg(F.count(F.lit(1)).alias("exact")).select(
                  F.lit(None).cast(df.schema[group].dataType).alias(group), "exact")))
     joined = exact.join(estimates.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g")))
     slack = deviations * distinct_error(lg) * F.col("exact") + 1

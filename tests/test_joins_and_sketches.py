@@ -190,6 +190,16 @@ def test_distinct_sketches_roll_up(spark):
     assert all(r.within_bound for r in report) and [r.exact for r in report if r.g is None] == [7000]
 
 
+def test_distinct_report_deals_rows_into_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(sketches, "ROWS_A_TASK", 100)
+    rows = [(g, x) for g in ("a", "b", None) for x in range(150)] * 2 + [("a", None), ("b", 7)]
+    report = sketches.distinct_report(spark.createDataFrame(rows, "g string, x long"), "g", "x")
+    # 901 rows with a value, 100 to a task
+    assert ", 10), REPARTITION_BY_NUM" in report._jdf.queryExecution().executedPlan().toString()
+    got = [(r.g, r.exact, r.within_bound) for r in report.collect()]
+    assert {(g, n) for g, n, ok in got if ok} == {("a", 150), ("b", 150), (None, 150)}
+
+
 def test_quantile_sketches_merge(spark):
     df = spark.range(50_000).select((F.col("id") % 4).alias("g"), ((F.col("id") * 7919) % 50_000).alias("x"))
     merged = sketches.merged_quantiles(sketches.quantile_sketches(df, ["g"], "x"))
