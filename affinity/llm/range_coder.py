@@ -131,16 +131,16 @@ class Models:
         of orders 0, 1 and 2."""
         s1 = own.ids + last
         s2 = own.contexts + ((second * 40503 + last * 10007) & ((1 << CONTEXT_BITS) - 1))
-        p1, p2 = self.order1[s1], self.order2[s2]
+        p1, p2 = self.order1.take(s1), self.order2.take(s2)
         state = own.states + ((p2 >> 16) * 8 + (p1 >> 16) * 2 + ((p1 ^ p2) & ID_MASK == 0))
-        return s1, s2, p1, p2, state, self.weight0[state], self.weight1[state], self.weight2[state]
+        return s1, s2, p1, p2, state, self.weight0.take(state), self.weight1.take(state), self.weight2.take(state)
 
     def part(self, guess, x: np.ndarray, place: np.ndarray):
         """Where the mixture's share of each id begins, and that share; 0 if no
         model knows it.  ``place`` is the id's among all blocks' ids."""
         _, _, p1, p2, _, w0, w1, w2 = guess
         id1, id2 = p1 & ID_MASK, p2 & ID_MASK
-        own = self.slots[place]
+        own = self.slots.take(place)
         x = x.astype(np.uint32)
         return w0 * (own >> SLOT_SHIFT) + w1 * (id1 < x) + w2 * (id2 < x), w0 * (own & SLOT_MASK) + w1 * (id1 == x) + w2 * (id2 == x)
 
@@ -156,7 +156,7 @@ class Models:
         _, _, p1, p2, _, w0, w1, w2 = guess
         id1, id2 = p1 & ID_MASK, p2 & ID_MASK
         base = own_rows.ids
-        own1, own2 = self.slots[base + id1], self.slots[base + id2]
+        own1, own2 = self.slots.take(base + id1), self.slots.take(base + id2)
         low1 = w0 * (own1 >> SLOT_SHIFT) + w2 * (id2 < id1)
         low2 = w0 * (own2 >> SLOT_SHIFT) + w1 * (id1 < id2)
         same = id1 == id2
@@ -165,10 +165,10 @@ class Models:
         # less what the predictions add below v, it is order 0 alone
         point = w1 * (v >= high1) + w2 * (v >= high2)
         slot = (v - point) // w0
-        x = self.at_slot[own_rows.slots + np.minimum(slot, SLOT_MASK)].astype(np.int64)
-        own = self.slots[base + x]
+        x = self.at_slot.take(own_rows.slots + np.minimum(slot, SLOT_MASK)).astype(np.int64)
+        own = self.slots.take(base + x)
         low, share = w0 * (own >> SLOT_SHIFT) + point, w0 * (own & SLOT_MASK)
-        new = slot >= self.room[own_rows.block]
+        new = slot >= self.room.take(own_rows.block)
         for one, its_low, its_high in ((id1, low1, high1), (id2, low2, high2)):
             inside = (v >= its_low) & (v < its_high)
             np.copyto(x, one, where=inside)
@@ -218,7 +218,8 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     words: list[np.ndarray] = []   # output words in the order they are made,
     owners: list[np.ndarray] = []  # with the lane of each
 
-    def narrow(who, cum, freq, shift) -> None:
+    def narrow(who, lanes, cum, freq, shift) -> None:
+        # ``who`` are the lanes, as a slice where they are the first ones: no copies
         r = rng[who] >> shift
         lo, width = low[who] + cum * r, freq * r
         while True:
@@ -226,12 +227,13 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             again = np.flatnonzero(settled | (width < BOTTOM))
             if not len(again):
                 break
-            if not len(again) == len(who):
+            if not len(again) == len(lanes):
                 low[who], rng[who] = lo, width
-                who, lo, width, settled = who[again], lo[again], width[again], settled[again]
+                who = lanes = lanes.take(again)
+                lo, width, settled = lo.take(again), width.take(again), settled.take(again)
             width = np.where(settled, width, (~lo + U(1)) & (BOTTOM - U(1)))
             words.append((lo >> U(48)).astype(np.uint16))
-            owners.append(who)
+            owners.append(lanes)
             lo, width = lo << U(16), width << U(16)
         low[who], rng[who] = lo, width
 
@@ -243,17 +245,17 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         if t in refresh:
             models.refresh()
         k = ends[t]
-        who, own = everyone[:k], owners_of.first(k)
-        x = ids[at[:k] + t]
+        own = owners_of.first(k)
+        x = ids.take(at[:k] + t)
         guess = models.predict(own, last[:k], second[:k])
         place = own.ids + x
         low_of, share = models.part(guess, x, place)
         new = np.flatnonzero(share == 0)
         if len(new):
             low_of[new], share[new] = models.new_part(guess, new, own.block)
-        narrow(who, low_of.astype(np.uint64), share.astype(np.uint64), U(MIX_BITS))
+        narrow(slice(k), everyone[:k], low_of.astype(np.uint64), share.astype(np.uint64), U(MIX_BITS))
         if len(new):
-            narrow(new, x[new].astype(np.uint64), np.ones(len(new), np.uint64), U(ID_BITS))
+            narrow(new, new, x[new].astype(np.uint64), np.ones(len(new), np.uint64), U(ID_BITS))
         models.learn(guess, x, place)
         second[:k], last[:k] = last[:k], x
     used = everyone[busy > 0]
@@ -290,18 +292,19 @@ def decode_blocks(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     low, rng = np.zeros(n, np.uint64), np.full(n, ~U(0))
     last, second = np.zeros(n, np.int64), np.zeros(n, np.int64)
 
-    def narrow(who, cum, freq, r) -> None:
+    def narrow(who, lanes, cum, freq, r) -> None:
         lo, width, c, p = low[who] + cum * r, freq * r, code[who], pos[who]
         while True:
             settled = (lo ^ (lo + width)) < TOP
             again = np.flatnonzero(settled | (width < BOTTOM))
             if not len(again):
                 break
-            if not len(again) == len(who):
+            if not len(again) == len(lanes):
                 low[who], rng[who], code[who], pos[who] = lo, width, c, p
-                who, lo, width, settled, c, p = (v[again] for v in (who, lo, width, settled, c, p))
+                who = lanes = lanes.take(again)
+                lo, width, settled, c, p = (v.take(again) for v in (lo, width, settled, c, p))
             width = np.where(settled, width, (~lo + U(1)) & (BOTTOM - U(1)))
-            c = c << U(16) | stream[np.where(p < stop[who], p, nothing)]
+            c = c << U(16) | stream.take(np.where(p < stop.take(lanes), p, nothing))
             p = p + 1
             lo, width = lo << U(16), width << U(16)
         low[who], rng[who], code[who], pos[who] = lo, width, c, p
@@ -314,18 +317,18 @@ def decode_blocks(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
         if t in refresh:
             models.refresh()
         k = ends[t]
-        who, own = everyone[:k], owners_of.first(k)
+        own = owners_of.first(k)
         guess = models.predict(own, last[:k], second[:k])
         r = rng[:k] >> U(MIX_BITS)
         x, is_new, low_of, share = models.find(guess, np.minimum((code[:k] - low[:k]) // r, U((1 << MIX_BITS) - 1)).astype(np.uint32), own)
         new = np.flatnonzero(is_new)
         if len(new):
             low_of[new], share[new] = models.new_part(guess, new, own.block)
-        narrow(who, low_of.astype(np.uint64), share.astype(np.uint64), r)
+        narrow(slice(k), everyone[:k], low_of.astype(np.uint64), share.astype(np.uint64), r)
         if len(new):
             r = rng[new] >> U(ID_BITS)
             v = np.minimum((code[new] - low[new]) // r, U(IDS - 1))
-            narrow(new, v, np.ones(len(new), np.uint64), r)
+            narrow(new, new, v, np.ones(len(new), np.uint64), r)
             x[new] = v.astype(np.int64)
         out[at[:k] + t] = x
         models.learn(guess, x, own.ids + x)
