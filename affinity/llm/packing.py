@@ -58,21 +58,24 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
-        for b in tokens.small_batches(batches, BATCH_BYTES):
-            ids, size = tokens.with_end(*tokens.encode(b.column(1), path), end_id)
-            count = -(-size // capacity)
-            doc = np.repeat(np.arange(len(size)), count)
-            piece = np.arange(len(doc)) - np.repeat(tokens.starts_of(count), count)
-            start = piece * capacity
-            length = np.minimum(size[doc] - start, capacity)
-            lo = tokens.starts_of(size)[doc] + start
-            raw = memoryview(ids.astype("<u4")).cast("B")
-            crc = [zlib.crc32(raw[4 * a:4 * (a + n)]) for a, n in zip(lo.tolist(), length.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start),
-                 pa.array(length), pa.array(crc, pa.int64()),
-                 pa.array(np.arange(row, row + len(doc)))], schema=PIECE_SCHEMA)
-            row += len(doc)
+        try:
+            for b in tokens.small_batches(batches, BATCH_BYTES):
+                ids, size = tokens.with_end(*tokens.encode(b.column(1), path), end_id)
+                count = -(-size // capacity)
+                doc = np.repeat(np.arange(len(size)), count)
+                piece = np.arange(len(doc)) - np.repeat(tokens.starts_of(count), count)
+                start = piece * capacity
+                length = np.minimum(size[doc] - start, capacity)
+                lo = tokens.starts_of(size)[doc] + start
+                raw = memoryview(ids.astype("<u4")).cast("B")
+                crc = [zlib.crc32(raw[4 * a:4 * (a + n)]) for a, n in zip(lo.tolist(), length.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start),
+                     pa.array(length), pa.array(crc, pa.int64()),
+                     pa.array(np.arange(row, row + len(doc)))], schema=PIECE_SCHEMA)
+                row += len(doc)
+        finally:
+            tokens.forget()  # else workers hold it through all later stages
 
     return with_package(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECE_DDL)
 

@@ -106,6 +106,13 @@ def _seen(path: str) -> list[_Seen]:
     return [_Seen()]
 
 
+def forget() -> None:
+    """Give back what this Python worker keeps of the pieces that it has encoded;
+    it may go on to other work."""
+    _seen.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
 def _encode_cached(pieces: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """As ``_encode_pieces``; pieces met in an earlier batch aren't encoded again."""
     holder = _seen(path)

@@ -655,3 +655,21 @@ def test_pieces_are_encoded_without_keeping_tokens():
         ids, size = tokens._encode_pieces(pa.array(words), path)
     assert size.sum() == len(ids) and [*size[:20]] == [len(tok.model.tokenize(w)) for w in words[:20]]
     assert max(held) <= 1  # the word before, at most
+
+
+def test_packing_leaves_no_pieces_in_the_workers(spark):
+    from affinity.llm import packing
+    from affinity.session import with_package
+
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[
+        F.concat(F.lit(w), F.col("id")) for w in ("some", "words", "to", "keep")]).alias("text")).repartition(8)
+    assert packing.token_pieces(docs).count() == 40
+
+    def held(batches):
+        from affinity.llm import tokens
+
+        for b in batches:
+            kept = len(tokens._seen(tokens.vocabulary())[0].pieces)
+            yield pa.RecordBatch.from_arrays([pa.array([kept] * b.num_rows, pa.int64())], names=["kept"])
+
+    assert {r.kept for r in with_package(spark.range(64).repartition(8)).mapInArrow(held, "kept long").collect()} == {0}
