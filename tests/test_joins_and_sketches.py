@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from affinity.operators import clean, distributions, lsh, minhash, pairs, prefix_join, profile, rules, sampling, sets, sketches, skew, vectors
 from affinity.params import DEFAULTS, PROFILES, profile as named_profile
+from affinity.session import materialize
 from affinity.sources import csv
 
 
@@ -168,6 +169,34 @@ def test_errors_by_k_and_entity(spark):
     assert set(per) == {1, 2, 3} and per[3].mean_error == 0 and per[3].overlapping_pairs == 0
 
 
+def test_mllib_pairs_carry_no_vectors_through_the_tables(spark, monkeypatch):
+    fam = families(5, 60)
+    stored = {}
+
+    def store(df, name):
+        stored[name] = df
+        return materialize(df, name)
+
+    monkeypatch.setattr(lsh, "materialize", store)
+    # 60 tables miss a pair at the threshold less than once in a billion times
+    found = lsh.mllib_similar_pairs(frame(spark, fam), tables=60, max_distance=0.7, block=16)
+    want = [(a, b, round(inter / union, 6)) for a, b, inter, union in brute_pairs(fam, 0.3)]
+    assert sorted(tuple(r) for r in found.collect()) == want and want
+    for name in ("tables", "marks", "met"):
+        assert not any("vector" in t or "array" in t for _, t in stored[name].dtypes), name
+    # sets far apart are left out where they meet, not stored as pairs
+    assert stored["met"].count() < len(fam) * (len(fam) - 1) / 2
+    plan = stored["met"]._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_least_agreement_keeps_pairs_at_the_threshold():
+    least = lsh.least_agreement(128, 0.3, 1e-12)
+    assert 0 < least < 0.3 * 128
+    chance = [math.comb(128, m) * 0.3 ** m * 0.7 ** (128 - m) for m in range(least + 1)]
+    assert sum(chance[:least]) <= 1e-12 < sum(chance)
+
+
 def test_feature_vectors(spark):
     m = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "c"), (3, None), (4, "b")], "entity long, element string")
     got = {r.entity: r.features for r in vectors.feature_vectors(m).collect()}
