@@ -45,8 +45,10 @@ Equal sets are one representative (the smallest doc_id) before all this, by a
 once in 100,000 times; the trees miss it about once in 1,000 times (RECALL).
 
 Skew: a node of any size is only ever counted (pre-aggregated), branched row by
-row, or joined with its pivots (salted); only nodes of up to ``small`` members
-are brought together in a task.
+row, or cut into tiles of about BLOCK * BLOCK members by as many of those that
+they are compared with (``in_tiles``); only nodes of up to ``small`` members and
+tiles are brought together in a task.  Rows are dealt to these cells once, without
+a join: lists of members joined on hot nodes were split into a task each.
 
 Defined results: a null or empty text, or one without words, has an empty set,
 and is linked with nothing; with fewer than ``width`` words the whole sequence
@@ -94,6 +96,8 @@ HELD_PAIRS = 1 << 19
 SALTS = 16
 #: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
+#: The same for sets with their digests and owners, so that built sets move once.
+BROADCAST_SETS = BROADCAST_IDS // 8
 #: Pairs whose sketches agree by so many standard deviations less than the
 #: threshold are no candidates (about 1 in 100,000 at the threshold); pivots,
 #: which lose nothing, take the nearer ones only.
@@ -208,18 +212,18 @@ def described(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def represented(rows: DataFrame) -> DataFrame:
-    """(id, doc_id, d1, d2, copies, n, signature) of each set that isn't empty;
-    ids rise with the smallest doc_id, and sets without one come last."""
+    """(id, doc_id, d1, d2, copies, n, signature) of each set that isn't empty,
+    with its smallest doc_id; ids are in no order, so that the sets move once."""
     return (rows.filter("n_shingles > 0").groupBy("d1", "d2")
             .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
                  F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
-            .orderBy(F.col("doc_id").asc_nulls_last(), "d1", "d2").withColumn("id", F.monotonically_increasing_id()))
+            .sortWithinPartitions("d1", "d2").withColumn("id", F.monotonically_increasing_id()))
 
 
-def full_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, width: int = WIDTH,
+def full_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, most: int, width: int = WIDTH,
               least: int | None = None) -> DataFrame:
-    """(id, items): the sorted shingle hashes of the sets ``ids`` names, each
-    once; only the ``least`` first ones if given.  A set is built from the rows
+    """(id, items): the sorted shingle hashes of the sets ``ids`` (``most`` at
+    most) names, each once; only the ``least`` first ones if given.  A set is built from the rows
     of its doc_id, and those that have other texts are told by the digest."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,10 +235,11 @@ def full_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, width: int = WID
                                              names=["doc_id", "d1", "d2", "items"])
 
     wanted = reps.join(ids, "id", "left_semi").select("id", F.col("doc_id").alias("own"), "d1", "d2")
-    owners = wanted.select("own").distinct()
+    owners = wanted.select("own")
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = rows.join(small(owners), rows["doc_id"].eqNullSafe(owners["own"]), "left_semi")
+    rows = rows.join(small(owners, most), rows["doc_id"].eqNullSafe(owners["own"]), "left_semi")
     built = with_package(rows).mapInArrow(build, "doc_id long, d1 long, d2 long, items binary")
+    wanted = small(wanted, most, BROADCAST_SETS)
     found = built.join(wanted, (built["d1"] == wanted["d1"]) & (built["d2"] == wanted["d2"])
                        & built["doc_id"].eqNullSafe(wanted["own"]))
     return found.groupBy("id").agg(F.first("items").alias("items"))
@@ -385,87 +390,7 @@ def _pairs(a: list, b: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["id1", "id2"])
 
 
-PIVOT, NEAREST, ALL = range(3)
-
-
-def small_node_pairs(nodes: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
-    """Candidate pairs of nodes of up to SMALL members: with the pivot; or of
-    different components, of each member with the nearest, or all that the
-    least hashes allow."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _runs(batches):
-            path, ids, n = (b.column(k).to_numpy() for k in range(3))
-            sketch = _matrix(b.column(3), np.uint8, COORDINATES)
-            comp = b.column(4).to_numpy()
-            first = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
-            size = np.diff(np.r_[first, len(path)])
-            two = first[size == 2]
-            keep = _alike(n[two], n[two + 1], _agreement(sketch[two], sketch[two + 1]), threshold) & (comp[two] != comp[two + 1])
-            two = two[keep]
-            if pick == ALL:
-                least = [_hashes(b.column(5), (r, r + 1)) for r in two]
-                two = two[np.array([may_link(x, n[r], [y], n[r + 1:r + 2], threshold)[0] for r, (x, y) in zip(two, least)], bool)]
-            a, c = [ids[two]], [ids[two + 1]]
-            for lo, m in zip(first[size > 2].tolist(), size[size > 2].tolist()):
-                rows = slice(lo, lo + m)
-                s, own_n, own_ids, own_comp = sketch[rows], n[rows], ids[rows], comp[rows]
-                if pick != PIVOT and (own_comp == own_comp[0]).all():
-                    continue
-                same = np.stack([_agreement(s, one) for one in s])
-                if pick != PIVOT:
-                    good = _alike(own_n[:, None], own_n[None], same, threshold) & (own_comp[:, None] != own_comp[None])
-                    if pick == NEAREST:
-                        i = np.flatnonzero(good.any(1))
-                        j = np.where(good, same, -1)[i].argmax(1)
-                    else:
-                        good = np.triu(good, 1)
-                        used = np.flatnonzero(good.any(0) | good.any(1))
-                        least = dict(zip(used.tolist(), _hashes(b.column(5), lo + used)))
-                        for x in np.flatnonzero(good.any(1)).tolist():
-                            y = np.flatnonzero(good[x])
-                            good[x, y] = may_link(least[x], own_n[x], [least[k] for k in y.tolist()], own_n[y], threshold)
-                        i, j = np.nonzero(good)
-                else:
-                    pivot = int(same.sum(0).argmax())
-                    j = np.flatnonzero(_alike(own_n, own_n[pivot], same[pivot], threshold, PIVOT_DEVIATIONS))
-                    j = j[j != pivot]
-                    i = np.full(len(j), pivot)
-                a.append(own_ids[i])
-                c.append(own_ids[j])
-            yield _pairs(a, c)
-
-    comp = F.col("id") if pick == PIVOT else F.col("comp")
-    least = ["least"] if pick == ALL else []
-    ordered = (nodes.filter(F.col("size") <= SMALL).select("path", "id", "n", "sketch", comp.alias("comp"), *least)
-               .repartition("path").sortWithinPartitions("path", "id"))
-    return with_package(ordered).mapInArrow(compare, PAIR_DDL)
-
-
-def pivot_pairs(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Candidate pairs of larger nodes' members with their two nearest pivots:
-    about PIVOTS of the members, drawn by hash.  Two, so that members tie the
-    pivots of a family to each other."""
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in tokens.small_batches(batches, BATCH_BYTES):
-            ids, n = (b.column(k).to_numpy() for k in (0, 1))
-            sketch = _matrix(b.column(2), np.uint8, COORDINATES)
-            cuts, p_ids, p_n, _, p_sketch, _ = _lists(b.column(3))
-            a, c = [], []
-            for r, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                same = _agreement(p_sketch[lo:hi], sketch[r])
-                hit = np.flatnonzero(_alike(p_n[lo:hi], n[r], same, threshold, PIVOT_DEVIATIONS) & (p_ids[lo:hi] != ids[r]))
-                hit = lo + hit[np.argsort(-same[hit], kind="stable")[:2]]
-                a.append(np.full(len(hit), ids[r]))
-                c.append(p_ids[hit])
-            yield _pairs(a, c)
-
-    large = nodes.filter(F.col("size") > SMALL).withColumn("_salt", salt_of("id", SALTS))
-    chosen = F.pmod(F.xxhash64("path", "id"), F.col("size")) < PIVOTS
-    few = large.filter(chosen).groupBy("path").agg(F.collect_list(F.struct("id", "n", F.col("id").alias("comp"), "sketch")).alias("few"))
-    return (with_package(large).join(salted(few, SALTS), ["path", "_salt"]).select("id", "n", "sketch", "few")
-            .mapInArrow(near, PAIR_DDL))
+NEAREST, ALL = range(2)
 
 
 def _nearest(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -479,30 +404,80 @@ def _nearest(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np
     return one[kept], other[kept], same[kept]
 
 
-def _lists(column: pa.Array) -> list:
-    """Where each list of (id, n, component, sketch, least hashes) begins and the
-    last ends; then each field of all (no hashes if there are none)."""
-    flat = column.flatten()
-    return [column.offsets.to_numpy() - column.offsets[0].as_py(), *(flat.field(k).to_numpy() for k in range(3)),
-            _matrix(flat.field(3), np.uint8, COORDINATES), flat.field(4) if flat.type.num_fields > 4 else None]
+def in_tiles(nodes: DataFrame, facing: Column) -> DataFrame:
+    """``nodes`` (path, id, size, facings) with the ``cell`` that a row is compared
+    in.  Small nodes are a cell of their own (side 0).  Larger ones are cut into
+    tiles of about BLOCK * BLOCK members (side 1) by as many of the ``facings``
+    that are ``facing`` the members (side 2): a member stands in each tile of its
+    row, one that is facing in each tile of its column as well."""
+    most = BLOCK * BLOCK
+    across, down = F.ceil(F.col("facings") / most), F.ceil(F.col("size") / most)
+
+    def cells(row: Column, column: Column, side: int) -> Column:
+        return F.struct(F.xxhash64("path", row, column).alias("cell"), F.lit(side).alias("side"))
+
+    def place(parts: Column) -> Column:
+        return F.pmod(F.xxhash64("id"), parts)
 
+    none = F.lit(0).cast("long")
+    as_member = F.transform(F.sequence(none, across - 1), lambda k: cells(place(down), k, 1))
+    as_facing = F.when(facing, F.transform(
+        F.sequence(none, down - 1), lambda k: cells(k, place(across), 2))).otherwise(F.array())
+    alone = F.array(F.struct(F.col("path").alias("cell"), F.lit(0).alias("side")))
+    return nodes.withColumn("at", F.explode(F.when(F.col("size") <= SMALL, alone).otherwise(F.concat(as_member, as_facing))))
 
-def outsider_pairs(nodes: DataFrame, marks: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
-    """Candidate pairs of members outside a node's main component with all
-    members of other components that the least hashes allow; or of each member
-    and each outsider with its nearest that a task meets.  Members are dealt into blocks of about
-    BLOCK, outsiders again into lists, and every block meets every list of its
-    node."""
+
+def pivot_pairs(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Candidate pairs: in small nodes of the members with the pivot, in larger
+    ones with their two nearest pivots, which are about PIVOTS of the members,
+    drawn by hash.  Two, so that members tie the pivots of a family to each other."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _runs(batches):
+            cell, ids, n, side = (b.column(k).to_numpy() for k in (0, 1, 2, 4))
+            sketch = _matrix(b.column(3), np.uint8, COORDINATES)
+            first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+            ends = np.r_[first[1:], len(cell)]
+            two = first[(ends - first == 2) & (side[first] == 0)]
+            two = two[_alike(n[two], n[two + 1], _agreement(sketch[two], sketch[two + 1]), threshold)]
+            a, c = [ids[two]], [ids[two + 1]]
+            for lo, hi in zip(first.tolist(), ends.tolist()):
+                alone, member = (lo + int(k) for k in np.searchsorted(side[lo:hi], (1, 2)))
+                if alone - lo > 2:
+                    same = np.stack([_agreement(sketch[lo:alone], one) for one in sketch[lo:alone]])
+                    pivot = int(same.sum(0).argmax())
+                    hit = np.flatnonzero(_alike(n[lo:alone], n[lo + pivot], same[pivot], threshold, PIVOT_DEVIATIONS))
+                    hit = lo + hit[hit != pivot]
+                    a.append(np.full(len(hit), ids[lo + pivot]))
+                    c.append(ids[hit])
+                for r in range(alone, member if member < hi else alone):
+                    same = _agreement(sketch[member:hi], sketch[r])
+                    hit = np.flatnonzero(_alike(n[member:hi], n[r], same, threshold, PIVOT_DEVIATIONS) & (ids[member:hi] != ids[r]))
+                    hit = member + hit[np.argsort(-same[hit], kind="stable")[:2]]
+                    a.append(np.full(len(hit), ids[r]))
+                    c.append(ids[hit])
+            yield _pairs(a, c)
+
+    drawn = F.pmod(F.xxhash64("path", "id"), F.col("size")) < PIVOTS
+    dealt = in_tiles(nodes.withColumn("facings", F.lit(PIVOTS)), drawn).select(
+        F.col("at.cell").alias("cell"), "id", "n", "sketch", F.col("at.side").alias("side"))
+    return with_package(dealt.repartition("cell").sortWithinPartitions("cell", "side", "id")).mapInArrow(near, PAIR_DDL)
+
+
+def node_pairs(nodes: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
+    """Candidate pairs of different components: in small nodes of all members,
+    in larger ones of members with those outside the main component.  Either all
+    that the least hashes allow, or of each row with the nearest that it meets."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for b in tokens.small_batches(batches, BATCH_BYTES):
-            sides = [_lists(b.column(k)) for k in range(2)]
-            for r in range(b.num_rows):
-                (ids, n, comp, sketch, least), (o_ids, o_n, o_comp, o_sketch, o_least) = (
-                    [x[cuts[r]:cuts[r + 1]] for x in rest[:4]] + [(rest[4], cuts[r])] for cuts, *rest in sides)
-                same = np.stack([_agreement(o_sketch, one) for one in sketch])
-                good = _alike(n[:, None], o_n[None], same, threshold) & (comp[:, None] != o_comp[None])
+
+        def meet(b: pa.RecordBatch, sketch: np.ndarray, one: slice, other: slice) -> None:
+            ids, n, comp = (b.column(k).to_numpy() for k in (1, 2, 4))
+            for lo in range(one.start, one.stop, BLOCK):
+                own = np.arange(lo, min(lo + BLOCK, one.stop))
+                same = np.stack([_agreement(sketch[other], x) for x in sketch[own]])
+                good = _alike(n[own, None], n[None, other], same, threshold) & (comp[own, None] != comp[None, other])
                 if not good.any():
                     continue
                 if pick == NEAREST:
@@ -510,39 +485,54 @@ def outsider_pairs(nodes: DataFrame, marks: DataFrame, pick: int, threshold: flo
                     i, j = np.flatnonzero(good.any(1)), np.flatnonzero(good.any(0))
                     i, j = np.concatenate([i, like.argmax(0)[j]]), np.concatenate([like.argmax(1)[i], j])
                 else:
-                    column, first = o_least
-                    theirs = dict(zip(np.flatnonzero(good.any(0)).tolist(), _hashes(column, first + np.flatnonzero(good.any(0)))))
+                    used = np.flatnonzero(good.any(0))
+                    theirs = dict(zip(used.tolist(), _hashes(b.column(6), other.start + used)))
                     for x in np.flatnonzero(good.any(1)).tolist():
                         y = np.flatnonzero(good[x])
-                        own = _hashes(least[0], (least[1] + x,))[0]
-                        good[x, y] = may_link(own, n[x], [theirs[k] for k in y.tolist()], o_n[y], threshold)
+                        mine = _hashes(b.column(6), own[x:x + 1])[0]
+                        good[x, y] = may_link(mine, n[own[x]], [theirs[k] for k in y.tolist()], n[other][y], threshold)
                     i, j = np.nonzero(good)
-                found.append((ids[i], o_ids[j], same[i, j]))
+                found.append((ids[own[i]], ids[other][j], same[i, j]))
+
+        for b in _runs(batches):
+            path, ids, comp, side = (b.column(k).to_numpy() for k in (0, 1, 4, 5))
+            n, sketch = b.column(2).to_numpy(), _matrix(b.column(3), np.uint8, COORDINATES)
+            first = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
+            ends = np.r_[first[1:], len(path)]
+            two = first[(ends - first == 2) & (side[first] == 0)]
+            same = np.count_nonzero(sketch[two] == sketch[two + 1], axis=1)
+            keep = _alike(n[two], n[two + 1], same, threshold) & (comp[two] != comp[two + 1])
+            two, same = two[keep], same[keep]
+            if pick == ALL and len(two):
+                least = [_hashes(b.column(6), np.array((r, r + 1))) for r in two]
+                keep = np.array([may_link(x, n[r], [y], n[r + 1:r + 2], threshold)[0] for r, (x, y) in zip(two, least)], bool)
+                two, same = two[keep], same[keep]
+            if len(two):
+                found.append((ids[two], ids[two + 1], same))
+            for lo, hi in zip(first.tolist(), ends.tolist()):
+                alone, member = (lo + int(k) for k in np.searchsorted(side[lo:hi], (1, 2)))
+                if alone - lo > 2 and not (comp[lo:alone] == comp[lo]).all():
+                    meet(b, sketch, slice(lo, alone), slice(lo, alone))
+                if alone < member < hi:
+                    meet(b, sketch, slice(alone, member), slice(member, hi))
             if pick == ALL:
                 yield _pairs(*([f[k] for f in found] for k in range(2)))
-                found = []
+                found.clear()
             elif sum(len(f[0]) for f in found) > HELD_PAIRS:
-                found = [_nearest(found)]
+                found[:] = [_nearest(found)]
         if found:
             yield _pairs(*([x] for x in _nearest(found)[:2]))
 
-    def dealt(rows: DataFrame, number: str, of: Column) -> DataFrame:
-        held = F.struct("id", "n", "comp", "sketch", *(["least"] if pick == ALL else []))
-        return (rows.withColumn(number, F.pmod(F.xxhash64("id"), F.ceil(of / BLOCK))).groupBy("path", number)
-                .agg(F.collect_list(held).alias(f"{number}s"), F.first("size").alias("size")))
-
-    rows = nodes.join(marks, "id")
-    # blocks of a node are dealt into parts, and each part has all its lists
-    parts = F.ceil(F.col("size") / (BLOCK * BLOCK))
-    blocks = dealt(rows, "block", F.col("size")).withColumn("_part", F.pmod("block", parts)).drop("size")
-    lists = dealt(rows.filter("comp <> main"), "list", F.col("outsiders")).withColumn(
-        "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("size")
-    return with_package(blocks).join(lists, ["path", "_part"]).select("blocks", "lists").mapInArrow(near, PAIR_DDL)
+    least = ["least"] if pick == ALL else []
+    dealt = in_tiles(nodes.withColumnRenamed("outsiders", "facings"), F.col("comp") != F.col("main")).select(
+        F.col("at.cell").alias("cell"), "id", "n", "sketch", "comp", F.col("at.side").alias("side"), *least)
+    return with_package(dealt.repartition("cell").sortWithinPartitions("cell", "side", "id")).mapInArrow(compare, PAIR_DDL)
 
 
-def small(ids: DataFrame) -> DataFrame:
-    """``ids`` for a broadcast unless there are many."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def small(ids: DataFrame, most: int, limit: int = BROADCAST_IDS) -> DataFrame:
+    """``ids``, ``most`` at most, for a broadcast unless there are many; they are
+    counted only if that may be."""
+    return F.broadcast(ids) if most <= limit or ids.count() <= limit else ids
 
 
 def either_end(pairs: DataFrame) -> DataFrame:
@@ -552,7 +542,7 @@ def either_end(pairs: DataFrame) -> DataFrame:
 
 def confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, name: str, width: int = WIDTH,
               threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs (stored ones) whose full sets are similar enough; stored."""
+    """The pairs (stored ones, each once) whose full sets are similar enough; stored."""
     least, of = Fraction(str(threshold)).as_integer_ratio()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -568,11 +558,12 @@ def confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, name: str, wid
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["id1", "id2"])
 
-    sets = full_sets(docs, reps, small(either_end(pairs)), width)
+    most = 2 * pairs.count()
+    sets = full_sets(docs, reps, small(either_end(pairs), most), most, width)
     one = sets.select(F.col("id").alias("id1"), F.col("items").alias("items1"))
     other = sets.select(F.col("id").alias("id2"), F.col("items").alias("items2"))
     checked = pairs.join(one, "id1").join(other, "id2").select("id1", "id2", "items1", "items2")
-    return materialize(checked.mapInArrow(check, PAIR_DDL).distinct(), f"{name}-links")
+    return materialize(checked.mapInArrow(check, PAIR_DDL), f"{name}-links")
 
 
 def cross_pairs(level: DataFrame, marks: DataFrame, parts: DataFrame, pick: int, threshold: float = THRESHOLD) -> DataFrame:
@@ -582,29 +573,25 @@ def cross_pairs(level: DataFrame, marks: DataFrame, parts: DataFrame, pick: int,
     that are compared, the nodes of all levels together."""
     placed = level.join(parts.withColumnRenamed("component", "comp"), "id", "left").withColumn(
         "comp", F.coalesce("comp", "id"))
-    small_nodes, listed = [], []
+    met = []
     for step in range(len(LEVELS)):
         # nodes that lie in one component are done
         parted = (placed.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"))
-                  .groupBy("path").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("total"))
-                  .select("path", F.col("m.comp").alias("main"), (F.col("total") - F.col("m.k")).alias("outsiders"))
+                  .groupBy("path").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("size"))
+                  .select("path", "size", F.col("m.comp").alias("main"), (F.col("size") - F.col("m.k")).alias("outsiders"))
                   .filter("outsiders > 0"))
         live = materialize(placed.join(parted, "path"), "live")
-        large = live.filter(F.col("size") > SMALL)
         last = step == len(LEVELS) - 1
-        few = F.lit(last) | (F.col("size") * F.col("outsiders") <= MEETINGS)
-        small_nodes.append(live.filter(F.col("size") <= SMALL).select("path", "id", "comp", "size"))
-        listed.append(large.filter(few).select("path", "id", "comp", "size", "main", "outsiders"))
-        deeper = large.filter(~few)
+        few = F.lit(last) | (F.col("size") <= SMALL) | (F.col("size") * F.col("outsiders") <= MEETINGS)
+        met.append(live.filter(few).drop("tail"))
+        deeper = live.filter(~few)
         if last or deeper.isEmpty():
             break
-        deeper = (deeper.drop("size", "main", "outsiders")
+        placed = (deeper.drop("size", "main", "outsiders")
                   .withColumn("path", F.explode(F.array_distinct(F.transform("tail", lambda way: way[0]))))
                   .withColumn("tail", F.transform(F.filter("tail", lambda way: way[0] == F.col("path")),
                                                   lambda way: F.slice(way, 2, len(LEVELS)))))
-        placed = materialize(shared_nodes(deeper), "nodes")
-    return (small_node_pairs(reduce(DataFrame.unionByName, small_nodes).join(marks, "id"), pick, threshold)
-            .unionByName(outsider_pairs(reduce(DataFrame.unionByName, listed), marks, pick, threshold)))
+    return node_pairs(reduce(DataFrame.unionByName, met).join(marks, "id"), pick, threshold)
 
 
 def verdicts(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
@@ -615,26 +602,27 @@ def verdicts(docs: DataFrame, width: int = WIDTH, trees: int | None = None,
     level = materialize(shared_nodes(branched(reps, trees or trees_for(threshold), threshold)), "nodes")
     marks = materialize(sketches(reps), "sketches")
     marked = level.select("path", "id", "size").join(marks, "id")
-    pairs = materialize(small_node_pairs(marked, PIVOT, threshold).unionByName(pivot_pairs(marked, threshold)).distinct(), "pivot-pairs")
+    pairs = materialize(pivot_pairs(marked, threshold).distinct(), "pivot-pairs")
     links = confirmed(docs, reps, pairs, "pivot", width, threshold)
-    parts = materialize(connected_components(links), "parts")
+    parts = connected_components(links)
     for name, pick in (("nearest", NEAREST), ("cross", ALL)):
         if pick == ALL:
-            ids = small(either_end(pairs))
-            level = materialize(shared_nodes(level.drop("size").join(ids, "id", "left_semi")), "near-nodes")
-            least = full_sets(docs, reps, ids, width, BOTTOM).withColumnRenamed("items", "least")
+            most = 2 * pairs.count()
+            ids = small(either_end(pairs), most)
+            level = level.join(ids, "id", "left_semi")
+            least = full_sets(docs, reps, ids, most, width, BOTTOM).withColumnRenamed("items", "least")
             marks = materialize(marks.join(least, "id"), "least-hashes")
-        pairs = materialize(cross_pairs(level, marks, parts, pick, threshold).distinct(), f"{name}-pairs")
+        pairs = materialize(cross_pairs(level.drop("size"), marks, parts, pick, threshold).distinct(), f"{name}-pairs")
         more = confirmed(docs, reps, pairs, name, width, threshold)
         if not more.isEmpty():
             links = links.unionByName(more)
-            parts = materialize(connected_components(links), "parts")
+            parts = connected_components(links)
 
     # where a set's documents go, if not each to itself
     ids = reps.select("id", "doc_id", "d1", "d2", "copies")
-    roots = (ids.join(parts.select(F.col("component").alias("id")).distinct(), "id", "left_semi")
-             .select(F.col("id").alias("component"), F.col("doc_id").alias("root")))
-    linked = (ids.join(parts, "id").withColumn("_salt", salt_of("id", SALTS))
+    members = ids.join(parts, "id")
+    roots = members.groupBy("component").agg(F.min("doc_id").alias("root"))
+    linked = (members.withColumn("_salt", salt_of("id", SALTS))
               .join(salted(roots, SALTS), ["component", "_salt"]).select("d1", "d2", "root"))
     copied = (ids.filter("copies > 1").join(parts, "id", "left_anti")
               .select("d1", "d2", F.col("doc_id").alias("root")))

@@ -10,8 +10,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from affinity.llm import (exact_dedup, language, line_dedup, mixing, near_dedup, packing, quality, quality_rules,
+from affinity.llm import (components, exact_dedup, language, line_dedup, mixing, near_dedup, packing, quality, quality_rules,
                           range_coder, secrets, token_output, tokens)
+from affinity.session import materialize
 
 DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, _drop string, kept string"
@@ -264,6 +265,30 @@ def test_near_dedup_of_large_nodes(spark, monkeypatch):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute_components(docs.collect()), key=repr)
 
 
+def test_near_dedup_tiles_meet_every_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    large, alone = [(1, i, 7 if i < 30 else i, 50, 7, 20) for i in range(50)], [(2, i, i, 3, 0, 2) for i in range(3)]
+    nodes = spark.createDataFrame(large + alone, "path long, id long, comp long, size long, main long, facings long")
+    cells = collections.defaultdict(lambda: ([], [], []))
+    for r in near_dedup.in_tiles(nodes, F.col("comp") != F.col("main")).collect():
+        cells[r["at"].cell][r["at"].side].append(r["id"])
+    assert [sorted(c[0]) for c in cells.values() if c[0]] == [[0, 1, 2]]
+    met = collections.Counter((a, b) for _, members, facing in cells.values() for a in members for b in facing)
+    assert met == {(a, b): 1 for a in range(50) for b in range(30, 50)}
+    assert len(cells) <= 1 + 6 * 3
+
+
+def test_components_write_as_many_files_as_their_rows_need(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "materialize", lambda df, name: written.append(materialize(df, name)) or written[-1])
+    edges = [(k, k + 1) for k in range(100, 140)] + [(200, 300 + k) for k in range(40)]
+    rows = spark.createDataFrame(edges * 2, "id1 long, id2 long")
+    got = {r["id"]: r.component for r in components.connected_components(rows).collect()}
+    assert got == {k: 100 for k in range(100, 141)} | {k: 200 for k in [200, *range(300, 340)]}
+    assert written and all(len(t.inputFiles()) == 1 and t.count() <= len(rows.distinct().collect()) for t in written)
+
+
 def test_quality(odd, empty, spark):
     docs, marks = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
     model = quality.fit(docs, marks)
