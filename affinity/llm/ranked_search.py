@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from affinity.llm import tokens
 from affinity.llm.common import ascii_lower
-from affinity.session import materialize, with_package
+from affinity.session import arrow_batches, materialize, with_package
 
 #: Fixed value: one term (ASCII letters and digits, and all beyond ASCII).
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -52,7 +52,11 @@ _FOLD = bytes(c if c >= 128 or chr(c).isalnum() and chr(c).islower() or chr(c).i
               else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 TOP = 50
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Bytes of a record batch of texts or of blocks, and blocks that a writer or reader
+#: of the index holds at a time: a task's memory is that of a few blocks, however many it has.
+BATCH_BYTES = 8 << 20
+INDEX_FILES = {"parquet.block.row.count.limit": "2", "parquet.page.size.row.check.min": "1"}
 GROUP = 256
 HELD = 4096
 WINDOW = 1024
@@ -105,7 +109,8 @@ def build_index(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                         ("lengths", pa.binary()), ("terms", pa.list_(pa.string())), ("dfs", pa.list_(pa.int32())),
                         ("most", pa.binary()), ("least", pa.binary()), ("docs", pa.binary()), ("tfs", pa.binary())])
     rows = with_package(docs).select(F.col("doc_id").cast("long"), "text")
-    return materialize(rows.mapInArrow(build, INDEX_DDL), "postings")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return materialize(rows.mapInArrow(build, INDEX_DDL), "postings", **INDEX_FILES)
 
 
 def weighed_items(items: DataFrame, index: DataFrame) -> DataFrame:
@@ -236,7 +241,7 @@ def search_block(block: _Block, terms: list[int], weights: list[int], best: _Bes
 
 
 def found_in_tasks(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
-    """(item_id, doc_id, score): each task's best documents of each item."""
+    """(item_id, doc_id, score): each task's best documents of each item; stored."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int | None, _Best] = {}
@@ -277,7 +282,8 @@ def found_in_tasks(index: DataFrame, queries: DataFrame, top: int = TOP) -> Data
     known = queries.agg(F.collect_set("query_group")).scalar()
     rows = (with_package(index).drop("n_docs", "n_terms").withColumn("query_group", F.explode(known))
             .join(groups, "query_group").drop("query_group"))
-    return rows.mapInArrow(search, "item_id long, doc_id long, score long")
+    with arrow_batches(index.sparkSession, BATCH_BYTES):
+        return materialize(rows.mapInArrow(search, "item_id long, doc_id long, score long"), "found")
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:

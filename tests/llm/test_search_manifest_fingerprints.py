@@ -103,6 +103,29 @@ def test_ranked_search_in_many_blocks_and_groups(spark, monkeypatch):
     assert {i: sorted(v)[:7] for i, v in got.items()} == {i: sorted(v) for i, v in want.items()}
 
 
+def test_ranked_search_holds_few_blocks(spark, monkeypatch):
+    """Texts come in small batches, and two blocks at most are written or read together."""
+    import pyarrow.parquet as pq
+
+    seen, whole = [], ranked_search.materialize
+
+    def noted(df, name, **options):
+        seen.append((name, spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")))
+        return whole(df, name, **options)
+
+    monkeypatch.setattr(ranked_search, "materialize", noted)
+    docs = spark.createDataFrame([(i, f"w{i} hello " * 50) for i in range(60)], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "hello w7")], "item_id long, text string")
+    index = ranked_search.build_index(docs, 2000)
+    files = [f.removeprefix("file://") for f in index.inputFiles()]
+    assert index.count() > 10
+    assert all(m.row_group(i).num_rows <= 2 for m in (pq.ParquetFile(f).metadata for f in files) for i in range(m.num_row_groups))
+    found = ranked_search.found_in_tasks(index, ranked_search.weighed_items(items, index)).orderBy("score").collect()
+    assert found[-1].doc_id == 7 and len(found) >= 50
+    assert [(n, b) for n, b in seen if n != "queries"] == [(n, str(ranked_search.BATCH_BYTES)) for n in ("postings", "found")]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) != str(ranked_search.BATCH_BYTES)
+
+
 def test_ranked_search_of_nothing(odd, empty):
     assert ranked_search.search(empty, odd).count() == 0 and ranked_search.search(odd, empty).count() == 0
     assert ranked_search.search(odd.filter("doc_id < 4 and doc_id > 0"), odd).count() == 0
