@@ -448,3 +448,69 @@ def test_document_sets_in_rows(spark, tmp_path):
     assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) == 12
     assert all(list(r.elements) == sorted(r.elements) for r in arrays.collect())
     assert "Generate" not in arrays._jdf.queryExecution().optimizedPlan().toString()  # no row per shingle
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_sweep_counts_pairs_where_they_meet(spark, block, monkeypatch):
+    """Counts of all entities from representatives, one home in many tiles; no pair is
+    shuffled or stored but true ones."""
+    stored = {}
+    monkeypatch.setattr(lsh, "materialize", lambda df, name, f=lsh.materialize: stored.setdefault(name, f(df, name)))
+    fam = families(11, 60)
+    fam |= {100 + e: s for e, s in fam.items() if e % 4 == 0} | {200 + e: s for e, s in fam.items() if e % 8 == 0}
+    arrays = frame(spark, fam).groupBy("entity").agg(F.sort_array(F.collect_list("element")).alias("elements"))
+    classes, reps = sets.representatives(arrays)
+    assert reps.count() < len(fam) and classes.count() == len(fam)
+    k, configs = 20, [(10, 2), (4, 5), (5, 4), (3, 3), (1, 20)]
+    truth = prefix_join.similar_sets(reps, 0.5, block)
+    got = lsh.lsh_sweep(minhash.signatures_from_arrays(reps, "entity", "elements", k), truth, F.lit(len(fam)), k, configs, block,
+                        lsh.copies_of(classes)).collect()
+    sigs = {r.entity: r.sig for r in minhash.signatures_from_arrays(arrays, "entity", "elements", k).collect()}
+    true = {(a, b) for a, b, i, u in brute_pairs(fam, 0.5)}
+    assert [r.pos for r in got] == [0, 1, 2, 4]
+    for r in got:
+        want = {(a, b) for a, b in itertools.combinations(sorted(sigs), 2)
+                if any(sigs[a][x * r.r:x * r.r + r.r] == sigs[b][x * r.r:x * r.r + r.r] for x in range(r.b))}
+        assert (r.candidates, r.tp, r.fp, r.fn) == (len(want), len(want & true), len(want - true), len(true - want))
+    assert set(stored) == {"shared-runs", "homes", "truth-met", "candidates", "true"}
+    assert stored["candidates"].count() == 1 and set(stored["shared-runs"].columns) == {"entity", "runs", "copies"}
+
+
+def test_confusion_and_error_of_representatives(spark):
+    p = spark.createDataFrame([(1, 2, 0.5), (1, 5, 0.4)], "id1 long, id2 long, estimate double")
+    t = spark.createDataFrame([(1, 2, 0.6), (2, 5, 0.3)], "id1 long, id2 long, jaccard double")
+    copies = spark.createDataFrame([(1, 3), (2, 2), (5, 1)], "entity long, copies long")
+    r = lsh.confusion(p, t, copies).first()
+    assert (r.tp, r.fp, r.fn) == (6 + 3 + 1, 3, 2)
+    e = lsh.similarity_error(p, t, copies).first()
+    assert (e.n, e.mae, e.rmse) == (10, 0.06, round((0.01 * 6 / 10) ** 0.5, 6))
+    none = lsh.similarity_error(p.limit(0), t).first()
+    assert (none.n, none.mae, none.rmse) == (0, None, None)
+
+
+def test_least_hash_values_by_wrapping(spark):
+    """Values at the ends of [0, p), and sets longer than a piece."""
+    p, rng = minhash.MERSENNE_P, random.Random(3)
+    family = [(1, 0), (1, p - 1), (p - 1, 0), (p - 1, p - 1), (2, 1), *minhash.hash_family(40)]
+    least = minhash.minima_of(family)
+    for n in (1, 2, 64, 65, 2049, 5000):
+        x = [rng.choice([0, 1, p - 1, p, -1, rng.randint(-2 ** 62, 2 ** 62)]) if n < 99 else rng.randint(0, 2 ** 60) for _ in range(n)]
+        assert least(x).tolist() == [min((a * v + b) % p for v in x) for a, b in family]
+
+
+def test_only_sets_in_pairs_move(spark):
+    arrays = spark.createDataFrame([(i, [i, i + 1, 1000 + i % 3]) for i in range(50)], "entity long, elements array<long>")
+    found = sets.jaccard_in_cells(spark.createDataFrame([(1, 2), (7, 8)], "id1 long, id2 long"), arrays)
+    assert {tuple(r) for r in found.select("id1", "id2", "inter", "union").collect()} == {(1, 2, 1, 5), (7, 8, 1, 5)}
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_document_sets_do_not_move(spark, tmp_path):
+    """Only sets of rows that repeat a doc_id are brought together."""
+    from affinity import sources
+
+    spark.createDataFrame([(1, "a b c d"), (2, "b c d"), (2, "x y z"), (None, "q r s")], "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    arrays = sources.doc_arrays(spark, str(tmp_path))
+    assert {(r.doc_id, len(r.elements)) for r in arrays.collect()} == {(1, 2), (2, 2), (None, 1)}
+    assert "LeftAnti" in arrays._jdf.queryExecution().optimizedPlan().toString()
