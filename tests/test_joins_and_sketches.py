@@ -514,3 +514,10 @@ def test_document_sets_do_not_move(spark, tmp_path):
     arrays = sources.doc_arrays(spark, str(tmp_path))
     assert {(r.doc_id, len(r.elements)) for r in arrays.collect()} == {(1, 2), (2, 2), (None, 1)}
     assert "LeftAnti" in arrays._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_signatures_are_made_once(spark):
+    arrays = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None), (4, [9])], "entity long, elements array<long>")
+    sigs = minhash.signatures_from_arrays(arrays, "entity", "elements", 8)
+    assert {(r.entity, len(r.sig)) for r in sigs.collect()} == {(1, 8), (4, 8)}
+    assert sigs._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
